@@ -14,6 +14,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskframe.streaming.io import file_stream
+
 _CATEGORIES = (
     "groceries,dining,entertainment,travel,utilities,healthcare,retail,electronics,fuel,"
     "online_marketplace,gambling,cryptocurrency,money_transfer,atm_withdrawal"
@@ -207,12 +209,16 @@ class TestBank:
 
     __test__ = False
 
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
+    def __init__(self, spark: SparkSession, sf_dir: str, *, streaming: bool = False) -> None:
+        """With ``streaming`` the event log, and with it the transactions, is a stream."""
+        self.spark, self.sf_dir, self.streaming = spark, sf_dir.rstrip("/"), streaming
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        static = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if self.streaming and name == "events":
+            return file_stream(self.spark, self.sf_dir, static.schema, glob="events.parquet")
+        return static
 
     def _relation(self, name: str) -> DataFrame:
         return self.table(name) if name in SPEC else self.raw(name)
