@@ -45,18 +45,21 @@ def customer_txn_summary(txns: DataFrame) -> DataFrame:
     )
 
 
-def behavioral_features(txns: DataFrame, customers: DataFrame, merchants: DataFrame) -> DataFrame:
+def behavioral_features(
+    txns: DataFrame, customers: DataFrame, merchants: DataFrame, history: DataFrame | None = None
+) -> DataFrame:
     """Append customer statistics and profile, amount deviation, time and location flags, and the
     merchant's name and risk (its own score wins over the one on the transaction, then 0.1).
 
-    Statistics and profile are joined to each other first, so the transactions meet one
-    customer-keyed table instead of two.
+    Statistics come from ``history`` (default: ``txns`` itself; pass the plain transactions when
+    ``txns`` already carries costly features). They are joined to the profile first, so the
+    transactions meet one customer-keyed table instead of two.
     """
     require(txns, "transaction_id", "customer_id", "merchant_id", "amount", "timestamp", "city")
     profile = customers.select(
         "customer_id", "age", "income", "credit_score", "risk_profile", F.col("city").alias("home_city")
     )
-    by_customer = customer_amount_stats(txns).join(profile, "customer_id", "left")
+    by_customer = customer_amount_stats(txns if history is None else history).join(profile, "customer_id", "left")
     shops = deduplicate(
         merchants.select("merchant_id", "merchant_name", F.col("merchant_risk_score").alias("_shop_risk")), "merchant_id"
     )

@@ -86,8 +86,7 @@ def clean_merchants(df: DataFrame) -> DataFrame:
 def normalise(name: str, df: DataFrame) -> DataFrame:
     """Load-time types: strings to dates and timestamps as declared, surrogate ids dropped."""
     table = TABLES[name]
-    declared = {f.name: f.dataType.simpleString() for f in table.schema}
-    temporal = {c: t for c, t in declared.items() if t in ("date", "timestamp")}
+    temporal = {c: t for c, t in table.types.items() if t in ("date", "timestamp")}
     return enforce_types(df.drop(*table.generated), temporal)
 
 

@@ -77,9 +77,10 @@ def rolling_sums(
     events = add_slice(events, key, F.col("_at"), policy.slice_seconds * ticks_per_second, hot)
 
     def change(of: str, i: int) -> Column:
-        return (
-            F.when(F.col("_kind").isin(0, -i), F.col(of)).when(F.col("_kind") == i, -F.col(of)).otherwise(F.lit(0))
-        )
+        """What an event adds to window ``i``."""
+        return F.expr(f"CASE WHEN _kind IN (0, -{i}) THEN {of} WHEN _kind = {i} THEN -{of} ELSE 0 END")
+
+    changed = {f"_n{i}": change("_one", i) for i in numbers} | {f"_s{i}": change("_cents", i) for i in numbers}
 
     # A slice of a hot key opens with the totals of all earlier slices, one row (kind -i) per
     # window. There is one total per (hot key, slice): it follows the time span, not the rows.
@@ -94,8 +95,7 @@ def rolling_sums(
         events.filter(F.col(SLICE).isNotNull())
         .groupBy(key, SLICE)
         .agg(
-            *[F.sum(change("_one", i)).alias(f"_n{i}") for i in numbers],
-            *[F.sum(change("_cents", i)).alias(f"_s{i}") for i in numbers],
+            *[F.sum(added).alias(name) for name, added in changed.items()],
             F.max("_seen").alias("_seen"),
         )
         .select(key, SLICE, F.max("_seen").over(earlier).alias("_seen"), F.array(*opening).alias("_opening"))
@@ -117,8 +117,8 @@ def rolling_sums(
             key,
             "_row",
             "_kind",
-            *[F.sum(change("_one", i)).over(so_far).alias(f"_n{i}") for i in numbers],
-            *[F.sum(change("_cents", i)).over(so_far).alias(f"_s{i}") for i in numbers],
+            *[F.sum(changed[f"_n{i}"]).over(so_far).alias(f"_n{i}") for i in numbers],
+            *[F.sum(changed[f"_s{i}"]).over(so_far).alias(f"_s{i}") for i in numbers],
             *([F.max("_seen").over(before).alias(previous_tick_as)] if previous_tick_as else []),
         )
         .filter(arrival)

@@ -85,7 +85,7 @@ def fraud_features(
     enriched = velocity_features(txns, policy=policy, hot=hot)
     enriched = device_features(enriched, devices, customer_devices)
     enriched = ip_features(enriched, ip_addresses, customer_ips)
-    enriched = behavioral_features(enriched, customers, merchants)
+    enriched = behavioral_features(enriched, customers, merchants, history=txns)
     return enriched.select(*FRAUD_COLUMNS)
 
 

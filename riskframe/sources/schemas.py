@@ -23,9 +23,14 @@ class TableDef:
     def schema(self) -> StructType:
         return StructType.fromDDL(self.ddl)
 
+    @property
+    def types(self) -> dict[str, str]:
+        """Column name to type name, in declared order; needs no session."""
+        return dict(column.split() for column in self.ddl.split(","))
+
     @property
     def columns(self) -> list[str]:
-        return self.schema.fieldNames()
+        return list(self.types)
 
 
 # Listed in load order: a table follows every table it refers to.

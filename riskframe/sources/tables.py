@@ -38,7 +38,7 @@ def typed(name: str, df: DataFrame) -> DataFrame:
     missing = [c for c in table.columns if c not in df.columns]
     if missing:
         raise ValueError(f"{name}: missing columns {missing}")
-    return enforce_types(df, {f.name: f.dataType.simpleString() for f in table.schema}).select(table.columns)
+    return enforce_types(df, table.types).select(table.columns)
 
 
 def read_all(spark: SparkSession, folder: str, names: Iterable[str] = LOAD_ORDER) -> dict[str, DataFrame]:

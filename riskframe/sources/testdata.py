@@ -16,6 +16,17 @@ from pyspark.sql import functions as F
 
 from riskframe.streaming.io import file_stream
 
+# Declared, so that building a plan reads no file footers.
+RAW_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+}
+
 _CATEGORIES = (
     "groceries,dining,entertainment,travel,utilities,healthcare,retail,electronics,fuel,"
     "online_marketplace,gambling,cryptocurrency,money_transfer,atm_withdrawal"
@@ -215,10 +226,9 @@ class TestBank:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def raw(self, name: str) -> DataFrame:
-        static = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         if self.streaming and name == "events":
-            return file_stream(self.spark, self.sf_dir, static.schema, glob="events.parquet")
-        return static
+            return file_stream(self.spark, self.sf_dir, RAW_SCHEMAS[name], glob="events.parquet")
+        return self.spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     def _relation(self, name: str) -> DataFrame:
         return self.table(name) if name in SPEC else self.raw(name)

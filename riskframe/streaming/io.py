@@ -9,7 +9,7 @@ from riskframe.session import ROCKSDB_PROVIDER, work_path
 
 
 def file_stream(
-    spark: SparkSession, folder: str, schema: StructType, *, glob: str | None = None, files_per_trigger: int | None = None
+    spark: SparkSession, folder: str, schema: StructType | str, *, glob: str | None = None, files_per_trigger: int | None = None
 ) -> DataFrame:
     """New Parquet files of a folder; ``files_per_trigger`` bounds a micro-batch."""
     reader = spark.readStream.schema(schema)
