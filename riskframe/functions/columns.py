@@ -38,6 +38,15 @@ def rate4(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, ten_thousandths / F.lit(10000.0)).otherwise(F.lit(0.0))
 
 
+# ``least`` and ``greatest`` skip nulls; these keep an unknown value unknown.
+def at_most(value: Column, high: float) -> Column:
+    return F.when(value > high, F.lit(high)).otherwise(value)
+
+
+def at_least(value: Column, low: float) -> Column:
+    return F.when(value < low, F.lit(low)).otherwise(value)
+
+
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Great-circle distance in kilometres."""
     half_lat = F.radians(lat2 - lat1) / 2
@@ -45,11 +54,11 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     chord = F.pow(F.sin(half_lat), F.lit(2.0)) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(
         F.sin(half_lon), F.lit(2.0)
     )
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(chord, F.lit(1.0))))
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(at_most(chord, 1.0)))
 
 
 def clip(value: Column, low: float, high: float) -> Column:
-    return F.least(F.greatest(value, F.lit(low)), F.lit(high))
+    return at_most(at_least(value, low), high)
 
 
 def padded_id(prefix: str, number: Column, width: int) -> Column:

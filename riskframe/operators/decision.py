@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.functions.columns import at_most
 from riskframe.operators.rules import RULES, rule_score
 
 
@@ -36,7 +37,7 @@ DEFAULT_DECISION = DecisionPolicy()
 
 
 def graph_risk(component_size: Column) -> Column:
-    return F.least(F.lit(1.0), (component_size - 1) / F.lit(4.0))
+    return at_most((component_size - 1) / F.lit(4.0), 1.0)
 
 
 def decide(

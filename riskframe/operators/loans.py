@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.functions.columns import clip
+from riskframe.functions.columns import at_least, clip
 
 
 @dataclass(frozen=True)
@@ -84,7 +84,7 @@ def loan_emi_dti(loans: DataFrame, customers: DataFrame) -> DataFrame:
         "customer_id",
         emi.alias("emi"),
         monthly.alias("monthly_income"),
-        F.round(emi / F.greatest(monthly, F.lit(1.0)), 4).alias("debt_to_income"),
+        F.round(emi / at_least(monthly, 1.0), 4).alias("debt_to_income"),
     )
 
 

@@ -27,8 +27,7 @@ def get_session(app_name: str = "riskframe", **options: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+_LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,11 +39,12 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not _is_local(spark):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the whole cluster")
-    configured = tempfile.mkdtemp(prefix="riskframe-")
-    spark.conf.set("spark.checkpoint.dir", configured)
-    return configured
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="riskframe-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def work_path(spark: SparkSession, label: str) -> str:
