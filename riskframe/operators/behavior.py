@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.columns import cents, flag, from_cents
 from riskframe.operators.clean import deduplicate
+from riskframe.operators.skew import join_columns
 from riskframe.sources.schemas import require
 
 # Hours and weekdays (1 = Sunday) behind the time flags, fallback merchant risk.
@@ -46,20 +47,30 @@ def customer_txn_summary(txns: DataFrame) -> DataFrame:
 
 
 def behavioral_features(
-    txns: DataFrame, customers: DataFrame, merchants: DataFrame, history: DataFrame | None = None
+    txns: DataFrame,
+    customers: DataFrame,
+    merchants: DataFrame,
+    history: DataFrame | None = None,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Append customer statistics and profile, amount deviation, time and location flags, and the
     merchant's name and risk (its own score wins over the one on the transaction, then 0.1).
 
     Statistics come from ``history`` (default: ``txns`` itself; pass the plain transactions when
     ``txns`` already carries costly features). They are joined to the profile first, so the
-    transactions meet one customer-keyed table instead of two.
+    transactions meet one customer-keyed table instead of two. ``keys`` (distinct customer_id and
+    further columns of ``txns``) spreads that table over the same keys before the join.
     """
     require(txns, "transaction_id", "customer_id", "merchant_id", "amount", "timestamp", "city")
     profile = customers.select(
         "customer_id", "age", "income", "credit_score", "risk_profile", F.col("city").alias("home_city")
     )
     by_customer = customer_amount_stats(txns if history is None else history).join(profile, "customer_id", "left")
+    on = ["customer_id"]
+    if keys is not None:
+        on = join_columns(keys)
+        spread = keys.join(by_customer, "customer_id")
+        by_customer = spread.drop(*[c for c in keys.columns if c not in on])
     shops = deduplicate(
         merchants.select("merchant_id", "merchant_name", F.col("merchant_risk_score").alias("_shop_risk")), "merchant_id"
     )
@@ -67,7 +78,7 @@ def behavioral_features(
     amount, mean, deviation = F.col("amount"), F.col("cust_avg_amount"), F.col("cust_std_amount")
     hour, day = F.hour("timestamp"), F.dayofweek("timestamp")
     return (
-        txns.join(by_customer, "customer_id", "left")
+        txns.join(by_customer, on, "left")
         .join(shops, "merchant_id", "left")
         .select(
             *[c for c in txns.columns if c != "merchant_risk_score"],

@@ -19,13 +19,16 @@ def enforce_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
 
 
 def deduplicate(df: DataFrame, key: str, *preferred: Column) -> DataFrame:
-    """One row per key: the first by ``preferred``, then by all other columns.
+    """One row per key: the first by ``preferred``, then by a hash of the whole row.
 
-    The survivor does not depend on task order, so a recomputed partition yields the same row.
-    The rank limit is applied before the shuffle as well, hence copies of one key never pile up.
+    The survivor does not depend on task order, so a recomputed partition yields the same row; and
+    a plan that needs few columns shuffles only those and the hash. The rank limit is applied before
+    the shuffle as well, hence copies of one key never pile up.
     """
-    others = [F.col(c) for c in df.columns if c != key]
-    order = Window.partitionBy(key).orderBy(*preferred, *others)
+    others = [f"`{c}`" for c in df.columns if c != key]
+    # The hash skips nulls, so their positions are hashed too.
+    content = F.expr(f"xxhash64({', '.join(others + [f'isnull({c})' for c in others])})") if others else F.lit(0)
+    order = Window.partitionBy(key).orderBy(*preferred, content)
     return df.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") == 1).drop("_rank")
 
 

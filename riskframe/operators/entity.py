@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskframe.operators.skew import OWNER, join_columns, with_owner
 from riskframe.sources.schemas import require
 
 
@@ -58,23 +59,38 @@ def entity_profile(entities: DataFrame, usage: DataFrame, kind: EntityKind) -> D
     )
 
 
-def entity_features(txns: DataFrame, entities: DataFrame, usage: DataFrame, kind: EntityKind) -> DataFrame:
+def entity_features(
+    txns: DataFrame, entities: DataFrame, usage: DataFrame, kind: EntityKind, keys: DataFrame | None = None
+) -> DataFrame:
     """Append the profile of the transaction's entity and ``is_new_<prefix>``.
 
     An entity missing from ``entities`` gets rate and risk 0.0 and counts 1; a pair missing from
-    ``usage`` (or without an entity) is new. Both lookups are on unique keys, so rows never multiply.
+    ``usage`` (or without an entity) is new. All lookups are on unique keys, so rows never multiply.
+
+    Profile and usage are looked up once per distinct (customer, entity) pair in use, and the wide
+    rows are joined once, by pair: a popular entity is spread over its customers. ``keys`` may
+    bring those combinations, with further columns that ``txns`` is already partitioned by.
     """
     require(txns, "customer_id", kind.key)
     p = kind.prefix
-    profile = entity_profile(entities, usage, kind)
-    known = usage.select("customer_id", kind.key).distinct().withColumn("_known", F.lit(True))
-    joined = txns.join(profile, kind.key, "left").join(known, ["customer_id", kind.key], "left")
+    rows = txns
+    if keys is None:
+        rows = with_owner(txns)
+        keys = rows.select("customer_id", OWNER, kind.key).distinct()
+    on = join_columns(keys)
+    known = usage.select("customer_id", kind.key).distinct().withColumn(f"is_new_{p}", F.lit(False))
+    looked_up = (
+        keys.filter(F.col(kind.key).isNotNull())
+        .join(known, ["customer_id", kind.key], "left")
+        .join(entity_profile(entities, usage, kind), kind.key, "left")
+        .drop(*[c for c in keys.columns if c not in on])
+    )
     defaults = {f"{p}_customer_count": 1, f"{p}_txn_count": 1, f"{p}_fraud_rate": 0.0, f"{p}_risk_score": 0.0}
-    return joined.select(
-        *[F.col(c) for c in txns.columns],
+    return rows.join(looked_up, on, "left").select(
+        *txns.columns,
         *kind.profile,
         *[F.coalesce(F.col(c), F.lit(v)).alias(c) for c, v in defaults.items()],
-        F.col("_known").isNull().alias(f"is_new_{p}"),
+        F.coalesce(F.col(f"is_new_{p}"), F.lit(True)).alias(f"is_new_{p}"),
     )
 
 
@@ -157,14 +173,17 @@ def first_use(txns: DataFrame, kind: EntityKind = DEVICE) -> DataFrame:
     )
 
 
+def point_in_time_pairs(txns: DataFrame, usage: DataFrame, kind: EntityKind = DEVICE) -> DataFrame:
+    """(customer_id, entity, ``_first_id``, ``_known``) per pair in ``txns``."""
+    known = usage.select("customer_id", kind.key).distinct().withColumn("_known", F.lit(True))
+    return first_use(txns, kind).join(known, ["customer_id", kind.key], "left")
+
+
 def point_in_time_new(txns: DataFrame, usage: DataFrame, kind: EntityKind = DEVICE) -> DataFrame:
     """Append ``is_first_use`` (nobody but this row came first) and ``is_new_now`` (first use of
     an entity that is not in the customer's known set either)."""
-    known = usage.select("customer_id", kind.key).distinct().withColumn("_known", F.lit(True))
-    pairs = first_use(txns, kind).join(known, ["customer_id", kind.key], "left")
     first = F.coalesce(F.col("_first_id") == F.col("transaction_id"), F.lit(False))
-    return (
-        txns.join(pairs, ["customer_id", kind.key], "left")
-        .withColumns({"is_first_use": first, "is_new_now": first & F.col("_known").isNull()})
-        .select(*txns.columns, "is_first_use", "is_new_now")
+    joined = txns.join(point_in_time_pairs(txns, usage, kind), ["customer_id", kind.key], "left")
+    return joined.select(
+        *txns.columns, first.alias("is_first_use"), (first & F.col("_known").isNull()).alias("is_new_now")
     )

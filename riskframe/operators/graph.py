@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from riskframe.session import staged
+from riskframe.session import staged, work_path
 
 
 def _usage(customer_devices: DataFrame, customer_ips: DataFrame) -> DataFrame:
@@ -67,9 +67,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     to the shared folder: that cuts the lineage, survives lost executors, and delivers the
     convergence counters without another pass.
     """
-    signature = None
+    signature, folder = None, work_path(edges.sparkSession, "components")
     current = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
-    for _ in range(max_rounds):
+    for number in range(max_rounds):
         both = current.select("a", "b").unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = _to_minimum(both, "a", "b", F.col("b") > F.col("a")).filter("a <> b").distinct()
         # Small star: every node and its smaller neighbours point to the least of them.
@@ -80,7 +80,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
         measured = small.observe(
             seen, F.count(F.lit(1)).alias("edges"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("hash")
         )
-        current = staged(measured, "components")
+        current = staged(measured, f"{folder}/{number % 2}")  # the table before last is free again
         latest = (seen.get["edges"], seen.get["hash"])
         if latest == signature:
             roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from riskframe.functions.columns import epoch_micros, flag, haversine_km
 from riskframe.operators.behavior import mean_amount
 from riskframe.operators.clean import deduplicate
-from riskframe.operators.entity import DEVICE, IP, customer_count, point_in_time_new
-from riskframe.operators.skew import DEFAULT_POLICY, SkewPolicy, hot_keys
-from riskframe.operators.timeline import burst_flags, previous_row
+from riskframe.operators.entity import DEVICE, IP, customer_count, point_in_time_pairs
+from riskframe.operators.skew import DEFAULT_POLICY, OWNER, SkewPolicy, hot_keys, join_columns, sliced_keys, with_owner
+from riskframe.operators.timeline import look_back
 
 # Rule names in evaluation order with the fraud probability of a hit.
 # The network rule comes last: it labels only what no other rule has labelled.
@@ -81,38 +81,39 @@ def customer_baseline(txns: DataFrame) -> DataFrame:
     return txns.groupBy("customer_id").agg(mean_amount().alias("_mean"), deviation.alias("_std"))
 
 
-def _with_bursts(txns: DataFrame, wanted: set[str], cfg: RuleConfig, policy: SkewPolicy, hot: DataFrame) -> DataFrame:
-    bursts = {"velocity_attack": cfg.velocity_burst, "repeated_failures": cfg.failure_burst}
-    return burst_flags(txns, {k: v for k, v in bursts.items() if k in wanted}, policy=policy, hot=hot)
-
-
-def _with_travel(txns: DataFrame, cfg: RuleConfig, policy: SkewPolicy, hot: DataFrame) -> DataFrame:
-    before = previous_row(txns, ["latitude", "longitude", "timestamp"], policy=policy, hot=hot)
+def _travel(cfg: RuleConfig) -> dict[str, Column]:
     gap = epoch_micros(F.col("timestamp")) - epoch_micros(F.col("prev_timestamp"))
-    distance = haversine_km(
-        F.col("prev_latitude"), F.col("prev_longitude"), F.col("latitude"), F.col("longitude")
-    )
+    distance = haversine_km(F.col("prev_latitude"), F.col("prev_longitude"), F.col("latitude"), F.col("longitude"))
     hours = F.when(gap > 0, gap / F.lit(3_600_000_000.0))
-    return before.withColumns(
-        {
-            "impossible_travel": flag(F.try_divide(distance, hours) > cfg.max_speed_kmh),
-            "_has_previous": F.col("prev_timestamp").isNotNull(),
-        }
-    ).drop("prev_latitude", "prev_longitude", "prev_timestamp")
-
-
-def _with_network(txns: DataFrame, cfg: RuleConfig) -> DataFrame:
-    """Many customers paying one merchant within one clock window."""
-    bucket = F.floor(epoch_micros(F.col("timestamp")) / F.lit(cfg.network_seconds * 1_000_000)).cast("bigint")
-    tagged = txns.withColumn("_bucket", bucket)
-    rings = (
-        tagged.groupBy("merchant_id", "_bucket")
-        .agg(F.countDistinct("customer_id").alias("_payers"))
-        .filter(F.col("_payers") >= cfg.network_customers)
-        .select("merchant_id", "_bucket", F.lit(True).alias("coordinated_network"))
+    return {
+        "impossible_travel": flag(F.try_divide(distance, hours) > cfg.max_speed_kmh),
+        "_has_previous": F.col("prev_timestamp").isNotNull(),
+    }
+
+
+def _attach(df: DataFrame, keys: DataFrame | None, lookups: list[tuple[DataFrame, list[str]]]) -> DataFrame:
+    """Join lookups (table, columns) to ``df``. With ``keys`` they are joined to those first, which
+    leaves one join on the partitioning that ``df`` already has."""
+    if not lookups:
+        return df
+    if keys is None:
+        return reduce(lambda left, lookup: left.join(lookup[0], lookup[1], "left"), lookups, df)
+    spread = reduce(lambda left, lookup: left.join(lookup[0], lookup[1], "left"), lookups, keys)
+    on = join_columns(keys)
+    return df.join(spread.drop(*[c for c in keys.columns if c not in on]), on, "left")
+
+
+def _clock_window(cfg: RuleConfig) -> Column:
+    length = cfg.network_seconds * 1_000_000
+    return F.floor(epoch_micros(F.col("timestamp")) / F.lit(length)).cast("bigint").alias("_window")
+
+
+def _merchant_windows(txns: DataFrame, cfg: RuleConfig) -> DataFrame:
+    """Per (merchant, clock window): did many customers pay? Distinct payers are counted as
+    (merchant, window, customer) groups first, so a popular merchant is spread."""
+    return txns.groupBy("merchant_id", _clock_window(cfg)).agg(
+        (F.countDistinct("customer_id") >= cfg.network_customers).alias("coordinated_network")
     )
-    joined = tagged.join(rings, ["merchant_id", "_bucket"], "left")
-    return joined.select(*txns.columns, flag(F.col("coordinated_network")).alias("coordinated_network"))
 
 
 def rule_flags(
@@ -129,42 +130,66 @@ def rule_flags(
     asked = [r for r in RULES if r in set(only)]
     wanted = {r for r in asked if r in config.enabled}
     cfg = config
-    if wanted & {"velocity_attack", "repeated_failures", "impossible_travel"}:
-        hot = hot_keys(txns, "customer_id", policy) if hot is None else hot
-    df = txns
-    if wanted & {"velocity_attack", "repeated_failures"}:
-        df = _with_bursts(df, wanted, cfg, policy, hot)
-    if "impossible_travel" in wanted:
-        df = _with_travel(df, cfg, policy, hot)
+    df = with_owner(txns)
+    ordered = wanted & {"velocity_attack", "repeated_failures", "impossible_travel"}
+    if ordered:
+        hot = hot_keys(df, OWNER, policy) if hot is None else hot
+        limits = {"velocity_attack": cfg.velocity_burst, "repeated_failures": cfg.failure_burst}
+        travels = "impossible_travel" in wanted
+        df = look_back(
+            df,
+            ("latitude", "longitude", "timestamp") if travels else (),
+            {r: limit for r, limit in limits.items() if r in wanted},
+            key=OWNER,
+            keep_slice=True,
+            policy=policy,
+            hot=hot,
+        )
+        if travels:
+            df = df.withColumns(_travel(cfg)).drop("prev_latitude", "prev_longitude", "prev_timestamp")
+
+    def keys(*columns: str) -> DataFrame | None:
+        at = epoch_micros(F.col("timestamp"))
+        return sliced_keys(txns, at, policy.slice_seconds * 1_000_000, hot, *columns) if ordered else None
+
+    by_device, by_ip, by_customer = [], [], []
     if wanted & {"new_device_fraud", "account_takeover"}:
-        df = point_in_time_new(df, inputs.customer_devices, DEVICE).drop("is_first_use")
+        by_device.append((point_in_time_pairs(txns, inputs.customer_devices, DEVICE), ["customer_id", "device_id"]))
     if "device_sharing" in wanted:
-        df = df.join(customer_count(inputs.customer_devices, DEVICE), "device_id", "left")
+        by_device.append((customer_count(inputs.customer_devices, DEVICE), ["device_id"]))
     if "ip_sharing" in wanted:
-        df = df.join(customer_count(inputs.customer_ips, IP), "ip_address", "left")
-    by_amount = wanted & {"merchant_collusion", "account_takeover", "abnormal_spending"}
-    if by_amount or "geo_anomaly" in wanted:
-        # Statistics and home are both keyed by customer: join them to each other first.
-        lookup = customer_baseline(txns) if by_amount else None
-        if "geo_anomaly" in wanted:
-            lookup = inputs.homes if lookup is None else lookup.join(inputs.homes, "customer_id", "left")
-        df = df.join(lookup, "customer_id", "left")
+        by_ip.append((customer_count(inputs.customer_ips, IP), ["ip_address"]))
+    if wanted & {"merchant_collusion", "account_takeover", "abnormal_spending"}:
+        by_customer.append((customer_baseline(txns), ["customer_id"]))
+    if "geo_anomaly" in wanted:
+        by_customer.append((inputs.homes, ["customer_id"]))
+    df = _attach(df, keys("device_id"), by_device)
+    df = _attach(df, keys("ip_address"), by_ip)
+    df = _attach(df, keys(), by_customer)
+    by_merchant = []
     if "merchant_collusion" in wanted:
         shops = inputs.merchants.select("merchant_id", F.col("merchant_risk_score").alias("_shop_risk"))
-        df = df.join(deduplicate(shops, "merchant_id"), "merchant_id", "left")
+        by_merchant.append((deduplicate(shops, "merchant_id"), ["merchant_id"]))
     if "coordinated_network" in wanted:
-        df = _with_network(df, cfg)
+        # Merchant lookups ride along on (merchant, window), which splits a popular merchant by time.
+        windows = _merchant_windows(txns, cfg)
+        for lookup, on in by_merchant:
+            windows = windows.join(lookup, on, "left")
+        by_merchant = [(windows, ["merchant_id", "_window"])]
+        df = df.withColumn("_window", _clock_window(cfg))
+    df = _attach(df, None, by_merchant)
 
     amount = F.col("amount")
     risk = [F.col("merchant_risk_score")] if "merchant_risk_score" in txns.columns else []
+    new_now = lambda: F.col("_known").isNull() & (F.col("_first_id") == F.col("transaction_id"))
     conditions = {
-        "new_device_fraud": lambda: F.col("is_new_now"),
+        "new_device_fraud": new_now,
         "velocity_attack": lambda: F.col("velocity_attack"),
         "impossible_travel": lambda: F.col("impossible_travel"),
         "unusual_hours": lambda: F.hour("timestamp").isin(*cfg.night_hours) & (amount > cfg.night_amount),
         "merchant_collusion": lambda: (F.coalesce(F.col("_shop_risk"), *risk) > cfg.merchant_risk)
         & (amount > F.col("_mean") * cfg.merchant_amount_factor),
-        "account_takeover": lambda: F.col("is_new_now") & (amount > F.col("_mean") * cfg.takeover_amount_factor),
+        "account_takeover": lambda: new_now() & (amount > F.col("_mean") * cfg.takeover_amount_factor),
         "device_sharing": lambda: F.col("device_customer_count") > cfg.device_customers,
         "ip_sharing": lambda: F.col("ip_customer_count") > cfg.ip_customers,
         "abnormal_spending": lambda: F.when(

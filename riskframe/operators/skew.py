@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLICE = "_slice"
+OWNER = "_owner"
+WHOLE = -(1 << 62)  # the slice number of an undivided key
 
 
 @dataclass(frozen=True)
@@ -44,7 +46,31 @@ def hot_keys(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_POLICY) -> Da
 
 
 def add_slice(df: DataFrame, key: str, time: Column, slice_length: int, hot: DataFrame) -> DataFrame:
-    """Append ``_slice``: the start of the time slice for hot keys, null for all others."""
+    """Append ``_slice``: the start of the time slice for hot keys, ``WHOLE`` for all other rows."""
     joined = df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot_key")), "left")
     start = time - F.pmod(time, F.lit(slice_length).cast("bigint"))
-    return joined.withColumn(SLICE, F.when(F.col("_is_hot"), start)).drop("_hot_key", "_is_hot")
+    number = F.coalesce(F.when(F.col("_is_hot"), start), F.lit(WHOLE).cast("bigint"))
+    return joined.withColumn(SLICE, number).drop("_hot_key", "_is_hot")
+
+
+def with_owner(df: DataFrame, key: str = "customer_id") -> DataFrame:
+    """Append ``_owner``: the key with a stand-in for null, so that rows without a key can be joined
+    on plain equality, which is what reuses a partitioning."""
+    return df.withColumn(OWNER, F.coalesce(F.col(key), F.lit("\u0000")))
+
+
+def sliced_keys(df: DataFrame, time: Column, slice_length: int, hot: DataFrame, *columns: str) -> DataFrame:
+    """Distinct (customer_id, owner, slice, columns) in use.
+
+    Lookups expanded to these keys can be joined to rows that are already partitioned by
+    (owner, slice): the wide rows stay where they are, and a hot key's lookups are spread like its
+    rows. The key table is narrow and combines on the map side.
+    """
+    narrow = with_owner(df.select("customer_id", time.alias("_time"), *columns))
+    sliced = add_slice(narrow, OWNER, F.col("_time"), slice_length, hot)
+    return sliced.select("customer_id", OWNER, SLICE, *columns).distinct()
+
+
+def join_columns(keys: DataFrame) -> list[str]:
+    """What to join on: the owner stands for the customer where there is one."""
+    return [c for c in keys.columns if c != "customer_id" or OWNER not in keys.columns]

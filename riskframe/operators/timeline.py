@@ -9,7 +9,7 @@ incremental, so a dense customer costs a sort and one pass.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskframe.functions.columns import cents, epoch_micros, from_cents
-from riskframe.operators.skew import DEFAULT_POLICY, SLICE, SkewPolicy, add_slice, hot_keys
+from riskframe.operators.skew import DEFAULT_POLICY, SLICE, WHOLE, SkewPolicy, add_slice, hot_keys
 
 
 @dataclass(frozen=True)
@@ -40,6 +40,7 @@ def rolling_sums(
     row_id: str = "transaction_id",
     amount: str = "amount",
     previous_tick_as: str | None = None,
+    keep_slice: bool = False,
     policy: SkewPolicy = DEFAULT_POLICY,
     hot: DataFrame | None = None,
 ) -> DataFrame:
@@ -48,7 +49,8 @@ def rolling_sums(
     The row itself is part of the sum but not of the count; rows tied in time see each other,
     and rows without time form a group of their own. ``previous_tick_as`` also appends the
     tick of the preceding row (null for the first). One shuffle on (key, slice) and one sort
-    serve all windows; ``hot`` may bring hot keys found on a cheaper input.
+    serve all windows; ``hot`` may bring hot keys found on a cheaper input. ``keep_slice`` leaves
+    ``_slice`` in place, so that later joins can use the partitioning.
     """
     kept = df.columns
     hot = hot_keys(df, key, policy) if hot is None else hot
@@ -92,7 +94,7 @@ def rolling_sums(
         for i in numbers
     ]
     carried = (
-        events.filter(F.col(SLICE).isNotNull())
+        events.filter(F.col(SLICE) != WHOLE)
         .groupBy(key, SLICE)
         .agg(
             *[F.sum(added).alias(name) for name, added in changed.items()],
@@ -115,6 +117,7 @@ def rolling_sums(
         .sortWithinPartitions(*group, "_at", "_id")
         .select(
             key,
+            SLICE,
             "_row",
             "_kind",
             *[F.sum(changed[f"_n{i}"]).over(so_far).alias(f"_n{i}") for i in numbers],
@@ -129,83 +132,73 @@ def rolling_sums(
         # The count leaves the row itself out.
         result.append((F.col(f"_n{i}") - 1).alias(window.count_as))
         result.append(from_cents(F.coalesce(F.col(f"_s{i}"), F.lit(0))).alias(window.sum_as))
-    return running.select(*result, *([previous_tick_as] if previous_tick_as else []))
+    if previous_tick_as:
+        result.append(F.col(previous_tick_as))
+    if keep_slice:
+        result.append(F.col(SLICE))
+    return running.select(*result)
 
 
-def previous_row(
+def look_back(
     df: DataFrame,
-    columns: Sequence[str],
+    previous: Sequence[str] = (),
+    bursts: Mapping[str, tuple[int, int]] | None = None,
     *,
     key: str = "customer_id",
     row_id: str = "transaction_id",
     time: str = "timestamp",
+    keep_slice: bool = False,
     policy: SkewPolicy = DEFAULT_POLICY,
     hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Append ``prev_<column>`` for the row before in (time, row id) order; null for the first."""
-    kept = df.columns
-    hot = hot_keys(df, key, policy) if hot is None else hot
-    sliced = add_slice(df, key, epoch_micros(F.col(time)), policy.slice_seconds * 1_000_000, hot)
-    # A slice of a hot key opens with the last row of all earlier slices.
-    order = [F.col(time), F.col(row_id)]
-    last = F.max(F.struct(*order, *[c for c in columns if c not in (time, row_id)]))
-    earlier = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        sliced.filter(F.col(SLICE).isNotNull())
-        .groupBy(key, SLICE)
-        .agg(last.alias("_last"))
-        .select(key, SLICE, F.max("_last").over(earlier).alias("_last"))
-        .filter(F.col("_last").isNotNull())
-        .select(key, SLICE, "_last.*", F.lit(True).alias("_context"))
-    )
-    in_slice = Window.partitionBy(key, SLICE).orderBy(*order)
-    return (
-        sliced.withColumn("_context", F.lit(False))
-        .unionByName(carried, allowMissingColumns=True)
-        .select("*", *[F.lag(c).over(in_slice).alias(f"prev_{c}") for c in columns])
-        .filter(~F.col("_context"))
-        .select(*kept, *[f"prev_{c}" for c in columns])
-    )
+    """Append what each row sees of the rows before it, in (time, row id) order.
 
+    ``previous`` adds ``prev_<column>`` of the row before, null for the first. ``bursts`` maps a
+    flag to ``(n, seconds)``: true if the n-th row before lies less than ``seconds`` back.
 
-def burst_flags(
-    df: DataFrame,
-    bursts: dict[str, tuple[int, int]],
-    *,
-    key: str = "customer_id",
-    row_id: str = "transaction_id",
-    time: str = "timestamp",
-    policy: SkewPolicy = DEFAULT_POLICY,
-    hot: DataFrame | None = None,
-) -> DataFrame:
-    """Append one flag per burst: true if the ``n``-th row before lies less than ``seconds`` back.
-
-    ``bursts`` maps the flag name to ``(n, seconds)``. Slices of hot keys receive a copy of the
-    last ``seconds`` of the slice before, which is all such a test can look at.
+    A slice of a hot key opens with context rows: copies of the last rows of the slice before, as far
+    back as a burst can reach, or else the last row of all earlier slices.
     """
     kept = df.columns
-    hot = hot_keys(df, key, policy) if hot is None else hot
-    reach = max(seconds for _, seconds in bursts.values())
+    bursts = bursts or {}
+    reach = max((seconds for _, seconds in bursts.values()), default=0)
     if reach > policy.slice_seconds:
         raise ValueError("a burst must not be longer than a slice")
+    hot = hot_keys(df, key, policy) if hot is None else hot
     at = epoch_micros(F.col(time))
-    length = policy.slice_seconds * 1_000_000
+    length, reach = policy.slice_seconds * 1_000_000, reach * 1_000_000
     sliced = add_slice(df, key, at, length, hot)
-    in_tail = F.col(SLICE).isNotNull() & (at - F.col(SLICE) >= length - reach * 1_000_000)
-    copied = sliced.withColumn(
-        "_copy", F.explode(F.when(in_tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    ).withColumn(SLICE, F.col(SLICE) + F.col("_copy") * length)
-    narrow = copied.select(
-        F.col(key),
-        SLICE,
-        "_copy",
-        F.col(time),
-        F.col(row_id),
-        *[F.when(F.col("_copy") == 0, F.col(c)).alias(c) for c in kept if c not in (key, time, row_id)],
+
+    context = sorted({key, row_id, time, *previous})
+    in_tail = (F.col(SLICE) != WHOLE) & (at - F.col(SLICE) >= length - reach)
+    copies = F.when(in_tail, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    rows = sliced.withColumn("_context", F.explode(copies)).select(
+        *[F.col(c) if c in context else F.when(~F.col("_context"), F.col(c)).alias(c) for c in kept],
+        F.when(F.col("_context"), F.col(SLICE) + length).otherwise(F.col(SLICE)).alias(SLICE),
+        "_context",
     )
+    if previous:
+        last = F.max(F.struct(time, row_id, *[c for c in previous if c not in (time, row_id)]))
+        earlier = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+        carried = (
+            sliced.filter(F.col(SLICE) != WHOLE)
+            .groupBy(key, SLICE)
+            .agg(last.alias("_last"))
+            .select(key, SLICE, F.max("_last").over(earlier).alias("_last"))
+            .filter(epoch_micros(F.col(f"_last.{time}")) < F.col(SLICE) - reach)
+            .select(key, SLICE, "_last.*", F.lit(True).alias("_context"))
+        )
+        rows = rows.unionByName(carried, allowMissingColumns=True)
+
     order = Window.partitionBy(key, SLICE).orderBy(F.col(time), F.col(row_id))
-    flags = [
-        F.coalesce(at - epoch_micros(F.lag(time, n).over(order)) < seconds * 1_000_000, F.lit(False)).alias(name)
-        for name, (n, seconds) in bursts.items()
-    ]
-    return narrow.select(*kept, "_copy", *flags).filter(F.col("_copy") == 0).drop("_copy")
+    seen = [F.lag(c).over(order).alias(f"prev_{c}") for c in previous]
+    for name, (n, seconds) in bursts.items():
+        recent = at - epoch_micros(F.lag(time, n).over(order)) < seconds * 1_000_000
+        seen.append(F.coalesce(recent, F.lit(False)).alias(name))
+    names = [f"prev_{c}" for c in previous] + list(bursts)
+    return (
+        rows.repartition(F.col(key), F.col(SLICE))
+        .select(*kept, SLICE, "_context", *seen)
+        .filter(~F.col("_context"))
+        .select(*kept, *names, *([SLICE] if keep_slice else []))
+    )

@@ -23,12 +23,14 @@ def velocity_features(
     windows: Sequence[tuple[str, int]] = WINDOWS,
     *,
     gap: bool = True,
+    key: str = "customer_id",
+    keep_slice: bool = False,
     policy: SkewPolicy = DEFAULT_POLICY,
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """Append ``txns_last_*`` (others in the window), ``spend_last_*`` (own row included) and the
     seconds since the previous transaction, on epoch seconds."""
-    require(txns, "transaction_id", "customer_id", "amount")
+    require(txns, "transaction_id", key, "amount")
     if "timestamp_sec" not in txns.columns:
         txns = txns.withColumn("timestamp_sec", F.col("timestamp").cast("bigint"))
     rolled = rolling_sums(
@@ -37,7 +39,9 @@ def velocity_features(
         tick=F.col("timestamp_sec"),
         ticks_per_second=1,
         counted=F.col("transaction_id").isNotNull(),
+        key=key,
         previous_tick_as="_previous" if gap else None,
+        keep_slice=keep_slice,
         policy=policy,
         hot=hot,
     )

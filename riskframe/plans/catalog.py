@@ -17,7 +17,7 @@ from riskframe.operators.decision import decide
 from riskframe.operators.skew import hot_keys
 from riskframe.operators.velocity import DAY, HOUR, WEEK, WINDOWS, velocity_features
 from riskframe.plans import features, views
-from riskframe.session import work_path
+from riskframe.session import configure, work_path
 from riskframe.sources.schemas import TABLES
 from riskframe.sources.tables import write_datasets
 from riskframe.sources.testdata import TestBank
@@ -40,6 +40,10 @@ def dates_as_text(df: DataFrame) -> DataFrame:
 class Bank(TestBank):
     """The test tables plus the intermediate results that several queries share (all lazy)."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str, *, streaming: bool = False) -> None:
+        super().__init__(spark, sf_dir, streaming=streaming)
+        configure(spark)
+
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in TABLES}
@@ -64,6 +68,7 @@ class Bank(TestBank):
             self.customer_ips,
             clean.clean_customers(self.customers),
             self.merchants,
+            raw=self.transactions_raw,
             hot=self.hot_customers,
         )
 

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators.behavior import behavioral_features, customer_txn_summary
-from riskframe.operators.entity import device_features, ip_features
-from riskframe.operators.skew import DEFAULT_POLICY, SkewPolicy, hot_keys
+from riskframe.operators.clean import enforce_types
+from riskframe.operators.entity import DEVICE, IP, entity_features
+from riskframe.operators.skew import DEFAULT_POLICY, OWNER, SkewPolicy, hot_keys, sliced_keys, with_owner
 from riskframe.operators.velocity import velocity_features
 from riskframe.sources.schemas import TABLES
 
@@ -73,19 +74,29 @@ def fraud_features(
     customers: DataFrame,
     merchants: DataFrame,
     *,
+    raw: DataFrame | None = None,
     policy: SkewPolicy = DEFAULT_POLICY,
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """56 columns per cleaned transaction: velocity, device, IP and behaviour.
 
-    Velocity comes first, while rows are narrowest for its sort. The lookups that follow use
-    unique keys; adaptive execution broadcasts the small ones and splits skewed partitions.
+    Velocity partitions the transactions by (customer, slice). Device, IP and customer lookups are
+    brought to the same keys, so the wide rows are shuffled once for all of them; see
+    ``spark.sql.requireAllClusterKeysForCoPartition`` in the session options. Only the merchant
+    lookup has another key, and AQE broadcasts it while merchants are few. ``raw`` may name the
+    uncleaned transactions: the keys in use are then read without de-duplication first.
     """
-    hot = hot_keys(txns, "customer_id", policy) if hot is None else hot
-    enriched = velocity_features(txns, policy=policy, hot=hot)
-    enriched = device_features(enriched, devices, customer_devices)
-    enriched = ip_features(enriched, ip_addresses, customer_ips)
-    enriched = behavioral_features(enriched, customers, merchants, history=txns)
+    source = txns if raw is None else enforce_types(raw, {"timestamp": "timestamp"})
+    hot = hot_keys(with_owner(source), OWNER, policy) if hot is None else hot
+
+    def keys(*columns: str) -> DataFrame:
+        second = F.col("timestamp").cast("bigint")
+        return sliced_keys(source, second, policy.slice_seconds, hot, *columns)
+
+    enriched = velocity_features(with_owner(txns), key=OWNER, keep_slice=True, policy=policy, hot=hot)
+    enriched = entity_features(enriched, devices, customer_devices, DEVICE, keys("device_id"))
+    enriched = entity_features(enriched, ip_addresses, customer_ips, IP, keys("ip_address"))
+    enriched = behavioral_features(enriched, customers, merchants, history=txns, keys=keys())
     return enriched.select(*FRAUD_COLUMNS)
 
 

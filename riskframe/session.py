@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime-settable options the jobs rely on; cluster sizing stays with spark-submit.
 SQL_OPTIONS = {
@@ -14,6 +14,8 @@ SQL_OPTIONS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Lets a join on (customer, slice, device) use rows partitioned by (customer, slice).
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -27,6 +29,13 @@ def get_session(app_name: str = "riskframe", **options: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the options to a session that somebody else has made."""
+    for key, value in SQL_OPTIONS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 
@@ -52,9 +61,8 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def staged(df, label: str):
-    """Write ``df`` to the shared folder and read it back: cuts lineage and survives executor loss."""
+def staged(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` below the shared folder and read it back: cuts lineage and survives executor loss."""
     spark = df.sparkSession
-    path = work_path(spark, label)
-    df.write.parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from riskframe.operators.skew import SkewPolicy, hot_keys
-from riskframe.operators.timeline import burst_flags, previous_row
+from riskframe.operators.timeline import look_back
 from riskframe.operators.velocity import NO_PREVIOUS_SECONDS, transaction_velocity_view, velocity_features
 
 START = datetime(2024, 1, 1)
@@ -40,15 +40,17 @@ def compare(spark, rows):
     want = expected(rows)
     for policy in (SLICED, SkewPolicy(hot_rows=10**9)):
         rolled = {r["transaction_id"]: r for r in velocity_features(df, policy=policy).collect()}
-        lagged = {r["transaction_id"]: r for r in previous_row(df, ["latitude", "timestamp"], policy=policy).collect()}
-        flagged = {r["transaction_id"]: r for r in burst_flags(df, {"burst": (3, 60)}, policy=policy).collect()}
-        assert rolled.keys() == lagged.keys() == flagged.keys() == want.keys()
+        both = look_back(df, ["latitude", "timestamp"], {"burst": (3, 60)}, policy=policy)
+        lagged = {r["transaction_id"]: r for r in both.collect()}
+        alone = {r["transaction_id"]: r for r in look_back(df, ["latitude"], policy=policy).collect()}
+        assert rolled.keys() == lagged.keys() == alone.keys() == want.keys()
         for key, entry in want.items():
             for column in ("txns_last_1h", "txns_last_24h", "txns_last_7d", "spend_last_1h", "spend_last_24h", "spend_last_7d"):
                 assert rolled[key][column] == entry[column], (key, column, policy)
             assert rolled[key]["seconds_since_last_txn"] == entry["gap"], (key, policy)
             assert lagged[key]["prev_latitude"] == entry["prev_latitude"], (key, policy)
-            assert flagged[key]["burst"] == entry["burst"], (key, policy)
+            assert alone[key]["prev_latitude"] == entry["prev_latitude"], (key, policy)
+            assert lagged[key]["burst"] == entry["burst"], (key, policy)
 
 
 moments = st.one_of(st.integers(0, 40 * 3_600_000), st.sampled_from([0, 3_599_999, 3_600_000, 7_200_000]), st.integers(0, 300_000))
@@ -102,4 +104,4 @@ def test_one_customer_holding_a_third_of_the_rows_is_spread(spark):
 
 def test_burst_must_fit_into_a_slice(spark):
     with pytest.raises(ValueError):
-        burst_flags(spark.createDataFrame([], SCHEMA), {"b": (2, 7200)}, policy=SLICED)
+        look_back(spark.createDataFrame([], SCHEMA), bursts={"b": (2, 7200)}, policy=SLICED)
