@@ -40,29 +40,35 @@ def graph_risk(component_size: Column) -> Column:
     return at_most((component_size - 1) / F.lit(4.0), 1.0)
 
 
-def decide(
-    flagged: DataFrame, default_by_customer: DataFrame, components: DataFrame, policy: DecisionPolicy = DEFAULT_DECISION
-) -> DataFrame:
-    """Score flagged transactions that also carry ``device_risk_score`` and ``ip_risk_score``.
+def risk_inputs(
+    devices: DataFrame, ip_addresses: DataFrame, default_by_customer: DataFrame, components: DataFrame
+) -> dict[str, DataFrame]:
+    """The lookups a decision needs besides the rules, by key, for ``rule_flags(also=...)``.
 
-    ``default_by_customer`` has (customer_id, credit_risk), ``components`` (customer_id,
-    component_size); both are joined to each other before they meet the transactions.
+    ``devices`` and ``ip_addresses`` are entity profiles, ``default_by_customer`` has (customer_id,
+    credit_risk) and ``components`` (customer_id, component_size).
     """
     by_customer = components.select("customer_id", "component_size").join(
         default_by_customer.select("customer_id", "credit_risk"), "customer_id", "full"
     )
-    zero = F.lit(0.0)
-    scored = (
-        flagged.join(by_customer, "customer_id", "left")
-        .withColumns(
-            {
-                "fraud_score": rule_score(),
-                "credit_risk": F.coalesce(F.col("credit_risk"), zero),
-                "component_size": F.coalesce(F.col("component_size"), F.lit(1).cast("bigint")),
-            }
-        )
-        .withColumn("graph_risk", graph_risk(F.col("component_size")))
-    )
+    return {
+        "device_id": devices.select("device_id", "device_risk_score"),
+        "ip_address": ip_addresses.select("ip_address", "ip_risk_score"),
+        "customer_id": by_customer,
+    }
+
+
+def decide(flagged: DataFrame, policy: DecisionPolicy = DEFAULT_DECISION) -> DataFrame:
+    """Decide on transactions with all rule flags and the columns of :func:`risk_inputs`; an
+    unknown risk counts as 0 and an unknown component as a lone customer."""
+    risks = ("credit_risk", "device_risk_score", "ip_risk_score")
+    scored = flagged.withColumns(
+        {
+            "fraud_score": rule_score(),
+            "component_size": F.coalesce(F.col("component_size"), F.lit(1).cast("bigint")),
+            **{c: F.coalesce(F.col(c), F.lit(0.0)) for c in risks},
+        }
+    ).withColumn("graph_risk", graph_risk(F.col("component_size")))
     p = policy
     combined = (
         p.fraud * F.col("fraud_score")

@@ -45,18 +45,13 @@ def customer_degrees(customer_devices: DataFrame, customer_ips: DataFrame) -> Da
     )
 
 
-def _to_minimum(edges: DataFrame, node: str, other: str, keep) -> DataFrame:
-    """Re-attach each ``other`` of a node to the least node of its neighbourhood.
+def _least_neighbour(edges: DataFrame) -> DataFrame:
+    """(a, b, least): each edge with the least node of a's neighbourhood, a itself included.
 
     Minimum by aggregation, then a join: a hub's neighbourhood is never gathered in one task.
     """
-    least = edges.groupBy(F.col(node).alias("_node")).agg(F.min(other).alias("_least"))
-    least = least.select("_node", F.least("_node", "_least").alias("_least"))
-    return (
-        edges.filter(keep)
-        .join(least, F.col(node) == F.col("_node"))
-        .select(F.col(other).alias("a"), F.col("_least").alias("b"))
-    )
+    least = edges.groupBy("a").agg(F.least("a", F.min("b")).alias("least"))
+    return edges.join(least, "a")
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
@@ -70,12 +65,12 @@ def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     signature, folder = None, work_path(edges.sparkSession, "components")
     current = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     for number in range(max_rounds):
-        both = current.select("a", "b").unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = _to_minimum(both, "a", "b", F.col("b") > F.col("a")).filter("a <> b").distinct()
-        # Small star: every node and its smaller neighbours point to the least of them.
-        small = _to_minimum(large, "a", "b", F.lit(True))
-        own = large.groupBy("a").agg(F.min("b").alias("b"))
-        small = small.unionByName(own).filter("a <> b").distinct()
+        both = current.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
+        # Large star: a node's larger neighbours move to the least node around it.
+        large = _least_neighbour(both).filter("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        # Small star: the node and its smaller neighbours do.
+        moved = F.array(F.struct(F.col("b").alias("a"), F.col("least").alias("b")), F.struct("a", F.col("least").alias("b")))
+        small = _least_neighbour(large.distinct()).select(F.inline(moved)).filter("a <> b").distinct()
         seen = Observation()
         measured = small.observe(
             seen, F.count(F.lit(1)).alias("edges"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("hash")

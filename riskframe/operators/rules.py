@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -121,12 +121,18 @@ def rule_flags(
     inputs: RuleInputs,
     only: Iterable[str] = RULES,
     *,
+    also: Mapping[str, DataFrame] | None = None,
     config: RuleConfig = DEFAULT_CONFIG,
     policy: SkewPolicy = DEFAULT_POLICY,
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """Append one flag per rule in ``only``; a disabled rule is false. Only lookups that a wanted
-    rule needs enter the plan. Unknown outcomes count as false."""
+    rule needs enter the plan. Unknown outcomes count as false.
+
+    ``also`` maps ``customer_id``, ``device_id`` or ``ip_address`` to a further table keyed by it; its
+    columns are appended too, by the joins that the rules make anyway.
+    """
+    also = dict(also or {})
     asked = [r for r in RULES if r in set(only)]
     wanted = {r for r in asked if r in config.enabled}
     cfg = config
@@ -163,6 +169,9 @@ def rule_flags(
         by_customer.append((customer_baseline(txns), ["customer_id"]))
     if "geo_anomaly" in wanted:
         by_customer.append((inputs.homes, ["customer_id"]))
+    for column, lookups in (("device_id", by_device), ("ip_address", by_ip), ("customer_id", by_customer)):
+        if column in also:
+            lookups.append((also[column], [column]))
     df = _attach(df, keys("device_id"), by_device)
     df = _attach(df, keys("ip_address"), by_ip)
     df = _attach(df, keys(), by_customer)
@@ -205,7 +214,9 @@ def rule_flags(
         "coordinated_network": lambda: F.col("coordinated_network"),
     }
     flags = [(flag(conditions[r]()) if r in wanted else F.lit(False)).alias(r) for r in asked]
-    extra = ["_has_previous"] if "impossible_travel" in wanted else []
+    extra = [c for column, table in also.items() for c in table.columns if c != column]
+    if "impossible_travel" in wanted:
+        extra.append("_has_previous")
     return df.select(*txns.columns, *flags, *extra)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.operators import behavior, clean, entity, evaluate, graph, loans, models, quality, rules, volume
-from riskframe.operators.decision import decide
+from riskframe.operators.decision import decide, risk_inputs
 from riskframe.operators.skew import hot_keys
 from riskframe.operators.velocity import DAY, HOUR, WEEK, WINDOWS, velocity_features
 from riskframe.plans import features, views
@@ -267,14 +267,17 @@ def _expected_loss(spark, folder):
 
 def _decision(spark, folder):
     bank = Bank(spark, folder)
-    risky = bank.flagged.select("transaction_id", "customer_id", "device_id", "ip_address", *rules.RULES)
-    risky = entity.device_features(risky, bank.devices, bank.customer_devices)
-    risky = entity.ip_features(risky, bank.ip_addresses, bank.customer_ips)
     worst = bank.default_scores.groupBy("customer_id").agg(
         F.round(F.max("default_probability"), 6).alias("credit_risk")
     )
-    decided = decide(risky, worst, bank.components)
-    return decided.withColumn("reason_codes", F.concat_ws(",", "reason_codes"))
+    lookups = risk_inputs(
+        entity.entity_profile(bank.devices, bank.customer_devices, entity.DEVICE),
+        entity.entity_profile(bank.ip_addresses, bank.customer_ips, entity.IP),
+        worst,
+        bank.components,
+    )
+    flagged = rules.rule_flags(bank.transactions, bank.rule_inputs, also=lookups, hot=bank.hot_customers)
+    return decide(flagged).withColumn("reason_codes", F.concat_ws(",", "reason_codes"))
 
 
 def _score_metrics(spark, folder):

@@ -8,7 +8,7 @@ from conftest import rows_by
 from pyspark.sql import functions as F
 
 from riskframe.operators import graph, loans, volume
-from riskframe.operators.decision import DecisionPolicy, decide
+from riskframe.operators.decision import DecisionPolicy, decide, risk_inputs
 from riskframe.operators.evaluate import score_metrics
 from riskframe.operators.models import split
 from riskframe.operators.rules import RULES, RuleConfig, RuleInputs, first_match, fraud_rule_flags, rule_flags, rule_score, scenario_counts
@@ -133,25 +133,37 @@ class TestCredit:
 
 class TestDecision:
     def flagged(self, spark):
-        rows = [("T1", "C1", 0.85, 0.9, True), ("T2", "C2", 0.05, 0.05, False), ("T3", "C3", 0.85, 0.05, True)]
-        df = spark.createDataFrame(rows, "transaction_id string, customer_id string, device_risk_score double, ip_risk_score double, bad boolean")
+        rows = [("T1", "C1", 0.85, 0.9, 0.9, 9, True), ("T2", "C2", 0.05, 0.05, None, None, False), ("T3", "C3", 0.85, 0.05, None, None, True)]
+        df = spark.createDataFrame(
+            rows,
+            "transaction_id string, customer_id string, device_risk_score double, ip_risk_score double, credit_risk double,"
+            " component_size bigint, bad boolean",
+        )
         return df.select("*", *[(F.col("bad") if r in ("velocity_attack", "impossible_travel") else F.lit(False)).alias(r) for r in RULES])
 
     def test_levels_and_reasons(self, spark):
-        credit = spark.createDataFrame([("C1", 0.9)], "customer_id string, credit_risk double")
-        parts = spark.createDataFrame([("C1", 9)], "customer_id string, component_size bigint")
-        got = rows_by(decide(self.flagged(spark), credit, parts), "transaction_id")
+        got = rows_by(decide(self.flagged(spark)), "transaction_id")
         assert [got[t]["decision"] for t in ("T1", "T2", "T3")] == ["BLOCK", "APPROVE", "REVIEW"]
         assert got["T1"]["reason_codes"] == ["velocity_attack", "impossible_travel", "CREDIT_RISK", "DEVICE_RISK", "IP_RISK", "RING"]
         assert got["T2"]["reason_codes"] == [] and got["T3"]["graph_risk"] == 0.0
         assert got["T1"]["risk_score"] == pytest.approx(0.45 * 0.955 + 0.25 * 0.9 + 0.15 * 0.85 + 0.1 * 0.9 + 0.05)
 
     def test_single_signal_limits(self, spark):
-        none = spark.createDataFrame([], "customer_id string, credit_risk double, component_size bigint")
-        strict = DecisionPolicy(fraud_limits=(0.4, 0.8))
-        got = rows_by(decide(self.flagged(spark), none.drop("component_size"), none.drop("credit_risk"), strict), "transaction_id")
+        got = rows_by(decide(self.flagged(spark), DecisionPolicy(fraud_limits=(0.4, 0.8))), "transaction_id")
         assert [got[t]["decision"] for t in ("T1", "T2", "T3")] == ["BLOCK", "APPROVE", "BLOCK"]
 
+    def test_lookups_ride_on_the_rules(self, spark, case):
+        txns, inputs = case
+        parts = spark.createDataFrame([("burst", 4)], "customer_id string, component_size bigint")
+        credit = spark.createDataFrame([("night", 0.5)], "customer_id string, credit_risk double")
+        devices = spark.createDataFrame([("SHARED", 0.85)], "device_id string, device_risk_score double")
+        ips = spark.createDataFrame([("POPULAR", 0.9)], "ip_address string, ip_risk_score double")
+        flagged = rule_flags(txns, inputs, also=risk_inputs(devices, ips, credit, parts))
+        got = rows_by(decide(flagged), "transaction_id")
+        assert len(got) == txns.count()
+        assert (got["B0"]["graph_risk"], got["N1"]["credit_risk"], got["R1"]["device_risk_score"], got["R1"]["ip_risk_score"]) == (0.75, 0.5, 0.85, 0.9)
+        assert (got["O2"]["device_risk_score"], got["O2"]["credit_risk"]) == (0.0, 0.0)
+
 
 class TestGraph:
     @pytest.mark.parametrize("seed,nodes,links", [(1, 40, 25), (2, 60, 80), (3, 30, 0)])
