@@ -50,13 +50,16 @@ def read_all(spark: SparkSession, folder: str, names: Iterable[str] = LOAD_ORDER
 Sink = Callable[[str, DataFrame, str], None]
 
 
-def files_sink(folder: str, formats: Iterable[str] = ("parquet",)) -> Sink:
+def files_sink(folder: str, formats: Iterable[str] = ("parquet",), partition_by: tuple[str, ...] = ()) -> Sink:
     """Write ``<folder>/<table>.<format>`` folders, in parallel from the executors."""
 
     def write(name: str, df: DataFrame, mode: str) -> None:
         for fmt in formats:
             options = {"header": "true"} if fmt == "csv" else {}
-            df.write.mode(mode).format(fmt).options(**options).save(f"{folder.rstrip('/')}/{name}.{fmt}")
+            writer = df.write.mode(mode).format(fmt).options(**options)
+            if partition_by:
+                writer = writer.partitionBy(*partition_by)
+            writer.save(f"{folder.rstrip('/')}/{name}.{fmt}")
 
     return write
 
@@ -104,11 +107,15 @@ def load_all(
     return written
 
 
-def write_datasets(datasets: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
+def write_datasets(
+    datasets: Mapping[str, DataFrame], folder: str, partitions: Mapping[str, tuple[str, ...]] | None = None
+) -> dict[str, int]:
     """Overwrite one Parquet dataset per entry, counting rows on the way."""
     written = {}
     for name, df in datasets.items():
         seen = Observation()
-        files_sink(folder)(name, df.observe(seen, F.count(F.lit(1)).alias("rows")), "overwrite")
+        files_sink(folder, partition_by=(partitions or {}).get(name, ()))(
+            name, df.observe(seen, F.count(F.lit(1)).alias("rows")), "overwrite"
+        )
         written[name] = seen.get["rows"]
     return written
