@@ -525,8 +525,8 @@ ORACLE: dict[str, str] = {
         velocity=_VELOCITY,
     ),
     "stream_new_device": _sql(
-        f"""SELECT * FROM (SELECT customer_id, transaction_id, device_id, {_stream_new('device_id')} AS is_new_device, ip_address,
-        {_stream_new('ip_address')} AS is_new_ip FROM transactions WHERE {_PASSED})"""
+        f"""SELECT * FROM (SELECT customer_id, transaction_id, device_id, {_stream_new('device_id')} AS is_new_device
+        FROM transactions WHERE {_PASSED})"""
     ),
     "stream_enrich": _sql(
         "SELECT transaction_id, customer_id, device_id, ip_address, amount, device_risk_score, ip_risk_score FROM detection",

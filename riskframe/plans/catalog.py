@@ -23,7 +23,7 @@ from riskframe.sources.tables import write_datasets
 from riskframe.sources.testdata import TestBank
 from riskframe.streaming import windows
 from riskframe.streaming.io import run_available
-from riskframe.streaming.stateful import stream_new_entities, stream_velocity
+from riskframe.streaming.stateful import stream_new_entity, stream_velocity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -400,7 +400,7 @@ QUERIES: dict[str, Query] = {
     "stream_sliding_1h_5m": _stream(lambda live, _: windows.sliding(live.transactions), "sliding"),
     "stream_sessions": _stream(lambda live, _: windows.sessions(live.transactions), "sessions"),
     "stream_velocity": _stream(lambda live, _: stream_velocity(live.transactions), "velocity"),
-    "stream_new_device": _stream(lambda live, _: stream_new_entities(live.transactions), "entities"),
+    "stream_new_device": _stream(lambda live, _: stream_new_entity(live.transactions), "entities"),
     "stream_enrich": _stream(_stream_enrich, "enrich"),
     "stream_dedup": _stream(_stream_dedup, "dedup"),
     # scores, decisions, graph, volume, models

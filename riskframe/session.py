@@ -14,6 +14,8 @@ SQL_OPTIONS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Sessions of a busy key combine before the shuffle.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # Lets a join on (customer, slice, device) use rows partitioned by (customer, slice).
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }

@@ -1,15 +1,14 @@
 """Exact rolling velocity and new-entity flags over a stream, with keyed state.
 
-Rows wait in state until the watermark has passed their second; then all rows of that second are
-known and can be handled in event-time order, as the batch operators do. Velocity keeps one
-(count, amount) pair per second of the last seven days, grouped by day: state is bounded by the
-clock, not by the number of transactions. What waits is bounded by the watermark delay, and what a
-micro-batch brings is bounded by the source's rate limits.
+Both follow one pattern. Rows are first aggregated per key and second, with map-side combine; Spark
+emits a second once, when the watermark has passed it. A small state per key turns those totals into
+answers per second, and a stream-stream join on (key, second) brings the answers back to the rows. No
+task ever gathers the rows of a customer: what reaches a state is at most one row per second.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,199 +17,164 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from riskframe.functions.columns import cents, epoch_micros
+from riskframe.operators.entity import DEVICE, EntityKind
+from riskframe.operators.skew import OWNER, with_owner
 from riskframe.operators.velocity import NO_PREVIOUS_SECONDS, WINDOWS
 from riskframe.streaming.windows import WATERMARK
 
+ENTITY = "_entity"
 _DAY = 86_400
 
 
-class _Waiting(StatefulProcessor):
-    """Holds rows back until the watermark has passed the end of their second."""
+class VelocityProcessor(StatefulProcessor):
+    """Turns closed seconds of a customer (count, cents, first id) into window totals.
 
-    row_schema: str
-    row_columns: Sequence[str]
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", self.row_schema)
-        self.released_to = handle.getValueState("released_to", "second bigint")
-        self.late = handle.getValueState("late", "rows bigint")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        bound = self.released_to.get()[0] if self.released_to.exists() else None
-        earliest = None
-        for chunk in rows:
-            chunk = chunk[list(self.row_columns)]
-            if bound is not None:
-                on_time = chunk["second"] > bound
-                missed = int((~on_time).sum())
-                if missed:
-                    before = self.late.get()[0] if self.late.exists() else 0
-                    self.late.update((before + missed,))
-                    chunk = chunk[on_time]
-            if len(chunk):
-                first = int(chunk["second"].min())
-                earliest = first if earliest is None else min(earliest, first)
-                self.waiting.appendList(list(chunk.astype(object).itertuples(index=False, name=None)))
-        if earliest is not None:
-            self.handle.registerTimer(max((earliest + 1) * 1000, timerValues.getCurrentWatermarkInMs() + 1))
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        complete = timerValues.getCurrentWatermarkInMs() // 1000 - 1
-        held = pd.DataFrame(list(self.waiting.get()), columns=list(self.row_columns))
-        due = held[held["second"] <= complete]
-        if due.empty:
-            if len(held):
-                self.handle.registerTimer((int(held["second"].min()) + 1) * 1000)
-            return
-        rest = held[held["second"] > complete]
-        if len(rest):
-            self.waiting.put(list(rest.astype(object).itertuples(index=False, name=None)))
-            self.handle.registerTimer((int(rest["second"].min()) + 1) * 1000)
-        else:
-            self.waiting.clear()
-        self.released_to.update((int(complete),))
-        yield self.release(key, due.sort_values(["micros", "transaction_id"], kind="stable").reset_index(drop=True))
-
-    def release(self, key, due: pd.DataFrame) -> pd.DataFrame:
-        raise NotImplementedError
-
-
-class VelocityProcessor(_Waiting):
-    row_schema = "second bigint, micros bigint, transaction_id string, cents bigint"
-    row_columns = ("second", "micros", "transaction_id", "cents")
+    Seconds arrive in rounds of increasing time, since the aggregation before emits a second once,
+    when the watermark passes it. So each round can be handled at once.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.days = handle.getMapState("days", "day bigint", "seconds array<bigint>, counts array<bigint>, cents array<bigint>")
+        columns = "seconds array<bigint>, counts array<bigint>, cents array<bigint>"
+        self.days = handle.getMapState("days", "day bigint", columns)
         self.last = handle.getValueState("last", "second bigint")
 
-    def release(self, key, due: pd.DataFrame) -> pd.DataFrame:
-        fresh = due.groupby("second").agg(counts=("second", "size"), cents=("cents", "sum"))
-        first, final = int(due["second"].iloc[0]), int(due["second"].iloc[-1])
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        fresh = pd.concat(list(rows), ignore_index=True).sort_values("second", ignore_index=True)
+        now = fresh["second"].to_numpy(dtype=np.int64)
         reach = max(seconds for _, seconds in WINDOWS)
 
-        seconds, counts, amounts = [fresh.index.to_numpy()], [fresh["counts"].to_numpy()], [fresh["cents"].to_numpy()]
-        kept_days = {}
-        for (day,), (s, n, c) in list(self.days.iterator()):
-            if (day + 1) * _DAY <= first - reach:
+        stored = {}
+        for (day,), values in list(self.days.iterator()):
+            if (day + 1) * _DAY <= now[0] - reach:
                 self.days.removeKey((day,))
-                continue
-            kept_days[day] = (s, n, c)
-            seconds.append(np.asarray(s, dtype=np.int64))
-            counts.append(np.asarray(n, dtype=np.int64))
-            amounts.append(np.asarray(c, dtype=np.int64))
-        at = np.concatenate(seconds)
-        order = np.argsort(at, kind="stable")
-        at = at[order]
-        running_n = np.concatenate([[0], np.cumsum(np.concatenate(counts)[order])])
-        running_c = np.concatenate([[0], np.cumsum(np.concatenate(amounts)[order])])
-
-        now = due["second"].to_numpy(dtype=np.int64)
+            else:
+                stored[day] = tuple(np.asarray(v, dtype=np.int64) for v in values)
+        fresh_values = [fresh[c].to_numpy(dtype=np.int64) for c in ("second", "counts", "cents")]
+        parts = [stored[day] for day in sorted(stored)] + [tuple(fresh_values)]
+        at, counts, cents_ = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        running_n = np.concatenate([[0], np.cumsum(counts)])
+        running_c = np.concatenate([[0], np.cumsum(cents_)])
+
         upto = np.searchsorted(at, now, side="right")
-        out = {"customer_id": key[0], "transaction_id": due["transaction_id"]}
+        out = {OWNER: key[0], "event_time": fresh["event_time"], "first_id": fresh["first_id"]}
         for suffix, length in WINDOWS:
             since = np.searchsorted(at, now - length, side="left")
             out[f"txns_last_{suffix}"] = running_n[upto] - running_n[since] - 1
             out[f"spend_last_{suffix}"] = (running_c[upto] - running_c[since]) / 100.0
-        before = np.empty_like(now)
-        before[1:] = now[:-1]
-        gap = now - before
+        gap = np.diff(now, prepend=now[0])
         gap[0] = now[0] - self.last.get()[0] if self.last.exists() else NO_PREVIOUS_SECONDS
         out["seconds_since_last_txn"] = gap
 
-        for day, part in fresh.groupby(fresh.index.to_numpy() // _DAY):
-            s, n, c = kept_days.get(day, ([], [], []))
-            self.days.updateValue(
-                (int(day),),
-                (
-                    [*s, *(int(x) for x in part.index)],
-                    [*n, *(int(x) for x in part["counts"])],
-                    [*c, *(int(x) for x in part["cents"])],
-                ),
-            )
-        for day in [d for d in kept_days if (d + 1) * _DAY <= final - reach]:
-            self.days.removeKey((day,))
-        self.last.update((final,))
-        return pd.DataFrame(out)
-
-
-class NewEntityProcessor(_Waiting):
-    row_schema = "second bigint, micros bigint, transaction_id string, device_id string, ip_address string"
-    row_columns = ("second", "micros", "transaction_id", "device_id", "ip_address")
+        for day in np.unique(now // _DAY):
+            chosen = now // _DAY == day
+            before = stored.get(int(day), ([], [], []))
+            joined = tuple([*map(int, old), *map(int, new[chosen])] for old, new in zip(before, fresh_values))
+            self.days.updateValue((int(day),), joined)
+        self.last.update((int(now[-1]),))
+        yield pd.DataFrame(out)
+
+
+class FirstUseProcessor(StatefulProcessor):
+    """Remembers that a pair has been seen; per second, the id of the row that was first ever."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.known = {
-            "device_id": handle.getMapState("devices", "entity string", "seen boolean"),
-            "ip_address": handle.getMapState("addresses", "entity string", "seen boolean"),
-        }
+        self.seen = handle.getValueState("seen", "seen boolean")
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        """Rows (customer_id, kind, entity) known before the stream began."""
-        for kind, entity in initialState[["kind", "entity"]].itertuples(index=False):
-            self.known[kind].updateValue((entity,), (True,))
-
-    def release(self, key, due: pd.DataFrame) -> pd.DataFrame:
-        out = {"customer_id": key[0], "transaction_id": due["transaction_id"]}
-        for column, flag in (("device_id", "is_new_device"), ("ip_address", "is_new_ip")):
-            # The first row of each entity decides; a missing entity is always new.
-            new = ~due.duplicated(column) | due[column].isna()
-            for entity in due[column].dropna().unique():
-                if self.known[column].containsKey((entity,)):
-                    new &= due[column] != entity
-                else:
-                    self.known[column].updateValue((entity,), (True,))
-            out[column], out[flag] = due[column], new
-        return pd.DataFrame(out)
-
-
-def _keyed(stream: DataFrame, watermark: str, *columns) -> DataFrame:
-    micros = epoch_micros(F.col("timestamp"))
-    return (
-        stream.filter(F.col("timestamp").isNotNull())
-        .withWatermark("timestamp", watermark)
-        .select(
-            "customer_id",
-            "timestamp",
-            "transaction_id",
-            micros.alias("micros"),
-            F.floor(micros / F.lit(1_000_000)).cast("bigint").alias("second"),
-            *columns,
-        )
-    )
+        self.seen.update((True,))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        seconds = pd.concat(list(rows), ignore_index=True).sort_values("event_time", ignore_index=True)
+        first = seconds["first_id"].astype(object)
+        first.iloc[(0 if self.seen.exists() else 1) :] = None
+        self.seen.update((True,))
+        yield pd.DataFrame({OWNER: key[0], ENTITY: key[1], "event_time": seconds["event_time"], "first_id": first})
+
+
+def _timed(stream: DataFrame) -> DataFrame:
+    """Rows with an owner and the event time of their second, which is its last microsecond, as
+    ``window_time`` has it."""
+    last_micro = F.floor(epoch_micros(F.col("timestamp")) / F.lit(1_000_000)) * 1_000_000 + 999_999
+    timed = stream.filter(F.col("timestamp").isNotNull())
+    return with_owner(timed).withColumn("event_time", F.timestamp_micros(last_micro))
 
 
 def stream_velocity(stream: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """The seven velocity columns per transaction, emitted once the watermark has passed it."""
+    """The seven velocity columns per transaction, emitted once the watermark has passed its second.
+
+    State per customer: one (count, cents) per second of the last seven days, grouped by day.
+    """
     windows = ", ".join(f"txns_last_{s} bigint, spend_last_{s} double" for s, _ in WINDOWS)
-    return (
-        _keyed(stream, watermark, F.coalesce(cents(F.col("amount")), F.lit(0).cast("bigint")).alias("cents"))
-        .groupBy("customer_id")
+    measures = [f"{m}_last_{s}" for s, _ in WINDOWS for m in ("txns", "spend")]
+    timed = _timed(stream)
+    totals = (
+        timed.withWatermark("timestamp", watermark)
+        .groupBy(F.window("timestamp", "1 second"), OWNER)
+        .agg(
+            F.count("transaction_id").alias("counts"),
+            F.coalesce(F.sum(cents(F.col("amount"))), F.lit(0).cast("bigint")).alias("cents"),
+            F.min("transaction_id").alias("first_id"),
+        )
+        .select(
+            OWNER,
+            F.window_time("window").alias("event_time"),
+            F.unix_seconds("window.start").alias("second"),
+            "counts",
+            "cents",
+            "first_id",
+        )
+        .groupBy(OWNER)
         .transformWithStateInPandas(
             statefulProcessor=VelocityProcessor(),
-            outputStructType=f"customer_id string, transaction_id string, {windows}, seconds_since_last_txn bigint",
+            outputStructType=f"{OWNER} string, event_time timestamp, first_id string, {windows}, seconds_since_last_txn bigint",
             outputMode="Append",
             timeMode="EventTime",
+            eventTimeColumnName="event_time",
         )
     )
+    rows = timed.select("customer_id", OWNER, "transaction_id", "event_time").withWatermark("event_time", watermark)
+    # In a second with several rows, only the first looks back to an earlier second.
+    gap = F.when(F.col("transaction_id") == F.col("first_id"), F.col("seconds_since_last_txn")).otherwise(F.lit(0))
+    return rows.join(totals, [OWNER, "event_time"]).select(
+        "customer_id", "transaction_id", *measures, gap.cast("bigint").alias("seconds_since_last_txn")
+    )
 
 
-def stream_new_entities(stream: DataFrame, watermark: str = WATERMARK, known: DataFrame | None = None) -> DataFrame:
-    """Point-in-time flags: is this the customer's first use of the device, of the IP address?
+def stream_new_entity(
+    stream: DataFrame, kind: EntityKind = DEVICE, watermark: str = WATERMARK, known: DataFrame | None = None
+) -> DataFrame:
+    """Point-in-time flag ``is_new_<prefix>``: is this the customer's first use of the device (or IP)?
 
-    ``known`` (customer_id, kind ``device_id``/``ip_address``, entity) seeds the state.
+    A row without an entity is always new. ``known`` (customer_id, entity key) lists pairs that were
+    in use before the stream began.
     """
-    return (
-        _keyed(stream, watermark, "device_id", "ip_address")
-        .groupBy("customer_id")
+    missing = "\u0000"
+    timed = _timed(stream).withColumn(ENTITY, F.coalesce(F.col(kind.key), F.lit(missing)))
+    earliest = F.min(F.struct("timestamp", "transaction_id"))
+    seeds = None
+    if known is not None:
+        pairs = with_owner(known.select("customer_id", kind.key)).withColumnRenamed(kind.key, ENTITY)
+        seeds = pairs.select(OWNER, ENTITY).distinct().groupBy(OWNER, ENTITY)
+    firsts = (
+        timed.withWatermark("timestamp", watermark)
+        .groupBy(F.window("timestamp", "1 second"), OWNER, ENTITY)
+        .agg(earliest.alias("earliest"))
+        .select(OWNER, ENTITY, F.window_time("window").alias("event_time"), F.col("earliest.transaction_id").alias("first_id"))
+        .groupBy(OWNER, ENTITY)
         .transformWithStateInPandas(
-            statefulProcessor=NewEntityProcessor(),
-            outputStructType="customer_id string, transaction_id string, device_id string, is_new_device boolean,"
-            " ip_address string, is_new_ip boolean",
+            statefulProcessor=FirstUseProcessor(),
+            outputStructType=f"{OWNER} string, {ENTITY} string, event_time timestamp, first_id string",
             outputMode="Append",
             timeMode="EventTime",
-            initialState=known.groupBy("customer_id") if known is not None else None,
+            initialState=seeds,
+            eventTimeColumnName="event_time",
         )
     )
+    rows = timed.select("customer_id", OWNER, "transaction_id", ENTITY, "event_time").withWatermark("event_time", watermark)
+    first = F.coalesce(F.col("first_id") == F.col("transaction_id"), F.lit(False))
+    return rows.join(firsts, [OWNER, ENTITY, "event_time"]).select(
+        "customer_id",
+        "transaction_id",
+        F.when(F.col(ENTITY) != missing, F.col(ENTITY)).alias(kind.key),
+        ((F.col(ENTITY) == missing) | first).alias(f"is_new_{kind.prefix}"),
+    )

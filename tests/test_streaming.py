@@ -10,7 +10,7 @@ from riskframe.operators.entity import DEVICE, IP, first_use
 from riskframe.operators.velocity import velocity_features
 from riskframe.streaming import windows
 from riskframe.streaming.io import file_stream, run_available
-from riskframe.streaming.stateful import stream_new_entities, stream_velocity
+from riskframe.streaming.stateful import stream_new_entity, stream_velocity
 
 START = datetime(2024, 1, 1)
 SCHEMA = "transaction_id string, customer_id string, device_id string, ip_address string, amount double, timestamp timestamp"
@@ -65,22 +65,21 @@ def test_velocity_equals_batch(spark, feed):
     assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
 
 
-def test_new_entities_equal_batch(spark, feed):
+@pytest.mark.parametrize("kind", [DEVICE, IP])
+def test_new_entities_equal_batch(spark, feed, kind):
     folder, kept = feed
-    got = run_available(stream_new_entities(live(spark, folder)), "test-entities").filter("customer_id <> 'sentinel'")
-    devices = {r["_first_id"] for r in first_use(kept, DEVICE).collect()}
-    ips = {r["_first_id"] for r in first_use(kept, IP).collect()}
+    got = run_available(stream_new_entity(live(spark, folder), kind), "test-entities").filter("customer_id <> 'sentinel'")
+    firsts = {r["_first_id"] for r in first_use(kept, kind).collect()}
     rows = got.collect()
     assert len(rows) == 180
     for r in rows:
-        assert r["is_new_device"] == (r["device_id"] is None or r["transaction_id"] in devices), r
-        assert r["is_new_ip"] == (r["transaction_id"] in ips), r
+        assert r[f"is_new_{kind.prefix}"] == (r[kind.key] is None or r["transaction_id"] in firsts), r
 
 
 def test_known_entities_seed_the_state(spark, feed):
     folder, _ = feed
-    known = spark.createDataFrame([("C0", "device_id", f"D{i}") for i in range(4)], "customer_id string, kind string, entity string")
-    got = run_available(stream_new_entities(live(spark, folder), known=known), "test-known")
+    known = spark.createDataFrame([("C0", f"D{i}") for i in range(4)], "customer_id string, device_id string")
+    got = run_available(stream_new_entity(live(spark, folder), known=known), "test-known")
     mine = got.filter("customer_id = 'C0' and device_id is not null")
     assert mine.count() > 0 and mine.filter("is_new_device").count() == 0
     assert got.filter("customer_id = 'C1' and device_id is not null and is_new_device").count() > 0
