@@ -27,10 +27,6 @@ def flag(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def count_where(condition: Column) -> Column:
-    return F.count_if(condition)
-
-
 def rate4(part: Column, whole: Column) -> Column:
     """part / whole to four digits, half up, in integer arithmetic; 0 for an empty whole."""
     part, whole = part.cast("bigint"), whole.cast("bigint")

@@ -14,6 +14,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.session import staged, work_path
+
 SEGMENT_INPUTS = (
     "age",
     "income",
@@ -97,7 +99,8 @@ def segment_customers(
     filled = _numeric(features, SEGMENT_INPUTS, "customer_id").fillna(0.0)
     assembled = VectorAssembler(inputCols=list(SEGMENT_INPUTS), outputCol="raw").transform(filled)
     scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True).fit(assembled)
-    points = scaler.transform(assembled).select("customer_id", "features").persist()
+    scaled = scaler.transform(assembled).select("customer_id", "features")
+    points = staged(scaled, work_path(features.sparkSession, "segments"))
     best = None
     for k in clusters:
         model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="segment").fit(points)
@@ -105,8 +108,7 @@ def segment_customers(
         if best is None or quality > best[0]:
             best = (quality, k, model)
     quality, k, model = best
-    points.unpersist()
-    return model.transform(scaler.transform(assembled)).select(
+    return model.transform(points).select(
         "customer_id", "segment", F.lit(k).alias("cluster_count"), F.lit(float(quality)).alias("silhouette")
     )
 
@@ -123,6 +125,8 @@ def train_classifier(
 ) -> tuple[PipelineModel, DataFrame]:
     """Boosted trees with balanced class weights; returns the model and the scored test part."""
     rows = _numeric(features.filter(F.col(label).isNotNull()), inputs, row_id, F.col(label).cast("double").alias("label"))
+    # Imputation, training and scoring all read these rows; the features are computed once.
+    rows = staged(rows, work_path(features.sparkSession, "training"))
     train, test = split(rows, row_id, training.test_share, training.seed)
     share = train.agg(F.avg("label")).first()[0]
     if not share or share >= 1:

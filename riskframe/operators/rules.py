@@ -13,7 +13,7 @@ from riskframe.functions.columns import epoch_micros, flag, haversine_km
 from riskframe.operators.behavior import mean_amount
 from riskframe.operators.clean import deduplicate
 from riskframe.operators.entity import DEVICE, IP, customer_count, point_in_time_pairs
-from riskframe.operators.skew import DEFAULT_POLICY, OWNER, SkewPolicy, hot_keys, join_columns, sliced_keys, with_owner
+from riskframe.operators.skew import DEFAULT_POLICY, OWNER, SkewPolicy, attach, hot_keys, sliced_keys, with_owner
 from riskframe.operators.timeline import look_back
 
 # Rule names in evaluation order with the fraud probability of a hit.
@@ -91,18 +91,6 @@ def _travel(cfg: RuleConfig) -> dict[str, Column]:
     }
 
 
-def _attach(df: DataFrame, keys: DataFrame | None, lookups: list[tuple[DataFrame, list[str]]]) -> DataFrame:
-    """Join lookups (table, columns) to ``df``. With ``keys`` they are joined to those first, which
-    leaves one join on the partitioning that ``df`` already has."""
-    if not lookups:
-        return df
-    if keys is None:
-        return reduce(lambda left, lookup: left.join(lookup[0], lookup[1], "left"), lookups, df)
-    spread = reduce(lambda left, lookup: left.join(lookup[0], lookup[1], "left"), lookups, keys)
-    on = join_columns(keys)
-    return df.join(spread.drop(*[c for c in keys.columns if c not in on]), on, "left")
-
-
 def _clock_window(cfg: RuleConfig) -> Column:
     length = cfg.network_seconds * 1_000_000
     return F.floor(epoch_micros(F.col("timestamp")) / F.lit(length)).cast("bigint").alias("_window")
@@ -172,9 +160,9 @@ def rule_flags(
     for column, lookups in (("device_id", by_device), ("ip_address", by_ip), ("customer_id", by_customer)):
         if column in also:
             lookups.append((also[column], [column]))
-    df = _attach(df, keys("device_id"), by_device)
-    df = _attach(df, keys("ip_address"), by_ip)
-    df = _attach(df, keys(), by_customer)
+    df = attach(df, keys("device_id"), by_device)
+    df = attach(df, keys("ip_address"), by_ip)
+    df = attach(df, keys(), by_customer)
     by_merchant = []
     if "merchant_collusion" in wanted:
         shops = inputs.merchants.select("merchant_id", F.col("merchant_risk_score").alias("_shop_risk"))
@@ -186,7 +174,7 @@ def rule_flags(
             windows = windows.join(lookup, on, "left")
         by_merchant = [(windows, ["merchant_id", "_window"])]
         df = df.withColumn("_window", _clock_window(cfg))
-    df = _attach(df, None, by_merchant)
+    df = attach(df, None, by_merchant)
 
     amount = F.col("amount")
     risk = [F.col("merchant_risk_score")] if "merchant_risk_score" in txns.columns else []

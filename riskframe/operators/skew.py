@@ -9,7 +9,9 @@ skewed partitions. Aggregations combine on the map side.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,3 +76,21 @@ def sliced_keys(df: DataFrame, time: Column, slice_length: int, hot: DataFrame,
 def join_columns(keys: DataFrame) -> list[str]:
     """What to join on: the owner stands for the customer where there is one."""
     return [c for c in keys.columns if c != "customer_id" or OWNER not in keys.columns]
+
+
+def attach(df: DataFrame, keys: DataFrame | None, lookups: Sequence[tuple[DataFrame, list[str]]]) -> DataFrame:
+    """Left-join lookups (table, join columns) to ``df``; each must be unique in its columns.
+
+    With ``keys`` (distinct combinations of join columns in ``df``, owner included) the lookups are
+    joined to those first, which leaves a single join for the wide rows.
+    """
+    if not lookups:
+        return df
+
+    def joined(left: DataFrame) -> DataFrame:
+        return reduce(lambda rows, lookup: rows.join(lookup[0], lookup[1], "left"), lookups, left)
+
+    if keys is None:
+        return joined(df)
+    on = join_columns(keys)
+    return df.join(joined(keys).drop(*[c for c in keys.columns if c not in on]), on, "left")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.columns import epoch_micros, rate4
 from riskframe.operators.behavior import mean_amount, total_amount
 from riskframe.operators.entity import DEVICE, IP, EntityKind, customer_count
+from riskframe.operators.skew import OWNER, attach, with_owner
 from riskframe.operators.velocity import transaction_velocity_view
 
 UNMAPPED_RISK = 0.05
@@ -144,14 +145,21 @@ def device_risk(devices: DataFrame, customer_devices: DataFrame, as_of: Column)
 def new_device_detection(
     txns: DataFrame, customer_devices: DataFrame, device_view: DataFrame, ip_view: DataFrame
 ) -> DataFrame:
-    """Known-device lookup plus risk scores; entities that are not registered count as 0.05."""
+    """Known-device lookup plus risk scores; entities that are not registered count as 0.05.
+
+    Usage and device risk meet on the distinct (customer, device) pairs first, so the transactions
+    are joined once for both, and a popular device is spread over its customers.
+    """
     known = customer_devices.select(
         "customer_id", "device_id", F.lit(True).alias("_known"), F.col("use_count").alias("_uses")
     )
+    by_device = device_view.select("device_id", F.col("device_risk_score").alias("_device"))
+    by_ip = ip_view.select("ip_address", F.col("ip_risk_score").alias("_ip"))
+    rows = with_owner(txns)
+    pairs = rows.select("customer_id", OWNER, "device_id").filter(F.col("device_id").isNotNull()).distinct()
+    rows = attach(rows, pairs, [(known, ["customer_id", "device_id"]), (by_device, ["device_id"])])
     return (
-        txns.join(known, ["customer_id", "device_id"], "left")
-        .join(device_view.select("device_id", F.col("device_risk_score").alias("_device")), "device_id", "left")
-        .join(ip_view.select("ip_address", F.col("ip_risk_score").alias("_ip")), "ip_address", "left")
+        attach(rows, None, [(by_ip, ["ip_address"])])
         .select(
             "transaction_id",
             "customer_id",
