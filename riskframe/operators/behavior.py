@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.columns import cents, flag, from_cents
 from riskframe.operators.clean import deduplicate
-from riskframe.operators.skew import join_columns
+from riskframe.operators.skew import join_spread, splittable
 from riskframe.sources.schemas import require
 
 # Hours and weekdays (1 = Sunday) behind the time flags, fallback merchant risk.
@@ -66,11 +66,10 @@ def behavioral_features(
         "customer_id", "age", "income", "credit_score", "risk_profile", F.col("city").alias("home_city")
     )
     by_customer = customer_amount_stats(txns if history is None else history).join(profile, "customer_id", "left")
-    on = ["customer_id"]
-    if keys is not None:
-        on = join_columns(keys)
-        spread = keys.join(by_customer, "customer_id")
-        by_customer = spread.drop(*[c for c in keys.columns if c not in on])
+    if keys is None:
+        rows = txns.join(splittable(by_customer), "customer_id", "left")
+    else:
+        rows = join_spread(txns, keys.join(by_customer, "customer_id"), keys)
     shops = deduplicate(
         merchants.select("merchant_id", "merchant_name", F.col("merchant_risk_score").alias("_shop_risk")), "merchant_id"
     )
@@ -78,8 +77,7 @@ def behavioral_features(
     amount, mean, deviation = F.col("amount"), F.col("cust_avg_amount"), F.col("cust_std_amount")
     hour, day = F.hour("timestamp"), F.dayofweek("timestamp")
     return (
-        txns.join(by_customer, on, "left")
-        .join(shops, "merchant_id", "left")
+        rows.join(splittable(shops), "merchant_id", "left")
         .select(
             *[c for c in txns.columns if c != "merchant_risk_score"],
             F.coalesce(F.col("_shop_risk"), *own_risk, F.lit(DEFAULT_MERCHANT_RISK)).alias("merchant_risk_score"),

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.operators.skew import OWNER, join_columns, with_owner
+from riskframe.operators.skew import OWNER, join_spread, splittable, with_owner
 from riskframe.sources.schemas import require
 
 
@@ -77,16 +77,14 @@ def entity_features(
     if keys is None:
         rows = with_owner(txns)
         keys = rows.select("customer_id", OWNER, kind.key).distinct()
-    on = join_columns(keys)
     known = usage.select("customer_id", kind.key).distinct().withColumn(f"is_new_{p}", F.lit(False))
     looked_up = (
         keys.filter(F.col(kind.key).isNotNull())
         .join(known, ["customer_id", kind.key], "left")
-        .join(entity_profile(entities, usage, kind), kind.key, "left")
-        .drop(*[c for c in keys.columns if c not in on])
+        .join(splittable(entity_profile(entities, usage, kind)), kind.key, "left")
     )
     defaults = {f"{p}_customer_count": 1, f"{p}_txn_count": 1, f"{p}_fraud_rate": 0.0, f"{p}_risk_score": 0.0}
-    return rows.join(looked_up, on, "left").select(
+    return join_spread(rows, looked_up, keys).select(
         *txns.columns,
         *kind.profile,
         *[F.coalesce(F.col(c), F.lit(v)).alias(c) for c, v in defaults.items()],
@@ -183,7 +181,8 @@ def point_in_time_new(txns: DataFrame, usage: DataFrame, kind: EntityKind = DEVI
     """Append ``is_first_use`` (nobody but this row came first) and ``is_new_now`` (first use of
     an entity that is not in the customer's known set either)."""
     first = F.coalesce(F.col("_first_id") == F.col("transaction_id"), F.lit(False))
-    joined = txns.join(point_in_time_pairs(txns, usage, kind), ["customer_id", kind.key], "left")
+    pairs = splittable(point_in_time_pairs(txns, usage, kind))
+    joined = txns.join(pairs, ["customer_id", kind.key], "left")
     return joined.select(
         *txns.columns, first.alias("is_first_use"), (first & F.col("_known").isNull()).alias("is_new_now")
     )

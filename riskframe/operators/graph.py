@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from riskframe.operators.skew import splittable
 from riskframe.session import staged, work_path
 
 
@@ -24,7 +25,7 @@ def shared_entity_edges(customer_devices: DataFrame, customer_ips: DataFrame) ->
     usage = _usage(customer_devices, customer_ips)
     hubs = usage.groupBy("kind", "entity").agg(F.min("customer_id").alias("hub"), F.count(F.lit(1)).alias("n"))
     return (
-        usage.join(hubs.filter("n > 1"), ["kind", "entity"])
+        usage.join(splittable(hubs.filter("n > 1")), ["kind", "entity"])
         .filter("customer_id <> hub")
         .groupBy("hub", "customer_id")
         .agg(
@@ -39,7 +40,7 @@ def customer_degrees(customer_devices: DataFrame, customer_ips: DataFrame) -> Da
     usage = _usage(customer_devices, customer_ips)
     sizes = usage.groupBy("kind", "entity").agg(F.count(F.lit(1)).alias("n"))
     return (
-        usage.join(sizes, ["kind", "entity"])
+        usage.join(splittable(sizes), ["kind", "entity"])
         .groupBy("customer_id")
         .agg(F.count_if(F.col("n") > 1).alias("shared_entities"), F.sum(F.col("n") - 1).alias("co_users"))
     )
@@ -51,7 +52,7 @@ def _least_neighbour(edges: DataFrame) -> DataFrame:
     Minimum by aggregation, then a join: a hub's neighbourhood is never gathered in one task.
     """
     least = edges.groupBy("a").agg(F.least("a", F.min("b")).alias("least"))
-    return edges.join(least, "a")
+    return edges.join(splittable(least), "a")
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
@@ -93,4 +94,4 @@ def customer_components(customer_devices: DataFrame, customer_ips: DataFrame) ->
         "customer_id", F.coalesce("component", "customer_id").alias("component_id")
     )
     sizes = member.groupBy("component_id").agg(F.count(F.lit(1)).alias("component_size"))
-    return member.join(sizes, "component_id").select("customer_id", "component_id", "component_size")
+    return member.join(splittable(sizes), "component_id").select("customer_id", "component_id", "component_size")

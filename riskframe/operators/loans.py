@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import at_least, clip
+from riskframe.operators.skew import splittable
 
 
 @dataclass(frozen=True)
@@ -75,7 +76,7 @@ def default_probability(
 def loan_emi_dti(loans: DataFrame, customers: DataFrame) -> DataFrame:
     """Instalment and its share of monthly income, the latter derived from the yearly income."""
     joined = loans.select("loan_id", "customer_id", "loan_amount", "interest_rate", "tenure_months").join(
-        customers.select("customer_id", "income"), "customer_id", "left"
+        splittable(customers.select("customer_id", "income")), "customer_id", "left"
     )
     monthly = F.round(F.col("income") / 12, 2)
     emi = instalment(F.col("loan_amount"), F.col("interest_rate"), F.col("tenure_months"))
@@ -94,7 +95,7 @@ def default_scores(loans: DataFrame, customers: DataFrame, card: Scorecard = DEF
     probability = default_probability(
         F.col("credit_score"), F.col("debt_to_income"), F.col("employment_status"), F.col("delinquency_history"), card
     )
-    joined = loans.join(customers.select("customer_id", "credit_score"), "customer_id", "left")
+    joined = loans.join(splittable(customers.select("customer_id", "credit_score")), "customer_id", "left")
     return joined.select(*loans.columns, probability.alias("default_probability"))
 
 

@@ -13,7 +13,7 @@ from riskframe.functions.columns import epoch_micros, flag, haversine_km
 from riskframe.operators.behavior import mean_amount
 from riskframe.operators.clean import deduplicate
 from riskframe.operators.entity import DEVICE, IP, customer_count, point_in_time_pairs
-from riskframe.operators.skew import DEFAULT_POLICY, OWNER, SkewPolicy, attach, hot_keys, sliced_keys, with_owner
+from riskframe.operators.skew import DEFAULT_POLICY, OWNER, SkewPolicy, attach, hot_keys, sliced_keys, splittable, with_owner
 from riskframe.operators.timeline import look_back
 
 # Rule names in evaluation order with the fraud probability of a hit.
@@ -171,7 +171,7 @@ def rule_flags(
         # Merchant lookups ride along on (merchant, window), which splits a popular merchant by time.
         windows = _merchant_windows(txns, cfg)
         for lookup, on in by_merchant:
-            windows = windows.join(lookup, on, "left")
+            windows = windows.join(splittable(lookup), on, "left")
         by_merchant = [(windows, ["merchant_id", "_window"])]
         df = df.withColumn("_window", _clock_window(cfg))
     df = attach(df, None, by_merchant)

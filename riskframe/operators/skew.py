@@ -78,6 +78,17 @@ def join_columns(keys: DataFrame) -> list[str]:
     return [c for c in keys.columns if c != "customer_id" or OWNER not in keys.columns]
 
 
+def splittable(lookup: DataFrame) -> DataFrame:
+    """Let adaptive execution split the partitions of a join with ``lookup``.
+
+    It does so only if both sides come straight from a shuffle made for that join. A lookup that was
+    just aggregated, ranked or joined by (part of) the join columns is partitioned already: Spark would
+    send the other side to those partitions, popular keys whole. Rebalancing drops that partitioning
+    at the cost of moving the lookup, the smaller side, once more.
+    """
+    return lookup.hint("rebalance")
+
+
 def attach(df: DataFrame, keys: DataFrame | None, lookups: Sequence[tuple[DataFrame, list[str]]]) -> DataFrame:
     """Left-join lookups (table, join columns) to ``df``; each must be unique in its columns.
 
@@ -88,9 +99,14 @@ def attach(df: DataFrame, keys: DataFrame | None, lookups: Sequence[tuple[DataFr
         return df
 
     def joined(left: DataFrame) -> DataFrame:
-        return reduce(lambda rows, lookup: rows.join(lookup[0], lookup[1], "left"), lookups, left)
+        return reduce(lambda rows, lookup: rows.join(splittable(lookup[0]), lookup[1], "left"), lookups, left)
+
+    return joined(df) if keys is None else join_spread(df, joined(keys), keys)
+
 
-    if keys is None:
-        return joined(df)
+def join_spread(df: DataFrame, lookup: DataFrame, keys: DataFrame) -> DataFrame:
+    """Left-join a lookup that was spread over ``keys``. Sliced keys are even by construction and meet
+    ``df`` where it is; others are left to adaptive splitting."""
     on = join_columns(keys)
-    return df.join(joined(keys).drop(*[c for c in keys.columns if c not in on]), on, "left")
+    lookup = lookup.drop(*[c for c in keys.columns if c not in on])
+    return df.join(lookup if SLICE in on else splittable(lookup), on, "left")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskframe.operators.behavior import behavioral_features, customer_txn_summary
 from riskframe.operators.clean import enforce_types
 from riskframe.operators.entity import DEVICE, IP, entity_features
-from riskframe.operators.skew import DEFAULT_POLICY, OWNER, SkewPolicy, hot_keys, sliced_keys, with_owner
+from riskframe.operators.skew import DEFAULT_POLICY, OWNER, SkewPolicy, hot_keys, sliced_keys, splittable, with_owner
 from riskframe.operators.velocity import velocity_features
 from riskframe.sources.schemas import TABLES
 
@@ -107,7 +107,7 @@ def credit_features(loans: DataFrame, customers: DataFrame, txns: DataFrame) ->
     burden = F.try_divide(F.try_divide(F.col("loan_amount"), F.col("tenure_months")), F.col("monthly_income"))
     risky = (F.col("delinquency_history") > MAX_DELINQUENCIES) | (F.col("credit_score") < MIN_SOUND_SCORE)
     columns = TABLES["loans"].columns + [c for c in by_customer.columns if c != "customer_id"]
-    joined = loans.join(by_customer, "customer_id", "left")
+    joined = loans.join(splittable(by_customer), "customer_id", "left")
     return joined.select(
         *columns,
         F.when(F.col("monthly_income") > 0, burden).otherwise(F.lit(0.0)).alias("installment_to_income"),

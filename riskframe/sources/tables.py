@@ -95,7 +95,8 @@ def load_all(
     if truncate_first:
         for name in reversed(order):
             if sources[name] is not None:
-                sink(name, normalise(name, sources[name]).limit(0), "overwrite")
+                schema = normalise(name, sources[name]).schema
+                sink(name, spark.createDataFrame([], schema), "overwrite")
     written = {}
     for name in order:
         if sources[name] is None:

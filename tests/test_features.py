@@ -65,6 +65,12 @@ class TestVelocity:
         assert rows_by(velocity_features(raw), "transaction_id")["B"]["txns_last_1h"] == 1
         assert rows_by(transaction_velocity_view(raw), "transaction_id")["B"]["txns_last_1_hour"] == 0
 
+    def test_other_windows(self, spark):
+        raw = txns(spark, [(f"T{i}", "C1", 1.5, at(10, 0, 25 * i % 60 if i < 3 else 59)) for i in range(5)])
+        out = velocity_features(raw, (("1m", 60), ("5m", 300)), gap=False)
+        assert [c for c in out.columns if "last" in c] == ["txns_last_1m", "spend_last_1m", "txns_last_5m", "spend_last_5m"]
+        assert rows_by(out, "transaction_id")["T4"]["txns_last_1m"] == 4
+
     def test_empty(self, spark):
         assert velocity_features(txns(spark, [])).count() == 0
 

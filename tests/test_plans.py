@@ -1,13 +1,14 @@
 """What the plans must look like when no table is small enough to broadcast."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from riskframe.operators import clean
 from riskframe.operators.entity import device_features
 from riskframe.operators.rules import RuleInputs, rule_flags
 from riskframe.operators.velocity import velocity_features
 from riskframe.plans.catalog import Bank
-from riskframe.plans.features import fraud_features
+from riskframe.plans.features import credit_features, fraud_features
 from riskframe.session import configure
 from riskframe.sources.schemas import TABLES
 
@@ -117,3 +118,56 @@ def test_filters_on_columns_reach_the_scan(stored, large):
 def test_duplicates_are_cut_before_the_shuffle(stored, large):
     path = main_path(clean.clean_transactions(stored["transactions"].select(*TABLES["transactions"].columns)))
     assert path.index("Exchange") < len(path) - 1 - path[::-1].index("WindowGroupLimit"), path
+
+
+def popular(column, value):
+    third = F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == 0
+    return F.when(third, F.lit(value)).otherwise(F.col(column))
+
+
+def skewed_features(t):
+    return features(t)
+
+
+def skewed_devices(t):
+    return device_features(t["transactions"], t["devices"], t["customer_devices"])
+
+
+def skewed_rules(t):
+    inputs = RuleInputs(t["customer_devices"], t["customer_ips"], t["merchants"], t["homes"])
+    return rule_flags(t["transactions"], inputs, ["abnormal_spending", "merchant_collusion"])
+
+
+def skewed_credit(t):
+    return credit_features(t["loans"], clean.clean_customers(t["customers"]), t["transactions"])
+
+
+@pytest.mark.parametrize("build", [skewed_features, skewed_devices, skewed_rules, skewed_credit])
+def test_adaptive_execution_splits_a_popular_key(spark, stored, build):
+    """A third of the rows at one merchant, one (customer, device) pair, one borrower: the join
+    partition that holds them is cut into several tasks."""
+    configure(spark)
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    kept = {key: spark.conf.get(key, None) for key in limits}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    try:
+        columns = {"merchant_id": "MERCH000007"}
+        if build is not skewed_features:
+            columns |= {"customer_id": "CUST0000003", "device_id": "DEV0000009"}
+        txns = stored["transactions"].repartition(8).withColumns({c: popular(c, v) for c, v in columns.items()})
+        one = F.when(F.pmod(F.xxhash64("loan_id"), F.lit(3)) == 0, F.lit("CUST0000003")).otherwise(F.col("customer_id"))
+        loans = stored["loans"].repartition(8).withColumn("customer_id", one)
+        df = build({**stored, "transactions": txns, "loans": loans})
+        assert len(df.collect()) == (loans if build is skewed_credit else txns).count()
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in kept.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -12,7 +12,7 @@ from riskframe.operators.decision import DecisionPolicy, decide, risk_inputs
 from riskframe.operators.evaluate import score_metrics
 from riskframe.operators.models import split
 from riskframe.operators.rules import RULES, RuleConfig, RuleInputs, first_match, fraud_rule_flags, rule_flags, rule_score, scenario_counts
-from riskframe.functions.columns import haversine_km, rate4
+from riskframe.functions.columns import clip, fingerprint, haversine_km, padded_id, rate4
 from riskframe.sources.schemas import TABLES
 
 NOON = datetime(2026, 8, 12, 12)
@@ -102,6 +102,15 @@ class TestColumns:
         antipodes = spark.range(1).select(haversine_km(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(180.0)).alias("d")).first()["d"]
         assert antipodes == pytest.approx(20015.09, abs=0.1)
 
+    def test_ids(self, spark):
+        row = spark.range(7, 8).select(padded_id("CUST", F.col("id"), 7).alias("i"), fingerprint(F.lit("x")).alias("f")).first()
+        assert row["i"] == "CUST0000007" and len(row["f"]) == 40 and row["f"].startswith("2d711642b726b044")
+
+    def test_unknown_stays_unknown(self, spark):
+        nothing = F.lit(None).cast("double")
+        row = spark.range(1).select(clip(nothing, 0.1, 0.9).alias("c"), haversine_km(nothing, F.lit(0.0), F.lit(1.0), F.lit(1.0)).alias("d"))
+        assert row.first()[:] == (None, None)
+
     def test_rate_is_rounded_half_up(self, spark):
         cases = [(1, 3, 0.3333), (3, 20000, 0.0002), (1, 20000, 0.0001), (0, 0, 0.0), (2, 3, 0.6667)]
         df = spark.createDataFrame([c[:2] for c in cases], "f int, t int").select(rate4(F.col("f"), F.col("t")).alias("r"))
