@@ -34,6 +34,7 @@ PROBABILITY = {
     "coordinated_network": 0.30,
 }
 RULES = tuple(PROBABILITY)
+NO_WINDOW = -(1 << 62)
 
 
 @dataclass(frozen=True)
@@ -92,16 +93,19 @@ def _travel(cfg: RuleConfig) -> dict[str, Column]:
 
 
 def _clock_window(cfg: RuleConfig) -> Column:
+    """Number of the clock window; rows without time share ``NO_WINDOW``, so they still find their
+    merchant."""
     length = cfg.network_seconds * 1_000_000
-    return F.floor(epoch_micros(F.col("timestamp")) / F.lit(length)).cast("bigint").alias("_window")
+    number = F.floor(epoch_micros(F.col("timestamp")) / F.lit(length)).cast("bigint")
+    return F.coalesce(number, F.lit(NO_WINDOW).cast("bigint")).alias("_window")
 
 
 def _merchant_windows(txns: DataFrame, cfg: RuleConfig) -> DataFrame:
     """Per (merchant, clock window): did many customers pay? Distinct payers are counted as
     (merchant, window, customer) groups first, so a popular merchant is spread."""
-    return txns.groupBy("merchant_id", _clock_window(cfg)).agg(
-        (F.countDistinct("customer_id") >= cfg.network_customers).alias("coordinated_network")
-    )
+    crowded = (F.countDistinct("customer_id") >= cfg.network_customers) & (F.col("_window") != NO_WINDOW)
+    windows = txns.select("merchant_id", "customer_id", _clock_window(cfg))
+    return windows.groupBy("merchant_id", "_window").agg(crowded.alias("coordinated_network"))
 
 
 def rule_flags(

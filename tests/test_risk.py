@@ -84,6 +84,17 @@ class TestRules:
         assert labels["N1"]["first_match"] == "unusual_hours", "no earlier transaction, so the search goes on"
         assert labels["R3"]["first_match"] == "device_sharing" and labels["V2"]["first_match"] == "impossible_travel"
 
+    def test_rows_without_time(self, spark, case):
+        """They find their merchant's risk, but are no crowd."""
+        _, inputs = case
+        values = [(f"T{i}", f"C{i % 7}", "RISKY", 10.0 if i < 14 else 500.0, None) for i in range(15)]
+        some = spark.createDataFrame(values, "transaction_id string, customer_id string, merchant_id string, amount double, timestamp timestamp")
+        out = rule_flags(some, inputs, ["merchant_collusion", "coordinated_network"])
+        assert fired(out, "merchant_collusion") == [] and fired(out, "coordinated_network") == []
+        usual = some.unionByName(some.filter("transaction_id in ('T0', 'T7')").withColumn("transaction_id", F.concat("transaction_id", F.lit("x"))))
+        out = rule_flags(usual, inputs, ["merchant_collusion", "coordinated_network"])
+        assert fired(out, "merchant_collusion") == ["T14"] and fired(out, "coordinated_network") == []
+
     def test_only_needed_lookups_are_planned(self, case):
         plan = rule_flags(*case, only=["unusual_hours"])._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in plan and "Window" not in plan
