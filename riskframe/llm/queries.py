@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import simhash, substrings
+from riskframe.llm import fingerprints, packing, simhash, substrings
 from riskframe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), with_ids=False)
+
+
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.remove_repeats(table(spark, folder, "documents"))
     words = F.filter(F.split(F.coalesce("kept", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
@@ -23,9 +27,15 @@ def op7_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op10_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op10_document_fingerprints": op10_document_fingerprints,
 }
 
 ORACLE: dict[str, str] = {}
