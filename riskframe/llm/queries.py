@@ -7,35 +7,72 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import fingerprints, packing, simhash, substrings
+from riskframe.llm import fingerprints, mixing, packing, quality, simhash, substrings, topk, urls
 from riskframe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), with_ids=False)
 
 
+def op4_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.remove_repeats(table(spark, folder, "documents"))
     words = F.filter(F.split(F.coalesce("kept", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.array_join(words, " "), 256).alias("kept_sha256"))
 
 
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.train(docs, table(spark, folder, "labels")))
+    return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op2_url_filter": op2_url_filter,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_exact_topk": op4_exact_topk,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_source_mixing": op8_source_mixing,
     "op10_document_fingerprints": op10_document_fingerprints,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_exact_topk": """
+        WITH usable AS (
+            SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+            FROM usable q JOIN usable c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 20 = 0
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM scored
+        QUALIFY rank <= 20
+    """,
+}
