@@ -7,12 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import fingerprints, mixing, packing, quality, simhash, substrings, topk, urls
+from riskframe.llm import fingerprints, language, mixing, packing, quality, rendering, simhash, substrings, topk, urls
 from riskframe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages, and all documents with their source in the place of a host."""
+    docs, pages = table(spark, folder, "documents"), table(spark, folder, "pages")
+    model = language.fit(docs)
+    shown = ("lang", "confidence", "text_lang", "declared", "host")
+    by_page = language.fuse(language.page_evidence(pages, model), model).select(F.col("id").alias("page_id"), F.lit(None).cast("long").alias("doc_id"), *shown)
+    by_text = language.fuse(language.text_evidence(docs, model, host=F.col("source")), model).select(F.lit(None).cast("long").alias("page_id"), F.col("id").alias("doc_id"), *shown)
+    return by_page.unionByName(by_text)
+
+
 def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
 
@@ -45,11 +55,16 @@ def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return rendering.extract(table(spark, folder, "pages"))
+
+
 def op10_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
     "op2_url_filter": op2_url_filter,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_exact_topk": op4_exact_topk,
@@ -57,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op6_quality_classifier": op6_quality_classifier,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_source_mixing": op8_source_mixing,
+    "op9_html_extraction": op9_html_extraction,
     "op10_document_fingerprints": op10_document_fingerprints,
 }
 
