@@ -13,9 +13,6 @@ from riskframe.session import staged, work_path
 
 Batches = Iterator[pa.RecordBatch]
 
-MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
 def stage(df: DataFrame, label: str) -> DataFrame:
     """``df`` written below ``spark.checkpoint.dir`` and read again: short lineage, shared by all executors."""
     return staged(df, work_path(df.sparkSession, label))
