@@ -6,13 +6,13 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from riskframe.session import staged, work_path
 
 Batches = Iterator[pa.RecordBatch]
 
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """``df`` written below ``spark.checkpoint.dir`` and read again: short lineage, shared by all executors."""
     return staged(df, work_path(df.sparkSession, label))
@@ -27,9 +27,12 @@ def text_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def word_count(text: Column) -> Column:
-    """Number of ``[^\\x20\\x09-\\x0D]+`` in a text; null has none."""
-    return F.coalesce(F.size(F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")), F.lit(0)).cast("long")
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it, so that no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def batch(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import stage
+from riskframe.llm.common import fresh, stage
 
 #: Weights by position of the source, repeating.
 WEIGHTS = (5, 2, 1)
@@ -104,7 +104,8 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
 def mixed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **settings) -> DataFrame:
     """The mix itself: rows of ``docs`` as often as ``mix`` takes them, with the same columns."""
     taken = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **settings).filter("times > 0")
-    taken = taken.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("key").alias("_key"), F.col("times").alias("_times")).distinct()
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & F.col(source_col).cast("string").eqNullSafe(F.col("_source")) & (F.xxhash64(F.col(text_col)) == F.col("_key"))
-    both = docs.join(taken, same).withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return both.select(*[F.col(f"`{c}`") for c in docs.columns])
+    taken = taken.select("doc_id", "source", "key", "times").distinct()
+    same = docs[id_col].cast("long").eqNullSafe(taken["doc_id"]) & docs[source_col].cast("string").eqNullSafe(taken["source"])
+    both = docs.join(taken, same & (F.xxhash64(docs[text_col]) == taken["key"]))
+    again = F.explode(F.sequence(F.lit(1), taken["times"])).alias(fresh(docs, "again"))
+    return both.select(*[docs[f"`{c}`"] for c in docs.columns], again).select(*[F.col(f"`{c}`") for c in docs.columns])

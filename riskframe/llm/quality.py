@@ -13,10 +13,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import Batches, arrow_type, batch, stage, text_bytes
+from riskframe.llm.common import Batches, arrow_type, batch, fresh, stage, text_bytes
 
 PASSAGE = 48
 MAX_LABELS = 8_000
@@ -186,31 +187,31 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     return fit(bags, np.array([float(r["_label"] > 0) for r in rows]))
 
 
-def score(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``score`` (probability of label 1) from the whole text alone, replacing columns of that name.
+def score(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """``docs`` with ``score_col`` (probability of label 1) from the whole text alone, in place of a column of that name.
 
     Null and empty texts are scored as a passage without words; without a model every score is 0.5.
     """
-    kept = docs.drop("score")
+    kept = docs.drop(score_col)
     columns = kept.columns
     at = columns.index(text_col)
-    out = kept.withColumn("score", F.lit(0.5)).schema
+    out = kept.withColumn(score_col, F.lit(0.5)).schema
 
     def run(batches: Batches) -> Batches:
-        import pyarrow as pa
-
         for b in batches:
             values = []
             texts = text_bytes(b.column(at))
             for k in range(0, len(texts), 256):
                 bags = [passages(t) for t in texts[k : k + 256]]
                 values += model.scores(bags).tolist() if model else [0.5] * len(bags)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(values, pa.float64())], names=[*columns, "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(values, pa.float64())], names=[*columns, score_col])
 
     return kept.mapInArrow(run, out)
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5, **columns) -> DataFrame:
-    """``docs`` without those scored below ``threshold``."""
-    scored = score(docs, train(docs, labels, **columns), **{k: v for k, v in columns.items() if k in ("id_col", "text_col")})
-    return scored.filter(F.col("score") >= threshold).select(*docs.columns)
+def keep_good(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """``docs`` without those scored below ``threshold``; its columns stay as they are."""
+    name = fresh(docs, "score")
+    model = train(docs, labels, id_col=id_col, text_col=text_col, **settings)
+    scored = score(docs, model, id_col=id_col, text_col=text_col, score_col=name)
+    return scored.filter(F.col(name) >= threshold).drop(name)

@@ -19,10 +19,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import Batches, arrow_type, batch, mix64, runs, sorted_groups, stage, text_bytes
+from riskframe.llm.common import Batches, arrow_type, batch, fresh, mix64, runs, sorted_groups, stage, text_bytes
 
 WINDOW = 35
 ANCHOR = 12
@@ -160,15 +160,8 @@ class Block:
         return marks
 
 
-def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-
-
 def pieces(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    """(doc, anchor, piece, first, windows): anchors and content hashes of all pieces.
-
-    ``doc`` is a hash of id and text, so that repeated ids and null ids keep their texts apart.
-    """
+    """(doc, anchor, piece, first, windows): anchors and content hashes of all pieces of rows (doc, text)."""
     schema = arrow_type("doc long, anchor long, piece long, first int, windows int")
 
     def run(batches: Batches) -> Batches:
@@ -186,8 +179,7 @@ def pieces(docs: DataFrame, window: int, anchor: int) -> DataFrame:
             if got:
                 yield batch(schema, [np.concatenate(c) for c in zip(*got, strict=True)])
 
-    keyed = docs.select("doc", "text")
-    return keyed.mapInArrow(run, "doc long, anchor long, piece long, first int, windows int")
+    return docs.select("doc", "text").mapInArrow(run, "doc long, anchor long, piece long, first int, windows int")
 
 
 def _span_hash(words: np.ndarray, first: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -201,15 +193,18 @@ def _span_hash(words: np.ndarray, first: np.ndarray, ends: np.ndarray) -> np.nda
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """Tells rows apart by content; equal rows have equal spans and count as often as they occur."""
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+
+
 def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, anchor: int = ANCHOR, block: int = BLOCK) -> DataFrame:
-    """(doc_id, text, starts, counts): every row of ``docs`` with the runs of its windows that also start elsewhere.
+    """(doc, marks): for each content of a row (``row_key``) the first words of its windows that also start elsewhere.
 
-    ``starts`` and ``counts`` give the first word of each run of repeated windows and their number; both are
-    null where none is repeated. A null text has no words; equal rows are occurrences of their own, so a
-    repeated row is repeated throughout. Only the two named columns are read.
+    Contents without repeated windows have no row. A null text has no words; equal rows are occurrences of their
+    own, so a repeated row is repeated throughout. Only the two named columns are read.
     """
-    # `doc` tells rows apart by content; equal rows have equal spans and count as often as they occur.
-    keyed = _narrow(docs, id_col, text_col).withColumn("doc", F.xxhash64("doc_id", "text"))
+    keyed = docs.select(row_key(id_col, text_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
     found = stage(pieces(keyed, window, anchor), "pieces")
     # One aggregation tells anchors that occur once, in one content, or in several.
     kinds = found.groupBy("anchor").agg(
@@ -224,8 +219,7 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     crowded = mixed.groupBy("anchor").agg((F.count(F.lit(1)) > block).alias("crowded"))
     wanted = mixed.join(crowded, "anchor").select("at.doc", "anchor", "piece", "copies", "at.first", "at.windows", "crowded")
     lists = wanted.groupBy("doc").agg(F.collect_list(F.struct("anchor", "piece", "copies", "first", "windows", "crowded")).alias("wanted"))
-    texts = keyed.select("doc", "text")
-    cut = stage(texts.join(lists, "doc").mapInArrow(_cut(window), _CUT), "cut")
+    cut = stage(keyed.join(lists, "doc").mapInArrow(_cut(window), _CUT), "cut")
     parsed = sorted_groups(cut.filter("not crowded").drop("crowded"), "anchor", _parse(window), _MARKS)
     # Crowded anchors: windows by hash, with the copies of their piece; a hash seen twice is a repeat.
     single = cut.filter("crowded").select("anchor", "piece", "copies", F.posexplode(_longs("words")).alias("at", "hash"))
@@ -235,8 +229,7 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     partly = shared.filter("mixed").join(marks, ["anchor", "piece"]).select("doc", "first", "marks")
     whole = shared.filter("not mixed").select("doc", "first", F.sequence(F.lit(0), F.col("windows") - 1).alias("marks"))
     spans = whole.unionByName(partly).select("doc", F.transform("marks", lambda m: m + F.col("first")).alias("marks"))
-    spans = spans.groupBy("doc").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("marks")))).alias("marks"))
-    return keyed.join(spans, "doc", "left").select("doc_id", "text", "marks")
+    return spans.groupBy("doc").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("marks")))).alias("marks"))
 
 
 _CUT = "anchor long, piece long, copies long, crowded boolean, words binary"
@@ -284,44 +277,55 @@ def _parse(window: int):
     return run
 
 
+def kept_words(text: bytes | None, marks: list[int] | None, window: int) -> tuple[bytes | None, int, int]:
+    """(kept text, words, removed words): a text that loses nothing is unchanged, else its kept words are joined."""
+    if text is None:
+        return None, 0, 0
+    parts = text.split()
+    if not marks:
+        return text, len(parts), 0
+    edge = np.zeros(len(parts) + 1, np.int64)
+    at = np.asarray(marks)
+    edge[at] += 1
+    edge[at + window] -= 1
+    covered = np.cumsum(edge[:-1]) > 0
+    return b" ".join([w for w, c in zip(parts, covered.tolist(), strict=True) if not c]), len(parts), int(covered.sum())
+
+
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, **settings) -> DataFrame:
-    """(doc_id, text, n_words, n_removed, kept): ``kept`` is the text without the words of repeated windows.
+    """(doc_id, n_words, n_removed, kept), one row for each row of ``docs``.
 
-    A text that loses no word is returned unchanged; otherwise its kept words are joined by one space. Texts of
-    less than ``window`` words lose none; null texts stay null with zero words.
+    ``kept`` is the text without the words of repeated windows. Texts of less than ``window`` words lose none;
+    null texts stay null with zero words.
     """
     spans = repeated_spans(docs, id_col=id_col, text_col=text_col, window=window, **settings)
-    out = "doc_id long, text string, n_words long, n_removed long, kept string"
+    narrow = docs.select(row_key(id_col, text_col).alias("doc"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    joined = narrow.join(spans, "doc", "left").select("doc_id", "text", "marks")
+    schema = "doc_id long, n_words long, n_removed long, kept string"
 
     def run(batches: Batches) -> Batches:
-        schema = arrow_type(out)
         for b in batches:
-            rows = []
-            for key, text, marks in zip(b.column(0).to_pylist(), text_bytes(b.column(1)), b.column(2).to_pylist(), strict=True):
-                if text is None:
-                    rows.append((key, None, 0, 0, None))
-                    continue
-                parts = text.split()
-                if not marks:
-                    rows.append((key, text, len(parts), 0, text))
-                    continue
-                edge = np.zeros(len(parts) + 1, np.int64)
-                at = np.asarray(marks)
-                np.add.at(edge, at, 1)
-                np.add.at(edge, at + window, -1)
-                covered = np.cumsum(edge[:-1]) > 0
-                kept = b" ".join([w for w, c in zip(parts, covered.tolist(), strict=True) if not c])
-                rows.append((key, text, len(parts), int(covered.sum()), kept))
-            if rows:
-                yield batch(schema, zip(*rows, strict=True))
+            for at in range(0, b.num_rows, 512):
+                part = b.slice(at, 512)
+                rows = [kept_words(t, m, window) for t, m in zip(text_bytes(part.column(1)), part.column(2).to_pylist(), strict=True)]
+                kept, words, removed = zip(*rows, strict=True)
+                yield batch(arrow_type(schema), (part.column(0), words, removed, kept))
+
+    return joined.mapInArrow(run, schema)
 
-    return spans.mapInArrow(run, out)
 
+def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, **settings) -> DataFrame:
+    """``docs`` with the words of repeated windows removed from ``text_col``; all rows and columns stay."""
+    spans = repeated_spans(docs, id_col=id_col, text_col=text_col, window=window, **settings)
+    key, marks = (fresh(docs, name) for name in ("doc", "marks"))
+    joined = docs.withColumn(key, row_key(id_col, text_col)).join(spans.toDF(key, marks), key, "left").drop(key)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Batches) -> Batches:
+        for b in batches:
+            *columns, found = b.columns
+            rows = zip(text_bytes(columns[at]), found.to_pylist(), strict=True)
+            columns[at] = pa.array([kept_words(t, m, window)[0] for t, m in rows], pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=b.schema.names[:-1])
 
-def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """``docs`` with repeated passages removed from ``text_col``; all rows and columns stay."""
-    changed = remove_repeats(docs, id_col=id_col, text_col=text_col, **settings).filter("n_removed > 0")
-    changed = changed.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), F.col("kept").alias("_kept")).distinct()
-    same = docs[id_col].cast("long").eqNullSafe(changed["_id"]) & docs[text_col].eqNullSafe(changed["_text"])
-    joined = docs.join(changed, same, "left")
-    return joined.withColumn(text_col, F.coalesce("_kept", docs[text_col])).select(*docs.columns)
+    return joined.mapInArrow(run, docs.schema)
