@@ -3,7 +3,8 @@
 A source whose target is r times its words takes every document floor(r) times for certain. The rest is a
 sample without replacement: documents are ranked by random odds over inclusion odds, (u / (1 - u)) /
 (p / (1 - p)), and taken in that order up to a fixed size, measured in words. The last place goes to the
-document that fits the remaining gap best.
+document that fits the remaining gap best, so a source misses its target by half its longest document at
+most, and by a few words where it has many documents.
 
 Ranking needs no global sort: the rank values are cut into bins, words are summed per source and bin, and
 only the documents of the bin in which the size is reached are put in order.

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from riskframe.llm import rendering, topk
 
@@ -28,19 +29,19 @@ def test_topk_equals_brute_force(spark, kind, block):
     rows = [(i, x.tolist()) for i, x in enumerate(v)]
     rows += [(1000, None), (1020, [None] * 6), (1040, [float("nan")] * 6), (1060, [float("inf")] * 6), (1080, []), (1100, [1.0, 2.0]), (None, [1.0] * 6), (1120, [0.0] * 6)]
     table = spark.createDataFrame([(i, x, 1.0, 2) for i, x in rows], "vec_id long, embedding array<float>, r double, block int")
-    got = topk.search(table, table["vec_id"] % 20 == 0, k=7, block=block, query_block=5, pivots=6, sample=40)
+    got = topk.search(table, F.col("vec_id") % 20 == 0, k=7, block=block, query_block=5, pivots=6, sample=40)
     assert sorted(map(tuple, got.collect())) == brute(rows, 7)
 
 
 def test_topk_few_rows_and_large_numbers(spark):
     schema = "vec_id long, embedding array<double>"
     empty = spark.createDataFrame([], schema)
-    assert topk.search(empty, empty["vec_id"] % 20 == 0).count() == 0
+    assert topk.search(empty, F.col("vec_id") % 20 == 0).count() == 0
     big = spark.createDataFrame([(0, [2.0**22, 1.0]), (1, [2.0**22, 3.0]), (2, [2.0**22, 2.0])], schema)
-    got = [(r["vec_id"], r["score"]) for r in topk.search(big, big["vec_id"] % 20 == 0).orderBy("rank").collect()]
+    got = [(r["vec_id"], r["score"]) for r in topk.search(big, F.col("vec_id") % 20 == 0).orderBy("rank").collect()]
     assert got == [(1, 2**56 + 64 * 192), (2, 2**56 + 64 * 128)]
     same = spark.createDataFrame([(20, [1.0]), (20, [1.0]), (3, [1.0])], schema)
-    assert topk.search(same, same["vec_id"] % 20 == 0).count() == 2
+    assert topk.search(same, F.col("vec_id") % 20 == 0).count() == 2
 
 
 CASES = {
