@@ -226,9 +226,10 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     often = single.groupBy("anchor", "hash").agg(F.sum("copies").alias("n")).filter("n > 1")
     counted = single.join(often, ["anchor", "hash"]).groupBy("anchor", "piece").agg(F.array_sort(F.collect_set("at")).alias("marks"))
     marks = parsed.unionByName(counted.select("anchor", "piece", "marks"))
-    partly = shared.filter("mixed").join(marks, ["anchor", "piece"]).select("doc", "first", "marks")
-    whole = shared.filter("not mixed").select("doc", "first", F.sequence(F.lit(0), F.col("windows") - 1).alias("marks"))
-    spans = whole.unionByName(partly).select("doc", F.transform("marks", lambda m: m + F.col("first")).alias("marks"))
+    # Each piece meets its content's marks, one row for one row; pieces that are duplicates as they stand have none.
+    whole = F.sequence(F.lit(0), F.col("windows") - 1)
+    found = F.when(F.col("mixed"), F.coalesce("marks", F.array().cast("array<int>"))).otherwise(whole)
+    spans = shared.join(marks, ["anchor", "piece"], "left").select("doc", F.transform(found, lambda m: m + F.col("first")).alias("marks"))
     return spans.groupBy("doc").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("marks")))).alias("marks"))
 
 
