@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from riskframe.llm.common import Batches, arrow_type, batch, mix64, runs, sorted_groups, stage, text_bytes
 from riskframe.operators.graph import connected_components
+from riskframe.operators.skew import splittable
 
 TILE = 4096
 MIX = 0x9E3779B97F4A7C15
@@ -165,7 +166,7 @@ def links(prints: DataFrame, *, bits: int = 64, max_diff: int = 2, segments: int
     keys = prints.select("fingerprint").distinct().mapInArrow(keyed, "key long, fingerprint string")
     sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     # A bucket of several tiles makes a group of each pair of tiles; a single tile is one group.
-    shared = keys.join(sizes, "key").withColumn("tiles", F.ceil(F.col("n") / tile).cast("int"))
+    shared = keys.join(splittable(sizes), "key").withColumn("tiles", F.ceil(F.col("n") / tile).cast("int"))
     mine = F.pmod(F.xxhash64("fingerprint"), F.col("tiles")).cast("int")
     units = shared.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     units = units.select(
@@ -203,7 +204,7 @@ def components(prints: DataFrame, **ring) -> DataFrame:
     own = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     own = stage(own.join(labels, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint")), "roots")
     least = own.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = own.join(least, "root").select("fingerprint", "component_id")
+    named = own.join(splittable(least), "root").select("fingerprint", "component_id")
     return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import Batches, arrow_type, batch, fresh, mix64, runs, sorted_groups, stage, text_bytes
+from riskframe.operators.skew import splittable
 
 WINDOW = 35
 ANCHOR = 12
@@ -210,14 +211,14 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     kinds = found.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("n"), (F.min("piece") != F.max("piece")).alias("mixed")
     )
-    shared = found.join(kinds.filter("n > 1"), "anchor")
+    shared = found.join(splittable(kinds.filter("n > 1")), "anchor")
     shared = stage(shared.select("doc", "anchor", "piece", "first", "windows", "mixed"), "shared")
     mixed = shared.filter("mixed").groupBy("anchor", "piece").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc", "first", "windows")).alias("at")
     )
     mixed = stage(mixed, "mixed")
     crowded = mixed.groupBy("anchor").agg((F.count(F.lit(1)) > block).alias("crowded"))
-    wanted = mixed.join(crowded, "anchor").select("at.doc", "anchor", "piece", "copies", "at.first", "at.windows", "crowded")
+    wanted = mixed.join(splittable(crowded), "anchor").select("at.doc", "anchor", "piece", "copies", "at.first", "at.windows", "crowded")
     lists = wanted.groupBy("doc").agg(F.collect_list(F.struct("anchor", "piece", "copies", "first", "windows", "crowded")).alias("wanted"))
     cut = stage(keyed.join(lists, "doc").mapInArrow(_cut(window), _CUT), "cut")
     parsed = sorted_groups(cut.filter("not crowded").drop("crowded"), "anchor", _parse(window), _MARKS)
