@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+from riskframe.sources.schemas import TABLES
 from riskframe.sources.testdata import duckdb_ctes
 
 _TABLES = duckdb_ctes()
@@ -154,6 +157,16 @@ _ORPHANS = {
 }
 
 
+_TYPED_DIRTY = f"""SELECT * REPLACE (case when isfinite(try_cast(amount as double)) then try_cast(amount as double) end AS amount,
+  try_cast(timestamp as timestamp) AS timestamp, cast(is_fraud as boolean) AS is_fraud, cast(latitude as double) AS latitude)
+  FROM transactions_dirty"""
+_CLEAN_DIRTY = f"""SELECT *, {_SEC} AS timestamp_sec FROM typed_dirty
+  QUALIFY row_number() over (PARTITION BY transaction_id ORDER BY timestamp DESC NULLS LAST) = 1"""
+_DIRTY_CTES = {"typed_dirty": _TYPED_DIRTY, "clean_dirty": _CLEAN_DIRTY}
+# The checks see declared types, not yet without what is not finite.
+_CHECKED = "(SELECT * REPLACE (try_cast(amount as double) AS amount, try_cast(timestamp as timestamp) AS timestamp) FROM transactions_dirty)"
+
+
 def _checks(rows: dict[str, str]) -> str:
     return " UNION ALL ".join(f"SELECT '{name}' AS \"check\", ({query}) AS violations" for name, query in rows.items())
 
@@ -214,6 +227,46 @@ def _report() -> str:
     )
 
 
+def _dirty_report() -> str:
+    delivered = "SELECT count(*) FROM transactions_dirty WHERE"
+    number = "try_cast(amount as double)"
+    amounts = {
+        "unreadable_txn_amounts": f"{delivered} amount IS NOT NULL AND {number} IS NULL",
+        "non_finite_txn_amounts": f"{delivered} NOT isfinite({number})",
+        "over_precise_txn_amounts": f"{delivered} isfinite({number}) AND round({number}, 2) <> {number}",
+    }
+    groups = {
+        "orphan_checks": _orphan_sql(_CHECKED),
+        "null_checks": _null_sql(_CHECKED),
+        "range_checks": _range_sql(_CHECKED),
+        "unique_checks": _unique_sql(_CHECKED),
+    }
+    for table in ("customers", "accounts", "merchants", "devices", "loans", "customer_devices"):
+        groups = {g: re.sub(rf"\b(FROM|JOIN) {table}\b", rf"\1 {table}_dirty", q) for g, q in groups.items()}
+    groups["amount_checks"] = _checks(amounts)
+    return " UNION ALL ".join(
+        f"SELECT '{g}' AS check_group, \"check\", violations, violations = 0 AS passed FROM ({q})" for g, q in groups.items()
+    )
+
+
+_DIRTY_NAMES = {"customers", "accounts", "merchants", "devices", "loans", "customer_devices", "transactions"}
+
+
+def _constraints() -> str:
+    source = lambda n: _CHECKED if n == "transactions" else f"{n}_dirty" if n in _DIRTY_NAMES else n
+    rows = []
+    for name, t in TABLES.items():
+        row = f"SELECT '{name}' AS table_name, '{{}}' AS \"constraint\", '{{}}' AS columns, ({{}}) AS violations".format
+        for c in dict.fromkeys((*t.key, *t.required)):
+            rows.append(row("not null", c, f"SELECT count(*) FROM {source(name)} s WHERE {c} IS NULL"))
+        whole = " AND ".join(f"{c} IS NOT NULL" for c in t.key)
+        rows.append(row("unique", ", ".join(t.key), f"SELECT count(*) - count(DISTINCT ({', '.join(t.key)},)) FROM {source(name)} s WHERE {whole}"))
+        for c, parent in t.references:
+            rows.append(row("foreign key", c, f"SELECT count(*) FROM {source(name)} s WHERE {c} IS NOT NULL AND {c} NOT IN"
+                            f" (SELECT {TABLES[parent].key[0]} FROM {source(parent)} p WHERE {TABLES[parent].key[0]} IS NOT NULL)"))
+    return " UNION ALL ".join(rows)
+
+
 _NAMES = (
     "customers", "accounts", "merchants", "devices", "ip_addresses",
     "transactions", "customer_devices", "customer_ips", "loans",
@@ -360,6 +413,46 @@ ORACLE: dict[str, str] = {
     "velocity_1h": _velocity(_W[0]),
     "velocity_24h": _velocity(_W[1]),
     "velocity_7d": _velocity(_W[2]),
+    "velocity_1m_5m": _sql(
+        f"SELECT transaction_id, customer_id, {_frames(('1m', 60), ('5m', 300))[0]} FROM transactions WINDOW {_frames(('1m', 60), ('5m', 300))[1]}"
+    ),
+    "velocity_dirty": _sql(
+        f"SELECT transaction_id, customer_id, amount, {_ALL_COLUMNS}, {_GAP} FROM clean_dirty WINDOW {_ALL_WINDOWS}", **_DIRTY_CTES
+    ),
+    "clean_transactions_dirty": _sql("SELECT * FROM clean_dirty", **_DIRTY_CTES),
+    "csv_credit_features": _sql(_CREDIT, summary=_SUMMARY),
+    "customer_ip_map": _sql(
+        "SELECT customer_id, ip_address, min(timestamp) AS first_used, max(timestamp) AS last_used, count(*) AS use_count"
+        " FROM transactions GROUP BY customer_id, ip_address"
+    ),
+    "dq_report_dirty": _sql(_dirty_report()),
+    "dq_constraints": _sql(_constraints()),
+    "fraud_rule_flags_legacy": _sql(
+        "SELECT transaction_id, customer_id, case when new_device_fraud then 'new_device_fraud' when velocity_attack then"
+        " 'velocity_attack' when coordinated_network then 'coordinated_network' end AS first_match FROM flags",
+        **_RULE_CTES,
+    ),
+    "stream_new_ip": _sql(
+        f"""SELECT * FROM (SELECT customer_id, transaction_id, ip_address, {_stream_new('ip_address')} AS is_new_ip
+        FROM transactions WHERE {_PASSED})"""
+    ),
+    "decision_single_signal": _sql(
+        """SELECT transaction_id, customer_id, fraud_score, credit_risk, risk_score,
+        case when risk_score >= 0.8 OR fraud_score >= 0.8 OR credit_risk >= 0.7 then 'BLOCK'
+          when risk_score >= 0.4 OR fraud_score >= 0.4 OR credit_risk >= 0.4 then 'REVIEW' else 'APPROVE' end AS decision FROM risk""",
+        **_RULE_CTES,
+        **_GRAPH_CTES,
+        scored=_SCORED,
+        device_profile=_DEVICE_PROFILE,
+        ip_profile=_IP_PROFILE,
+        score_input=_SCORE_INPUT,
+        risk=_RISK,
+    ),
+    "customer_degrees": _sql(
+        """SELECT customer_id, count(*) FILTER (n > 1) AS shared_entities, cast(sum(n - 1) as bigint) AS co_users
+        FROM (SELECT *, count(*) over (PARTITION BY kind, entity) AS n FROM usage) GROUP BY customer_id""",
+        usage=_USAGE,
+    ),
     "txn_gap": _sql(f"SELECT transaction_id, customer_id, {_GAP} FROM transactions"),
     "velocity_features": _sql(
         f"SELECT transaction_id, customer_id, amount, timestamp_sec, seconds_since_last_txn,"
@@ -375,7 +468,12 @@ ORACLE: dict[str, str] = {
         "SELECT * REPLACE (cast(loan_start_date as varchar) AS loan_start_date),"
         " cast(year(loan_start_date) as int) AS start_year FROM loans"
     ),
-    "sink_roundtrip": _sql(_CUSTOMER, summary=_SUMMARY),
+    "sink_roundtrip": _sql(
+        " UNION ALL ".join(
+            f"SELECT '{n}_features' AS dataset, customer_id, count(*) AS row_count, true AS same_columns FROM {t} GROUP BY customer_id"
+            for n, t in (("fraud", "transactions"), ("credit", "loans"), ("customer", "customers"))
+        )
+    ),
     "pseudonymise_device": _sql("SELECT * REPLACE (left(sha256(device_id), 40) AS device_id) FROM devices"),
     "device_customer_count": _sql(
         "SELECT device_id, count(distinct customer_id) AS device_customer_count FROM customer_devices GROUP BY device_id"

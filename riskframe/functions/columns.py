@@ -8,14 +8,23 @@ from pyspark.sql import functions as F
 EARTH_RADIUS_KM = 6371.0
 
 
-def cents(amount: Column) -> Column:
-    """Money as whole cents. Amounts carry two decimals, so integer sums are exact and
-    do not depend on the order in which tasks deliver their partial results."""
-    return F.round(amount * 100).cast("bigint")
+#: Decimals of the declared money columns.
+MONEY_SCALE = 2
 
 
-def from_cents(value: Column) -> Column:
-    return value / F.lit(100.0)
+def cents(amount: Column, scale: int = MONEY_SCALE) -> Column:
+    """Money in whole units of its last declared decimal, so that sums are exact and do not depend on
+    the order in which tasks deliver them. What is not finite or does not fit becomes null;
+    ``quality.amount_checks`` counts such amounts and those with more decimals."""
+    return F.round(amount.try_cast("double") * 10**scale).try_cast("bigint")
+
+
+def from_cents(value: Column, scale: int = MONEY_SCALE) -> Column:
+    return value / F.lit(float(10**scale))
+
+
+def is_finite(value: Column) -> Column:
+    return ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
 
 
 def epoch_micros(ts: Column) -> Column:

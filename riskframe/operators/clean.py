@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskframe.functions.columns import fingerprint
+from riskframe.functions.columns import fingerprint, is_finite
 from riskframe.sources.schemas import TABLES, require
 
 
@@ -18,6 +18,15 @@ def enforce_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.withColumns(present) if present else df
 
 
+def declared(name: str, df: DataFrame) -> DataFrame:
+    """Declared types of the columns of table ``name`` that are present, text columns as they are; numbers
+    that are not finite become null, so that one of them cannot spoil a sum."""
+    types = {c: t for c, t in TABLES[name].types.items() if t != "string" and c in df.columns}
+    typed = enforce_types(df, types)
+    doubles = [c for c, t in typed.dtypes if t == "double"]
+    return typed.withColumns({c: F.when(is_finite(F.col(c)), F.col(c)) for c in doubles}) if doubles else typed
+
+
 def deduplicate(df: DataFrame, key: str, *preferred: Column) -> DataFrame:
     """One row per key: the first by ``preferred``, then by a hash of the whole row.
 
@@ -35,19 +44,9 @@ def deduplicate(df: DataFrame, key: str, *preferred: Column) -> DataFrame:
 def clean_transactions(df: DataFrame) -> DataFrame:
     """Typed transactions with ``timestamp_sec`` (floored epoch seconds), latest row per id.
 
-    Only ``transaction_id`` is mandatory; amount, coordinates, risk score, label and time are
-    cast where present.
+    Only ``transaction_id`` is mandatory; other declared columns are cast where present.
     """
-    require(df, "transaction_id")
-    types = {
-        "amount": "double",
-        "merchant_risk_score": "double",
-        "latitude": "double",
-        "longitude": "double",
-        "is_fraud": "boolean",
-        "timestamp": "timestamp",
-    }
-    typed = enforce_types(df, types)
+    typed = declared("transactions", require(df, "transaction_id"))
     if "timestamp" not in typed.columns:
         return deduplicate(typed, "transaction_id")
     typed = typed.withColumn("timestamp_sec", F.col("timestamp").cast("bigint"))
@@ -55,35 +54,24 @@ def clean_transactions(df: DataFrame) -> DataFrame:
 
 
 def clean_customers(df: DataFrame) -> DataFrame:
-    types = {"age": "int", "income": "double", "credit_score": "int"}
-    return deduplicate(enforce_types(require(df, "customer_id"), types), "customer_id")
+    return deduplicate(declared("customers", require(df, "customer_id")), "customer_id")
 
 
 def clean_devices(df: DataFrame) -> DataFrame:
-    return deduplicate(
-        enforce_types(require(df, "device_id"), {"transaction_count": "int", "fraud_count": "int"}), "device_id"
-    )
+    return deduplicate(declared("devices", require(df, "device_id")), "device_id")
 
 
 def clean_ip_addresses(df: DataFrame) -> DataFrame:
-    types = {"transaction_count": "int", "fraud_count": "int", "customer_count": "int"}
-    return deduplicate(enforce_types(require(df, "ip_address"), types), "ip_address")
+    return deduplicate(declared("ip_addresses", require(df, "ip_address")), "ip_address")
 
 
 def clean_loans(df: DataFrame) -> DataFrame:
-    types = {
-        "loan_amount": "double",
-        "interest_rate": "double",
-        "tenure_months": "int",
-        "debt_to_income": "double",
-        "default_flag": "boolean",
-    }
-    return deduplicate(enforce_types(require(df, "loan_id"), types), "loan_id")
+    return deduplicate(declared("loans", require(df, "loan_id")), "loan_id")
 
 
 def clean_merchants(df: DataFrame) -> DataFrame:
     """Unique merchants, so that enrichment never multiplies transactions."""
-    return deduplicate(require(df, "merchant_id"), "merchant_id")
+    return deduplicate(declared("merchants", require(df, "merchant_id")), "merchant_id")
 
 
 def normalise(name: str, df: DataFrame) -> DataFrame:

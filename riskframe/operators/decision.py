@@ -34,6 +34,8 @@ class DecisionPolicy:
 
 
 DEFAULT_DECISION = DecisionPolicy()
+# Limits at which one signal decides alone.
+SINGLE_SIGNAL = DecisionPolicy(fraud_limits=(0.40, 0.80), credit_limits=(0.40, 0.70))
 
 
 def graph_risk(component_size: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.session import staged, work_path
+from riskframe.session import shared_dir, staged, work_path
 
 SEGMENT_INPUTS = (
     "age",
@@ -74,7 +74,12 @@ DEFAULT_INPUTS = (
 
 @dataclass(frozen=True)
 class Training:
-    """Share held out, seed, boosting rounds and tree shape."""
+    """Share held out, seed, boosting rounds and tree shape.
+
+    With ``early_stop`` a share of the training part judges each round, and boosting ends when a round no longer
+    lowers its loss by ``tolerance``. ``max_labels`` bounds the labelled rows that are trained on (by a hash of
+    the id); all held-out rows are scored.
+    """
 
     test_share: float = 0.20
     seed: int = 42
@@ -82,9 +87,13 @@ class Training:
     depth: int = 6
     step: float = 0.05
     subsample: float = 0.8
+    early_stop: bool = False
+    validation_share: float = 0.10
+    tolerance: float = 0.001
+    max_labels: int = 5_000_000
 
 
-FRAUD_TRAINING = Training()
+FRAUD_TRAINING = Training(early_stop=True)
 CREDIT_TRAINING = Training(rounds=200, depth=5)
 
 
@@ -93,9 +102,10 @@ def _numeric(df: DataFrame, inputs: Sequence[str], *keep: str) -> DataFrame:
 
 
 def segment_customers(
-    features: DataFrame, clusters: Sequence[int] = (3, 4, 5, 6, 7, 8), *, seed: int = 42, max_iter: int = 300
+    features: DataFrame, clusters: Sequence[int] = (3, 4, 5, 6, 7, 8), *, seed: int = 42, max_iter: int = 300, starts: int = 10
 ) -> DataFrame:
-    """(customer_id, segment, cluster_count, silhouette) for the k with the best silhouette."""
+    """(customer_id, segment, cluster_count, silhouette) for the k with the best silhouette; each k is the
+    best of ``starts`` starts by the sum of squared distances."""
     filled = _numeric(features, SEGMENT_INPUTS, "customer_id").fillna(0.0)
     assembled = VectorAssembler(inputCols=list(SEGMENT_INPUTS), outputCol="raw").transform(filled)
     scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True).fit(assembled)
@@ -103,7 +113,11 @@ def segment_customers(
     points = staged(scaled, work_path(features.sparkSession, "segments"))
     best = None
     for k in clusters:
-        model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="segment").fit(points)
+        runs = (
+            KMeans(k=k, seed=seed + start, maxIter=max_iter, featuresCol="features", predictionCol="segment").fit(points)
+            for start in range(starts)
+        )
+        model = min(runs, key=lambda m: m.summary.trainingCost)
         quality = ClusteringEvaluator(predictionCol="segment").evaluate(model.transform(points))
         if best is None or quality > best[0]:
             best = (quality, k, model)
@@ -128,6 +142,12 @@ def train_classifier(
     # Imputation, training and scoring all read these rows; the features are computed once.
     rows = staged(rows, work_path(features.sparkSession, "training"))
     train, test = split(rows, row_id, training.test_share, training.seed)
+    total = train.count()
+    if total > training.max_labels:
+        train, _ = split(train, row_id, 1 - training.max_labels / total, training.seed + 1)
+    context = features.sparkSession.sparkContext
+    if not context.getCheckpointDir():  # boosting cuts its lineage there every ten rounds
+        context.setCheckpointDir(shared_dir(features.sparkSession))
     share = train.agg(F.avg("label")).first()[0]
     if not share or share >= 1:
         raise ValueError(f"training data for {label} holds a single class")
@@ -144,9 +164,11 @@ def train_classifier(
             stepSize=training.step,
             subsamplingRate=training.subsample,
             seed=training.seed,
+            **({"validationIndicatorCol": "_judges", "validationTol": training.tolerance} if training.early_stop else {}),
         ),
     ]
-    model = Pipeline(stages=stages).fit(train.withColumn("weight", weight))
+    judges = F.pmod(F.xxhash64(F.col(row_id), F.lit(training.seed + 2)), F.lit(10_000)) < int(training.validation_share * 10_000)
+    model = Pipeline(stages=stages).fit(train.withColumn("weight", weight).withColumn("_judges", judges))
     scored = model.transform(test).select(
         row_id, (F.col("label") == 1).alias("label"), vector_to_array("probability")[1].alias("probability")
     )

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.sources.schemas import LOAD_ORDER
+from riskframe.functions.columns import MONEY_SCALE, is_finite
+from riskframe.sources.schemas import LOAD_ORDER, TABLES
 
 Tables = Mapping[str, DataFrame]
 
@@ -77,6 +78,7 @@ def _is_null(column: str) -> Column:
     return F.count_if(F.col(column).isNull())
 
 
+# The names of the null and range checks.
 def null_checks(tables: Tables) -> DataFrame:
     return _stack(
         [
@@ -129,22 +131,67 @@ def duplicate_checks(tables: Tables) -> DataFrame:
     )
 
 
+def amount_checks(tables: Tables, scale: int = MONEY_SCALE) -> DataFrame:
+    """Amounts that are no number, not finite, or have more than ``scale`` decimals; sums leave the first
+    two out and round the last."""
+    amount = F.col("amount").try_cast("double")
+    checks = {
+        "unreadable_txn_amounts": F.count_if(F.col("amount").isNotNull() & amount.isNull()),
+        "non_finite_txn_amounts": F.count_if(~is_finite(amount)),
+        "over_precise_txn_amounts": F.count_if(is_finite(amount) & (F.round(amount, scale) != amount)),
+    }
+    return _counts(tables["transactions"], checks)
+
+
+def constraint_checks(tables: Tables) -> DataFrame:
+    """(table_name, constraint, columns, violations) of what the table definitions declare.
+
+    Per table one pass counts nulls in key and required columns and rows beyond the first of their key;
+    each foreign key counts rows whose value is missing in the table it refers to.
+    """
+    found = []
+    for name in (n for n in LOAD_ORDER if n in tables):
+        table, df = TABLES[name], tables[name]
+        whole = reduce(Column.__and__, [F.col(c).isNotNull() for c in table.key])
+        checks = {("not null", c): _is_null(c) for c in dict.fromkeys((*table.key, *table.required))}
+        keys = F.when(whole, F.struct(*table.key))
+        checks["unique", ", ".join(table.key)] = F.count(keys) - F.countDistinct(keys)
+        totals = df.agg(*[total.cast("bigint").alias(f"c{i}") for i, total in enumerate(checks.values())])
+        rows = [
+            F.struct(F.lit(name).alias("table_name"), F.lit(kind).alias("constraint"), F.lit(on).alias("columns"), F.col(f"c{i}").alias("violations"))
+            for i, (kind, on) in enumerate(checks)
+        ]
+        found.append(totals.select(F.inline(F.array(*rows))))
+        for column, parent in table.references:
+            # Counted before the join: a popular value is one row there.
+            used = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("id")).agg(F.count(F.lit(1)).alias("n"))
+            missing = used.join(tables[parent].select(F.col(TABLES[parent].key[0]).alias("id")), "id", "left_anti")
+            found.append(
+                missing.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("violations")).select(
+                    F.lit(name).alias("table_name"), F.lit("foreign key").alias("constraint"), F.lit(column).alias("columns"), "violations"
+                )
+            )
+    return _stack(found)
+
+
 CHECK_GROUPS = {
     "orphan_checks": orphan_checks,
     "null_checks": null_checks,
     "range_checks": range_checks,
     "unique_checks": duplicate_checks,
 }
+# With the amounts as delivered.
+ALL_GROUPS = {**CHECK_GROUPS, "amount_checks": amount_checks}
 
 
-def quality_report(tables: Tables) -> DataFrame:
-    """All checks: (check_group, check, violations, passed)."""
+def quality_report(tables: Tables, groups: Mapping[str, Callable[[Tables], DataFrame]] = CHECK_GROUPS) -> DataFrame:
+    """The checks of ``groups``: (check_group, check, violations, passed)."""
     return _stack(
         [
             run(tables).select(
                 F.lit(group).alias("check_group"), "check", "violations", (F.col("violations") == 0).alias("passed")
             )
-            for group, run in CHECK_GROUPS.items()
+            for group, run in groups.items()
         ]
     )
 

@@ -148,7 +148,8 @@ def rule_flags(
 
     def keys(*columns: str) -> DataFrame | None:
         at = epoch_micros(F.col("timestamp"))
-        return sliced_keys(txns, at, policy.slice_seconds * 1_000_000, hot, *columns) if ordered else None
+        length = policy.slice_seconds * 1_000_000
+        return sliced_keys(txns, at, length, hot, *columns, spread="transaction_id") if ordered else None
 
     by_device, by_ip, by_customer = [], [], []
     if wanted & {"new_device_fraud", "account_takeover"}:

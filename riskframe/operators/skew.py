@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 SLICE = "_slice"
 OWNER = "_owner"
+MOST_HOT = 100_000
+TIMELESS = 1024
 WHOLE = -(1 << 62)  # the slice number of an undivided key
 
 
@@ -35,22 +37,32 @@ DEFAULT_POLICY = SkewPolicy()
 def hot_keys(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """Keys with at least ``hot_rows`` rows, as one column ``_hot_key``.
 
-    The result can be broadcast at any scale: each hot key accounts for ``hot_rows`` rows,
-    so there are at most ``rows / hot_rows`` of them (500 per billion rows by default).
+    The list can be broadcast at any scale and for any ``hot_rows``: it has at most ``MOST_HOT`` entries, the
+    largest keys. Keys beyond stay whole, which costs time and changes no result.
     It may be computed on the raw scan, since it steers the layout only, never the result.
     """
     return (
         df.groupBy(F.col(key).alias("_hot_key"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") >= policy.hot_rows)
+        .orderBy(F.desc("_n"), "_hot_key")
+        .limit(MOST_HOT)
         .select("_hot_key", F.lit(True).alias("_is_hot"))
     )
 
 
-def add_slice(df: DataFrame, key: str, time: Column, slice_length: int, hot: DataFrame) -> DataFrame:
-    """Append ``_slice``: the start of the time slice for hot keys, ``WHOLE`` for all other rows."""
+def add_slice(
+    df: DataFrame, key: str, time: Column, slice_length: int, hot: DataFrame, spread: str | None = None
+) -> DataFrame:
+    """Append ``_slice``: the start of the time slice for hot keys, ``WHOLE`` for all other rows.
+
+    Where rows without time have nothing to do with each other, ``spread`` names a column by whose hash those
+    of a hot key are dealt over ``TIMELESS`` slices of their own.
+    """
     joined = df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot_key")), "left")
     start = time - F.pmod(time, F.lit(slice_length).cast("bigint"))
+    if spread:
+        start = F.coalesce(start, F.lit(WHOLE) + 1 + F.pmod(F.xxhash64(spread), F.lit(TIMELESS)))
     number = F.coalesce(F.when(F.col("_is_hot"), start), F.lit(WHOLE).cast("bigint"))
     return joined.withColumn(SLICE, number).drop("_hot_key", "_is_hot")
 
@@ -61,15 +73,17 @@ def with_owner(df: DataFrame, key: str = "customer_id") -> DataFrame:
     return df.withColumn(OWNER, F.coalesce(F.col(key), F.lit("\u0000")))
 
 
-def sliced_keys(df: DataFrame, time: Column, slice_length: int, hot: DataFrame, *columns: str) -> DataFrame:
+def sliced_keys(
+    df: DataFrame, time: Column, slice_length: int, hot: DataFrame, *columns: str, spread: str | None = None
+) -> DataFrame:
     """Distinct (customer_id, owner, slice, columns) in use.
 
     Lookups expanded to these keys can be joined to rows that are already partitioned by
     (owner, slice): the wide rows stay where they are, and a hot key's lookups are spread like its
     rows. The key table is narrow and combines on the map side.
     """
-    narrow = with_owner(df.select("customer_id", time.alias("_time"), *columns))
-    sliced = add_slice(narrow, OWNER, F.col("_time"), slice_length, hot)
+    narrow = with_owner(df.select("customer_id", time.alias("_time"), *columns, *([spread] if spread else [])))
+    sliced = add_slice(narrow, OWNER, F.col("_time"), slice_length, hot, spread)
     return sliced.select("customer_id", OWNER, SLICE, *columns).distinct()
 
 

@@ -154,7 +154,8 @@ def look_back(
     """Append what each row sees of the rows before it, in (time, row id) order.
 
     ``previous`` adds ``prev_<column>`` of the row before, null for the first. ``bursts`` maps a
-    flag to ``(n, seconds)``: true if the n-th row before lies less than ``seconds`` back.
+    flag to ``(n, seconds)``: true if the n-th row before lies less than ``seconds`` back. A row without
+    time precedes and follows nothing: it has no previous row and is nobody's.
 
     A slice of a hot key opens with context rows: copies of the last rows of the slice before, as far
     back as a burst can reach, or else the last row of all earlier slices.
@@ -167,10 +168,11 @@ def look_back(
     hot = hot_keys(df, key, policy) if hot is None else hot
     at = epoch_micros(F.col(time))
     length, reach = policy.slice_seconds * 1_000_000, reach * 1_000_000
-    sliced = add_slice(df, key, at, length, hot)
+    sliced = add_slice(df, key, at, length, hot, spread=row_id)
 
     context = sorted({key, row_id, time, *previous})
-    in_tail = (F.col(SLICE) != WHOLE) & (at - F.col(SLICE) >= length - reach)
+    in_slice = (F.col(SLICE) != WHOLE) & F.col(time).isNotNull()
+    in_tail = in_slice & (at - F.col(SLICE) >= length - reach)
     copies = F.when(in_tail, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
     rows = sliced.withColumn("_context", F.explode(copies)).select(
         *[F.col(c) if c in context else F.when(~F.col("_context"), F.col(c)).alias(c) for c in kept],
@@ -181,7 +183,7 @@ def look_back(
         last = F.max(F.struct(time, row_id, *[c for c in previous if c not in (time, row_id)]))
         earlier = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
         carried = (
-            sliced.filter(F.col(SLICE) != WHOLE)
+            sliced.filter(in_slice)
             .groupBy(key, SLICE)
             .agg(last.alias("_last"))
             .select(key, SLICE, F.max("_last").over(earlier).alias("_last"))
@@ -190,8 +192,9 @@ def look_back(
         )
         rows = rows.unionByName(carried, allowMissingColumns=True)
 
-    order = Window.partitionBy(key, SLICE).orderBy(F.col(time), F.col(row_id))
-    seen = [F.lag(c).over(order).alias(f"prev_{c}") for c in previous]
+    timed = F.col(time).isNotNull()
+    order = Window.partitionBy(key, SLICE, timed).orderBy(F.col(time), F.col(row_id))
+    seen = [F.when(timed, F.lag(c).over(order)).alias(f"prev_{c}") for c in previous]
     for name, (n, seconds) in bursts.items():
         recent = at - epoch_micros(F.lag(time, n).over(order)) < seconds * 1_000_000
         seen.append(F.coalesce(recent, F.lit(False)).alias(name))

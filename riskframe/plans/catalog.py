@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.operators import behavior, clean, entity, evaluate, graph, loans, models, quality, rules, volume
-from riskframe.operators.decision import decide, risk_inputs
+from riskframe.operators.decision import SINGLE_SIGNAL, decide, risk_inputs
 from riskframe.operators.skew import hot_keys
 from riskframe.operators.velocity import DAY, HOUR, WEEK, WINDOWS, velocity_features
 from riskframe.plans import features, views
 from riskframe.session import configure, work_path
 from riskframe.sources.schemas import TABLES
-from riskframe.sources.tables import write_datasets
-from riskframe.sources.testdata import TestBank
+from riskframe.sources.tables import files_sink, read_all, write_datasets
+from riskframe.sources.testdata import DIRTY, TestBank
 from riskframe.streaming import windows
 from riskframe.streaming.io import run_available
 from riskframe.streaming.stateful import stream_new_entity, stream_velocity
@@ -129,17 +129,54 @@ def _loans_as_delivered(spark, folder):
 
 
 def _sink_roundtrip(spark, folder):
-    """Write two feature datasets and read one of them back."""
+    """Write all three feature datasets and count what a reader finds in each, by a key that all have."""
     bank = Bank(spark, folder)
     target = work_path(spark, "features")
-    write_datasets(
-        {
-            "customer_features": features.customer_features(bank.customers, bank.transactions),
-            "credit_features": features.credit_features(bank.loans, bank.customers, bank.transactions),
-        },
-        target,
+    datasets = {
+        "fraud_features": bank.fraud_features,
+        "credit_features": features.credit_features(bank.loans, bank.customers, bank.transactions),
+        "customer_features": features.customer_features(bank.customers, bank.transactions),
+    }
+    write_datasets(datasets, target)
+    parts = []
+    for name, built in datasets.items():
+        stored = spark.read.parquet(f"{target}/{name}.parquet")
+        same = stored.columns == built.columns and [t for _, t in stored.dtypes] == [t for _, t in built.dtypes]
+        rows = stored.groupBy("customer_id").agg(F.count(F.lit(1)).alias("row_count"))
+        parts.append(rows.select(F.lit(name).alias("dataset"), "customer_id", "row_count", F.lit(same).alias("same_columns")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _csv_credit_features(spark, folder):
+    """Credit features from tables that were written and read as CSV, all text."""
+    bank = Bank(spark, folder)
+    target = work_path(spark, "csv")
+    for name in ("loans", "customers", "transactions"):
+        files_sink(target, ("csv",))(name, bank.table(name), "overwrite")
+    read = read_all(spark, target, ("loans", "customers", "transactions"))
+    built = features.credit_features(
+        clean.clean_loans(read["loans"]), clean.clean_customers(read["customers"]), clean.clean_transactions(read["transactions"])
     )
-    return dates_as_text(rounded(spark.read.parquet(f"{target}/customer_features.parquet"), "hist_avg_txn_amount"))
+    return dates_as_text(rounded(built, "hist_avg_txn_amount", "installment_to_income"))
+
+
+def _velocity_dirty(spark, folder):
+    cleaned = clean.clean_transactions(Bank(spark, folder).dirty("transactions_dirty"))
+    slim = cleaned.select("transaction_id", "customer_id", "amount", "timestamp", "timestamp_sec")
+    return velocity_features(slim).drop("timestamp", "timestamp_sec")
+
+
+def _dirty_tables(bank: Bank) -> dict[str, DataFrame]:
+    found = {name: bank.dirty(f"{name}_dirty") if f"{name}_dirty" in DIRTY else bank.table(name) for name in TABLES}
+    # Checks compare values, so they see declared types; amounts are also checked as delivered.
+    typed = {name: clean.enforce_types(df, {c: t for c, t in TABLES[name].types.items() if t != "string"}) for name, df in found.items()}
+    return {**typed, "delivered": found["transactions"]}
+
+
+def _dq_report_dirty(spark, folder):
+    tables = _dirty_tables(Bank(spark, folder))
+    amounts = lambda t: quality.amount_checks({"transactions": t["delivered"]})
+    return quality.quality_report(tables, {**quality.CHECK_GROUPS, "amount_checks": amounts})
 
 
 def _entity_stats(spark, folder):
@@ -265,7 +302,7 @@ def _expected_loss(spark, folder):
     return rounded(lost.select(*columns), "default_probability")
 
 
-def _decision(spark, folder):
+def _decision_inputs(spark, folder) -> DataFrame:
     bank = Bank(spark, folder)
     worst = bank.default_scores.groupBy("customer_id").agg(
         F.round(F.max("default_probability"), 6).alias("credit_risk")
@@ -276,8 +313,17 @@ def _decision(spark, folder):
         worst,
         bank.components,
     )
-    flagged = rules.rule_flags(bank.transactions, bank.rule_inputs, also=lookups, hot=bank.hot_customers)
-    return decide(flagged).withColumn("reason_codes", F.concat_ws(",", "reason_codes"))
+    return rules.rule_flags(bank.transactions, bank.rule_inputs, also=lookups, hot=bank.hot_customers)
+
+
+def _decision(spark, folder):
+    return decide(_decision_inputs(spark, folder)).withColumn("reason_codes", F.concat_ws(",", "reason_codes"))
+
+
+def _decision_single_signal(spark, folder):
+    """Each signal may decide alone, by the configured limits."""
+    decided = decide(_decision_inputs(spark, folder), SINGLE_SIGNAL)
+    return decided.select("transaction_id", "customer_id", "fraud_score", "credit_risk", "risk_score", "decision")
 
 
 def _score_metrics(spark, folder):
@@ -291,16 +337,14 @@ def _segments(spark, folder):
 
 
 def _fraud_classifier(spark, folder):
-    few_rounds = models.Training(rounds=5, depth=4)
     rows = Bank(spark, folder).fraud_features
-    return models.train_classifier(rows, models.FRAUD_INPUTS, "is_fraud", "transaction_id", few_rounds)[1]
+    return models.train_classifier(rows, models.FRAUD_INPUTS, "is_fraud", "transaction_id", models.FRAUD_TRAINING)[1]
 
 
 def _default_classifier(spark, folder):
     bank = Bank(spark, folder)
     rows = features.credit_features(bank.loans, bank.customers, bank.transactions)
-    few_rounds = models.Training(rounds=5, depth=4)
-    return models.train_classifier(rows, models.DEFAULT_INPUTS, "default_flag", "loan_id", few_rounds)[1]
+    return models.train_classifier(rows, models.DEFAULT_INPUTS, "default_flag", "loan_id", models.CREDIT_TRAINING)[1]
 
 
 def _stream(build: Callable[[Bank, Bank], DataFrame], label: str) -> Query:
@@ -328,10 +372,14 @@ QUERIES: dict[str, Query] = {
     "velocity_1h": _velocity(HOUR),
     "velocity_24h": _velocity(DAY),
     "velocity_7d": _velocity(WEEK),
+    "velocity_1m_5m": _velocity(("1m", 60), ("5m", 300)),
+    "velocity_dirty": _velocity_dirty,
     "txn_gap": _txn_gap,
     "velocity_features": _velocity_features,
     # cleaning, sources, sinks
     "clean_transactions": lambda s, d: Bank(s, d).cleaned,
+    "clean_transactions_dirty": lambda s, d: clean.clean_transactions(Bank(s, d).dirty("transactions_dirty")),
+    "csv_credit_features": _csv_credit_features,
     "clean_customers": lambda s, d: dates_as_text(clean.clean_customers(Bank(s, d).customers)),
     "clean_devices": lambda s, d: clean.clean_devices(Bank(s, d).devices),
     "clean_ips": lambda s, d: clean.clean_ip_addresses(Bank(s, d).ip_addresses),
@@ -346,6 +394,7 @@ QUERIES: dict[str, Query] = {
     "ip_features": _entity_features(entity.IP, features.IP_COLUMNS),
     "entity_stats_refresh": _entity_stats,
     "customer_device_map": lambda s, d: entity.usage_map(Bank(s, d).transactions, entity.DEVICE),
+    "customer_ip_map": lambda s, d: entity.usage_map(Bank(s, d).transactions, entity.IP),
     "check_new_device": _check_new_device,
     # behaviour and feature datasets
     "customer_amount_stats": lambda s, d: rounded(
@@ -382,6 +431,8 @@ QUERIES: dict[str, Query] = {
     "dq_ranges": _quality(quality.range_checks),
     "dq_duplicates": _quality(quality.duplicate_checks, raw=True),
     "dq_report": _quality(quality.quality_report, raw=True),
+    "dq_report_dirty": _dq_report_dirty,
+    "dq_constraints": lambda s, d: quality.constraint_checks(_dirty_tables(Bank(s, d))),
     # rules and loan scoring
     "pit_new_device": _pit,
     "rule_new_device": _rule("new_device_fraud"),
@@ -391,6 +442,9 @@ QUERIES: dict[str, Query] = {
         if name != "new_device_fraud"
     },
     "fraud_rule_flags": _rule_flags,
+    "fraud_rule_flags_legacy": lambda s, d: rules.fraud_rule_flags(
+        Bank(s, d).transactions, Bank(s, d).rule_inputs, legacy=True
+    ).select("transaction_id", "customer_id", "first_match"),
     "fraud_scenario_counts": lambda s, d: rules.scenario_counts(Bank(s, d).flagged),
     "customer_risk_tier": _risk_tier,
     "loan_emi_dti": _emi,
@@ -401,13 +455,16 @@ QUERIES: dict[str, Query] = {
     "stream_sessions": _stream(lambda live, _: windows.sessions(live.transactions), "sessions"),
     "stream_velocity": _stream(lambda live, _: stream_velocity(live.transactions), "velocity"),
     "stream_new_device": _stream(lambda live, _: stream_new_entity(live.transactions), "entities"),
+    "stream_new_ip": _stream(lambda live, _: stream_new_entity(live.transactions, entity.IP), "addresses"),
     "stream_enrich": _stream(_stream_enrich, "enrich"),
     "stream_dedup": _stream(_stream_dedup, "dedup"),
     # scores, decisions, graph, volume, models
     "fraud_rule_score": _rule_score,
     "expected_loss": _expected_loss,
     "decision_engine": _decision,
+    "decision_single_signal": _decision_single_signal,
     "shared_entity_edges": lambda s, d: graph.shared_entity_edges(Bank(s, d).customer_devices, Bank(s, d).customer_ips),
+    "customer_degrees": lambda s, d: graph.customer_degrees(Bank(s, d).customer_devices, Bank(s, d).customer_ips),
     "customer_components": lambda s, d: Bank(s, d).components,
     "daily_volume": lambda s, d: dates_as_text(volume.daily_volume(Bank(s, d).transactions)),
     "volume_forecast": lambda s, d: dates_as_text(volume.volume_forecast(volume.daily_volume(Bank(s, d).transactions))),

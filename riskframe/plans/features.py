@@ -12,6 +12,7 @@ from riskframe.operators.skew import DEFAULT_POLICY, OWNER, SkewPolicy, hot_keys
 from riskframe.operators.velocity import velocity_features
 from riskframe.sources.schemas import TABLES
 
+# Names and order of the output columns.
 VELOCITY_COLUMNS = (
     "txns_last_1h",
     "spend_last_1h",
@@ -142,6 +143,7 @@ def feature_summary(features: DataFrame) -> DataFrame:
     )
 
 
+# The columns of the sample.
 def new_entity_sample(features: DataFrame, rows: int = 8) -> DataFrame:
     """The first transactions, by id, that used a device or IP new to their customer."""
     return (

@@ -18,9 +18,20 @@ SQL_OPTIONS = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # Lets a join on (customer, slice, device) use rows partitioned by (customer, slice).
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Keyed state of the stream processors.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+_SPARK_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "false",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "false",
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
 }
 
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def get_session(app_name: str = "riskframe", **options: str) -> SparkSession:
@@ -32,9 +43,12 @@ def get_session(app_name: str = "riskframe", **options: str) -> SparkSession:
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the options to a session that somebody else has made."""
+    """Apply the options to a session that somebody else has made; settings made there stay."""
+    given = {key for key, _ in spark.sparkContext.getConf().getAll()}
     for key, value in SQL_OPTIONS.items():
-        spark.conf.set(key, value)
+        # Whatever differs from Spark's own default was set by somebody.
+        if key not in given and spark.conf.get(key, None) in (None, _SPARK_DEFAULTS.get(key)):
+            spark.conf.set(key, value)
     return spark
 
 

@@ -200,6 +200,67 @@ SPEC: dict[str, Projection] = {
     ),
 }
 
+# Dirty variants: number in the id, changed columns (``ISO`` stands for time as text), rows kept, rows repeated.
+@dataclass(frozen=True)
+class Dirt:
+    table: str
+    number: str
+    changed: dict[str, str]
+    kept: str = "true"
+    repeated: str | None = None
+    copy: dict[str, str] | None = None
+
+
+def _number(column: str, skipped: int) -> str:
+    return f"cast(substr({column}, {skipped + 1}) as bigint)"
+
+
+DIRTY: dict[str, Dirt] = {
+    "customers_dirty": Dirt(
+        "customers",
+        _number("customer_id", 4),
+        {
+            "customer_id": "case when x%97=0 then null else customer_id end",
+            "credit_score": "case when x%89=0 then 200 else credit_score end",
+            "age": "case when x%71=0 then null else age end",
+        },
+        kept="x%83<>0",
+        repeated="x%50=0",
+    ),
+    "accounts_dirty": Dirt("accounts", _number("account_id", 3), {}, kept="x%79<>0", repeated="x%50=0"),
+    "merchants_dirty": Dirt(
+        "merchants",
+        _number("merchant_id", 5),
+        {"merchant_risk_score": "case when x%7=0 then 15e-1 else merchant_risk_score end"},
+        repeated="x%50=0",
+    ),
+    "devices_dirty": Dirt("devices", _number("device_id", 3), {}, kept="x%73<>0", repeated="x%50=0"),
+    "loans_dirty": Dirt(
+        "loans",
+        _number("loan_id", 4),
+        {"loan_amount": "case when x%71=0 then -loan_amount else loan_amount end"},
+        repeated="x%50=0",
+    ),
+    "customer_devices_dirty": Dirt("customer_devices", _number("device_id", 3), {}, repeated="x%50=0"),
+    # All as text; copies differ from the row that survives, which is the later one.
+    "transactions_dirty": Dirt(
+        "transactions",
+        _number("transaction_id", 3),
+        {
+            "customer_id": "case when x%41=0 then null else customer_id end",
+            "device_id": "case when x%29=0 then null else device_id end",
+            "ip_address": "case when x%23=0 then null else ip_address end",
+            "amount": "case when x%37=0 then 'NaN' when x%53=0 then 'Infinity' when x%59=0 then 'abc' when x%61=0 then null"
+            " when x%43=0 then '-5.0' when x%47=0 then '12.345' else cast(amount as string) end",
+            "timestamp": "case when x%31=0 then null when x%67=0 then 'not a time' else ISO end",
+            "is_fraud": "cast(is_fraud as string)",
+            "latitude": "cast(latitude as string)",
+        },
+        repeated="x%50=0 and x%31<>0 and x%67<>0",
+        copy={"amount": "'1.25'", "timestamp": "'2001-02-03T04:05:06.000000'"},
+    ),
+}
+
 _ISO_SPARK = "date_format(timestamp, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
 _ISO_DUCKDB = "strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f')"
 _REPEATED = "cast(substr(transaction_id, 4) as bigint) % 50 = 0"
@@ -261,6 +322,20 @@ class TestBank:
         grouped = source.groupBy(*spec.group_by).agg(*aggregates.values())
         return grouped.select(*[F.col(n) if n in aggregates else exprs[n] for n in spec.columns])
 
+    def dirty(self, name: str) -> DataFrame:
+        """A table of ``DIRTY``: text types, differing copies, nulls and values out of range."""
+        spec = DIRTY[name]
+        text = lambda t: F.expr(t.replace("ISO", _ISO_SPARK))
+        rows = self.table(spec.table).withColumn("x", F.expr(spec.number)).filter(spec.kept)
+        changed = rows.withColumns({c: text(t) for c, t in spec.changed.items()}) if spec.changed else rows
+        if spec.repeated:
+            again = F.when(F.expr(spec.repeated), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+            changed = changed.withColumn("_again", F.explode(again))
+            for c, t in (spec.copy or {}).items():
+                changed = changed.withColumn(c, F.when(F.col("_again"), text(t)).otherwise(F.col(c)))
+            changed = changed.drop("_again")
+        return changed.drop("x")
+
     @cached_property
     def transactions_raw(self) -> DataFrame:
         """Transactions as delivered: ISO strings for time, and every fiftieth row twice."""
@@ -283,4 +358,11 @@ def duckdb_ctes() -> str:
         parts.append(f"{name} AS (SELECT {columns} FROM {source}{where}{group})")
     iso = f"SELECT * REPLACE ({_ISO_DUCKDB} AS timestamp) FROM transactions"
     parts.append(f"transactions_raw AS ({iso} UNION ALL {iso} WHERE {_REPEATED})")
+    for name, dirt in DIRTY.items():
+        text = lambda changes: ", ".join(f"{t.replace('ISO', _ISO_DUCKDB)} AS {c}" for c, t in changes.items())
+        rows = f"(SELECT *, {dirt.number} AS x FROM {dirt.table}) WHERE {dirt.kept}"
+        replaced = f"REPLACE ({text(dirt.changed)})" if dirt.changed else ""
+        parts.append(f"{name}_rows AS (SELECT * {replaced} FROM {rows})")
+        copies = f" UNION ALL SELECT * EXCLUDE (x) {f'REPLACE ({text(dirt.copy)})' if dirt.copy else ''} FROM {name}_rows WHERE {dirt.repeated}"
+        parts.append(f"{name} AS (SELECT * EXCLUDE (x) FROM {name}_rows{copies if dirt.repeated else ''})")
     return "WITH RECURSIVE " + ",\n".join(parts)

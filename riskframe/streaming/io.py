@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from riskframe.session import ROCKSDB_PROVIDER, work_path
+from riskframe.session import configure, work_path
 
 
 def file_stream(
@@ -36,8 +36,7 @@ def kafka_stream(
 
 def run_available(stream: DataFrame, label: str) -> DataFrame:
     """Process everything that is there, into a Parquet table below the shared folder."""
-    spark = stream.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    spark = configure(stream.sparkSession)
     target = work_path(spark, label)
     query = (
         stream.writeStream.format("parquet")

@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from conftest import rows_by
@@ -15,11 +15,12 @@ from riskframe.operators.entity import (
     register_check_new_device,
     usage_map,
 )
+from riskframe.operators.quality import amount_checks
 from riskframe.operators.velocity import transaction_velocity_view, velocity_features
 from riskframe.plans.features import FRAUD_COLUMNS, credit_features, customer_features, fraud_features
 from riskframe.sources.schemas import LOAD_ORDER, TABLES
 
-DAY = datetime(2026, 8, 12)
+DAY = datetime(2031, 3, 5)  # a Wednesday
 
 
 def at(hour, minute=0, second=0, micro=0):
@@ -32,16 +33,16 @@ def txns(spark, rows):
 
 class TestVelocity:
     def test_windows_and_gap(self, spark):
-        raw = txns(
-            spark,
-            [("T1", "C1", 100.0, at(10)), ("T2", "C1", 200.0, at(10, 15)), ("T3", "C1", 300.0, at(12))],
-        )
+        """Five payments of two customers: each sees its own past only."""
+        steps = [("ann", 0, 2.25), ("ann", 40, 7.5), ("bob", 41, 9.0), ("ann", 95, 0.25), ("ann", 26 * 60, 1.0)]
+        raw = txns(spark, [(f"p{i}", who, money, DAY + timedelta(minutes=m)) for i, (who, m, money) in enumerate(steps)])
         got = rows_by(velocity_features(clean.clean_transactions(raw)), "transaction_id")
-        ids = ("T1", "T2", "T3")
-        assert [got[t]["txns_last_1h"] for t in ids] == [0, 1, 0]
-        assert [got[t]["spend_last_1h"] for t in ids] == [100.0, 300.0, 300.0]
-        assert [got[t]["txns_last_24h"] for t in ids] == [0, 1, 2]
-        assert [got[t]["seconds_since_last_txn"] for t in ids] == [999999, 900, 6300]
+        column = lambda name: [got[f"p{i}"][name] for i in range(5)]
+        assert column("txns_last_1h") == [0, 1, 0, 1, 0]
+        assert column("spend_last_1h") == [2.25, 9.75, 9.0, 7.75, 1.0]
+        assert column("txns_last_24h") == [0, 1, 0, 2, 0]
+        assert column("txns_last_7d") == [0, 1, 0, 2, 3]
+        assert column("seconds_since_last_txn") == [999999, 2400, 999999, 3300, 87900]
 
     def test_window_bounds_ties_and_nulls(self, spark):
         raw = txns(
@@ -77,51 +78,58 @@ class TestVelocity:
 
 class TestEntities:
     def test_new_device(self, spark):
+        """A pair in the usage table is known; another customer's device, none, and an unlisted one are new."""
         rows = spark.createDataFrame(
-            [("T1", "C1", "D1"), ("T2", "C1", "D99"), ("T3", "C1", None), ("T4", "C1", "unregistered")],
+            [("a", "ann", "phone-1"), ("b", "bob", "phone-1"), ("c", "bob", None), ("d", "ann", "unlisted"), ("e", "cid", "pos-7")],
             "transaction_id string, customer_id string, device_id string",
         )
         devices = spark.createDataFrame(
-            [("D1", "mobile", "iOS", 10, 0), ("D99", "desktop", "Windows", 1, 0)],
+            [("phone-1", "tablet", "Linux", 40, 10), ("pos-7", "desktop", "macOS", 0, 0)],
             "device_id string, device_type string, operating_system string, transaction_count int, fraud_count int",
         )
-        known = spark.createDataFrame([("C1", "D1")], "customer_id string, device_id string")
+        used = [("ann", "phone-1"), ("zoe", "phone-1"), *((f"u{i}", "pos-7") for i in range(4))]
+        known = spark.createDataFrame(used, "customer_id string, device_id string")
         got = rows_by(device_features(rows, devices, known), "transaction_id")
-        assert [got[t]["is_new_device"] for t in ("T1", "T2", "T3", "T4")] == [False, True, True, True]
-        assert [got[t]["device_risk_score"] for t in ("T1", "T2", "T3", "T4")] == [0.05, 0.05, 0.0, 0.0]
-        assert [got[t]["device_txn_count"] for t in ("T1", "T2", "T3", "T4")] == [10, 1, 1, 1]
-
-    def test_new_ip_and_tiers(self, spark):
+        assert [got[t]["is_new_device"] for t in "abcde"] == [False, True, True, True, True]
+        assert [got[t]["device_customer_count"] for t in "abcde"] == [2, 2, 1, 1, 4]
+        assert [got[t]["device_risk_score"] for t in "abcde"] == [0.40, 0.40, 0.0, 0.0, 0.85]
+        assert [got[t]["device_fraud_rate"] for t in "abcde"] == [0.25, 0.25, 0.0, 0.0, 0.0]
+
+    def test_ip_tiers(self, spark):
+        """Risk rises with the number of distinct customers on an address; repeated pairs count once."""
+        crowd = {"fd00::1": 1, "fd00::2": 3, "fd00::3": 6}
+        used = [(f"u{i}", ip) for ip, n in crowd.items() for i in range(n)] + [("u0", "fd00::2")]
         rows = spark.createDataFrame(
-            [("T1", "C1", "192.168.1.1"), ("T2", "C1", "10.0.0.99"), ("T3", "C1", "10.9.9.9")],
-            "transaction_id string, customer_id string, ip_address string",
+            [(ip, "u0", ip) for ip in crowd] + [("other", "u5", "fd00::2")], "transaction_id string, customer_id string, ip_address string"
         )
         ips = spark.createDataFrame(
-            [("192.168.1.1", 10, 0, 1), ("10.0.0.99", 1, 0, 1), ("10.9.9.9", 4, 1, 6)],
-            "ip_address string, transaction_count int, fraud_count int, customer_count int",
+            [(ip, 8, n, n) for ip, n in crowd.items()], "ip_address string, transaction_count int, fraud_count int, customer_count int"
         )
-        shared = [(f"X{i}", "10.9.9.9") for i in range(6)] + [("X0", "10.9.9.9")]
-        known = spark.createDataFrame([("C1", "192.168.1.1"), *shared], "customer_id string, ip_address string")
+        known = spark.createDataFrame(used, "customer_id string, ip_address string")
         out = ip_features(rows, ips, known)
         got = rows_by(out, "transaction_id")
-        assert out.count() == 3
-        assert [got[t]["is_new_ip"] for t in ("T1", "T2", "T3")] == [False, True, True]
-        assert got["T3"]["ip_risk_score"] == 0.90 and got["T3"]["ip_fraud_rate"] == 0.25
+        assert out.count() == 4
+        assert {t: got[t]["is_new_ip"] for t in got} == {"fd00::1": False, "fd00::2": False, "fd00::3": False, "other": True}
+        assert [got[t]["ip_risk_score"] for t in crowd] == [0.05, 0.50, 0.90]
+        assert [got[t]["ip_fraud_rate"] for t in crowd] == [0.125, 0.375, 0.75]
 
     def test_lookup_as_table_function(self, spark):
+        """The SQL function and the join give the same answer for every request."""
         known = spark.createDataFrame(
-            [("C1", "K1", at(9), at(9), 4), ("C1", "K2", at(9), at(9), 1)],
+            [("ann", "watch", at(5), at(6), 12), ("bob", "watch", at(7), at(7), 1)],
             "customer_id string, device_id string, first_used timestamp, last_used timestamp, use_count int",
         )
-        asked = spark.createDataFrame([("C1", "K1"), ("C1", "N3")], "customer_id string, device_id string")
-        got = rows_by(check_new_device(asked, known), "device_id")
-        assert (got["K1"]["is_new_device"], got["K1"]["previous_use_count"]) == (False, 4)
-        assert (got["N3"]["is_new_device"], got["N3"]["previous_use_count"]) == (True, 0)
+        requests = [("ann", "watch"), ("bob", "watch"), ("cid", "watch"), ("ann", "radio")]
+        asked = spark.createDataFrame(requests, "customer_id string, device_id string")
+        joined = {(r["customer_id"], r["device_id"]): r for r in check_new_device(asked, known).collect()}
+        assert [joined[r]["previous_use_count"] for r in requests] == [12, 1, 0, 0]
         known.createOrReplaceTempView("known_devices")
         register_check_new_device(spark, "known_devices")
-        row = spark.sql("SELECT * FROM check_new_device('C1', 'N3')").first()
-        assert row["is_new_device"] is True and row["first_used_timestamp"] is None
-        assert spark.sql("SELECT * FROM check_new_device('C1', 'K1')").first()["previous_use_count"] == 4
+        for who, what in requests:
+            row = spark.sql(f"SELECT * FROM check_new_device('{who}', '{what}')").first()
+            same = joined[who, what]
+            for name in ("is_new_device", "previous_use_count", "first_used_timestamp"):
+                assert row[name] == same[name]
 
     def test_first_use(self, spark):
         rows = spark.createDataFrame(
@@ -156,36 +164,33 @@ class TestBehavior:
             rows, "transaction_id string, customer_id string, amount double, timestamp timestamp, merchant_id string, city string"
         )
         c = spark.createDataFrame(
-            [("C1", 30, 50000.0, 700, "low", "Mumbai")],
+            [("ann", 61, 8200.5, 555, "high", "Oslo"), ("bob", 19, 0.0, 810, "low", None)],
             "customer_id string, age int, income double, credit_score int, risk_profile string, city string",
         )
         m = spark.createDataFrame(
-            [("M1", "RetailStore", 0.1), ("M1", "RetailStore", 0.1)],
-            "merchant_id string, merchant_name string, merchant_risk_score double",
+            [("kiosk", "Corner", 0.3)] * 3, "merchant_id string, merchant_name string, merchant_risk_score double"
         )
         return t, c, m
 
-    def test_hours_city_and_defaults(self, spark):
-        rows = [
-            ("T1", "C1", 100.0, at(14), "M1", "Mumbai"),
-            ("T2", "C1", 1000.0, at(3), "M1", "Delhi"),
-            ("T3", "C9", 5.0, at(23), "M9", None),
-        ]
+    def test_clock_city_and_defaults(self, spark):
+        """Every hour of one day: marked hours, and what unknown cities, customers and merchants give."""
+        rows = [(f"h{h:02d}", "ann", 10.0 + h, at(h), "kiosk", "Oslo" if h % 2 else "Bergen") for h in range(24)]
+        rows += [("nowhere", "ann", 21.5, at(12), "gone", None), ("bob", "bob", 3.0, at(12), "kiosk", "Oslo"), ("lost", "nobody", 5.0, None, None, "Oslo")]
         out = behavioral_features(*self.inputs(spark, rows))
         got = rows_by(out, "transaction_id")
-        assert out.count() == 3, "a repeated merchant must not multiply rows"
-        assert [got[t]["is_unusual_hour"] for t in ("T1", "T2", "T3")] == [False, True, False]
-        assert [got[t]["is_off_peak"] for t in ("T1", "T2", "T3")] == [False, True, True]
-        assert [got[t]["is_different_city"] for t in ("T1", "T2", "T3")] == [False, True, False]
-        assert [got[t]["merchant_risk_score"] for t in ("T1", "T2", "T3")] == [0.1, 0.1, 0.1]
-        assert got["T3"]["cust_std_amount"] == 1.0 and got["T3"]["amount_z_score"] == 0.0
-        assert got["T1"]["txn_day_of_week"] == 4 and got["T1"]["is_weekend"] is False
+        assert out.count() == len(rows), "a repeated merchant must not multiply rows"
+        assert [h for h in range(24) if got[f"h{h:02d}"]["is_unusual_hour"]] == [2, 3, 4]
+        assert [h for h in range(24) if not got[f"h{h:02d}"]["is_off_peak"]] == list(range(7, 22))
+        assert [got[f"h{h:02d}"]["is_different_city"] for h in (0, 1)] == [True, False]
+        assert not any(got[t]["is_different_city"] for t in ("nowhere", "bob", "lost"))
+        assert [got[t]["merchant_risk_score"] for t in ("h00", "nowhere", "lost")] == [0.3, 0.1, 0.1]
+        assert got["lost"]["cust_std_amount"] == 1.0 and got["lost"]["amount_z_score"] == 0.0
+        assert (got["h05"]["txn_hour"], got["h05"]["txn_day_of_week"], got["h05"]["is_weekend"]) == (5, 4, False)
 
     def test_constant_amounts(self, spark):
-        rows = [("T1", "C1", 7.0, at(9), "M1", None), ("T2", "C1", 7.0, at(10), "M1", None)]
+        rows = [(f"k{i}", "bob", 0.75, at(i), "kiosk", None) for i in range(4)]
         got = rows_by(behavioral_features(*self.inputs(spark, rows)), "transaction_id")
-        assert got["T1"]["cust_std_amount"] == 0.0 and got["T1"]["amount_z_score"] == 0.0
-        assert got["T1"]["amount_vs_cust_avg"] == 1.0
+        assert {(r["cust_std_amount"], r["amount_z_score"], r["amount_vs_cust_avg"]) for r in got.values()} == {(0.0, 0.0, 1.0)}
 
     def test_stats_ignore_missing_amounts(self, spark):
         out = customer_amount_stats(txns(spark, [("A", "C1", None, at(1)), ("B", "C1", 3.0, at(2)), ("C", "C1", 5.5, at(3))]))
@@ -254,6 +259,24 @@ class TestCleaning:
         assert got["T1"]["timestamp_sec"] == 1704103200
         assert got["T2"]["amount"] is None and got["T2"]["timestamp"] is None
 
+    def test_numbers_that_are_not_finite(self, spark):
+        """One such amount must neither stop a job nor spoil the sums of its customer."""
+        texts = ["NaN", "Infinity", "-Infinity", "1e400", "abc", None, "5.005", "5.005", "7"]
+        raw = spark.createDataFrame(
+            [(f"n{i}", "ann", t, f"2031-03-05T0{i}:00:00") for i, t in enumerate(texts)],
+            "transaction_id string, customer_id string, amount string, timestamp string",
+        )
+        out = clean.clean_transactions(raw)
+        got = rows_by(out, "transaction_id")
+        assert [got[f"n{i}"]["amount"] for i in range(9)] == [None] * 6 + [5.005, 5.005, 7.0]
+        assert rows_by(velocity_features(out), "transaction_id")["n8"]["spend_last_24h"] == 17.02
+        spoilt = raw.withColumn("amount", clean.F.col("amount").try_cast("double")).withColumn("timestamp", clean.F.col("timestamp").cast("timestamp"))
+        assert rows_by(velocity_features(spoilt), "transaction_id")["n8"]["spend_last_24h"] == 17.02
+        counted = {r["check"]: r["violations"] for r in amount_checks({"transactions": raw}).collect()}
+        assert counted == {"unreadable_txn_amounts": 1, "non_finite_txn_amounts": 4, "over_precise_txn_amounts": 2}
+        finer = {r["check"]: r["violations"] for r in amount_checks({"transactions": raw}, scale=3).collect()}
+        assert finer["over_precise_txn_amounts"] == 0
+
     def test_survivor_is_independent_of_row_order(self, spark):
         rows = [("T1", float(i % 7), f"c{i % 5}") for i in range(40)]
         schema = "transaction_id string, amount double, city string"

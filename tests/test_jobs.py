@@ -35,6 +35,19 @@ def test_build_features(spark, delivered, tmp_path):
     assert stored.select(columns).exceptAll(same.select(columns)).count() == 0
 
 
+def test_csv_gives_what_parquet_gives(spark, delivered, tmp_path):
+    folder, bank = delivered
+    for name, df in {**bank.tables, "transactions": bank.transactions_raw}.items():
+        df.write.csv(f"{tmp_path}/csv/{name}.csv", header=True)
+    counts = build_features.run(spark, f"{tmp_path}/csv", f"{tmp_path}/from_csv")
+    assert counts == build_features.run(spark, folder, f"{tmp_path}/from_parquet")
+    for name in counts:
+        one, two = (spark.read.parquet(f"{tmp_path}/{source}/{name}.parquet") for source in ("from_csv", "from_parquet"))
+        assert one.dtypes == two.dtypes
+        columns = [c for c, t in one.dtypes if t != "double"]
+        assert one.select(columns).exceptAll(two.select(columns)).count() == 0
+
+
 def test_load_tables(spark, delivered, tmp_path):
     folder, bank = delivered
     target = str(tmp_path)

@@ -18,14 +18,18 @@ SCHEMA = "transaction_id string, customer_id string, amount double, timestamp ti
 def expected(rows):
     """Brute force over pairs of rows."""
     out = {}
-    second = lambda r: int((r[3] - START).total_seconds())
+    second = lambda r: int((r[3] - START).total_seconds()) if r[3] else 0
     for r in rows:
-        mine = [x for x in rows if x[1] == r[1]]
+        # Rows without time are peers of each other in sums; nothing precedes them, and they precede nothing.
+        mine = [x for x in rows if x[1] == r[1] and (x[3] is None) == (r[3] is None)]
         entry = {}
         for name, width in (("1h", 3600), ("24h", 86400), ("7d", 604800)):
             inside = [x for x in mine if 0 <= second(r) - second(x) <= width]
             entry[f"txns_last_{name}"] = len(inside) - 1
-            entry[f"spend_last_{name}"] = sum(round(x[2] * 100) for x in inside) / 100
+            entry[f"spend_last_{name}"] = sum(round((x[2] or 0) * 100) for x in inside) / 100
+        if r[3] is None:
+            out[r[0]] = entry | {"gap": NO_PREVIOUS_SECONDS, "prev_latitude": None, "burst": False}
+            continue
         before = sorted((x for x in mine if (x[3], x[0]) < (r[3], r[0])), key=lambda x: (x[3], x[0]))
         before_s = sorted((x for x in mine if (second(x), x[0]) < (second(r), r[0])), key=lambda x: (second(x), x[0]))
         entry["gap"] = second(r) - second(before_s[-1]) if before_s else NO_PREVIOUS_SECONDS
@@ -38,7 +42,7 @@ def expected(rows):
 def compare(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
     want = expected(rows)
-    for policy in (SLICED, SkewPolicy(hot_rows=10**9)):
+    for policy in (SkewPolicy(hot_rows=1, slice_seconds=3600), SLICED, SkewPolicy(hot_rows=10**9)):
         rolled = {r["transaction_id"]: r for r in velocity_features(df, policy=policy).collect()}
         both = look_back(df, ["latitude", "timestamp"], {"burst": (3, 60)}, policy=policy)
         lagged = {r["transaction_id"]: r for r in both.collect()}
@@ -53,18 +57,35 @@ def compare(spark, rows):
             assert lagged[key]["burst"] == entry["burst"], (key, policy)
 
 
-moments = st.one_of(st.integers(0, 40 * 3_600_000), st.sampled_from([0, 3_599_999, 3_600_000, 7_200_000]), st.integers(0, 300_000))
+moments = st.one_of(st.none(), st.integers(0, 40 * 3_600_000), st.sampled_from([0, 3_599_999, 3_600_000, 7_200_000]), st.integers(0, 300_000))
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.tuples(st.sampled_from(["hot", "hot", "hot", "cold"]), moments, st.integers(1, 9999)), min_size=1, max_size=40))
+@given(st.lists(st.tuples(st.sampled_from(["hot", "hot", "hot", "cold", None]), moments, st.one_of(st.none(), st.integers(1, 9999))), min_size=1, max_size=40))
 def test_random_timelines(spark, drawn):
     rows = [
-        (f"T{i:03d}", who, cents / 100, START + timedelta(milliseconds=ms), float(i)) for i, (who, ms, cents) in enumerate(drawn)
+        (f"T{i:03d}", who, cents and cents / 100, None if ms is None else START + timedelta(milliseconds=ms), float(i))
+        for i, (who, ms, cents) in enumerate(drawn)
     ]
     compare(spark, rows)
 
 
+def test_rows_without_time_are_the_same_for_any_size(spark):
+    rows = [("a", "hot", 1.0, None, 9.0), ("b", "hot", 2.0, START, 1.0), ("c", "hot", None, None, 3.0), ("d", "hot", 4.0, START + timedelta(seconds=1), 2.0)]
+    compare(spark, rows)
+
+
+def test_hot_rows_without_time_are_dealt_out(spark):
+    rows = [(f"T{i}", "hot", 1.0, None if i % 2 else START + timedelta(seconds=i), float(i)) for i in range(400)]
+    sliced = look_back(spark.createDataFrame(rows, SCHEMA), ["latitude"], keep_slice=True, policy=SLICED)
+    sizes = [r["count"] for r in sliced.filter("timestamp is null").groupBy("_slice").count().collect()]
+    assert sum(sizes) == 200 and max(sizes) < 10
+
+
+def test_a_whole_customer_in_one_second(spark):
+    compare(spark, [(f"T{i:02d}", "hot", 0.5, START + timedelta(milliseconds=i % 7), float(i)) for i in range(25)])
+
+
 def test_bursts_across_slice_borders(spark):
     rows = [
         (f"T{i:03d}", "hot", 1.0, START + timedelta(seconds=3600 * h + s), float(i))
