@@ -28,8 +28,8 @@ SLICE = 64
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """(vec_id, size, norm2, vector): floor(scale * x) of rows whose vector and components are all usable."""
-    schema = "vec_id long, size int, norm2 double, vector binary"
+    """(vec_id, size, most, norm2, vector): floor(scale * x) of rows whose vector and components are all usable."""
+    schema = "vec_id long, size int, most double, norm2 double, vector binary"
 
     def run(batches: Batches) -> Batches:
         out = arrow_type(schema)
@@ -41,7 +41,7 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> D
                 x = np.asarray(x, np.float64)
                 if np.isfinite(x).all():
                     x = np.floor(scale * x)
-                    rows.append((key, len(x), float(x @ x), x.tobytes()))
+                    rows.append((key, len(x), float(np.abs(x).max(initial=0)), float(x @ x), x.tobytes()))
             if rows:
                 yield batch(out, zip(*rows, strict=True))
 
@@ -49,10 +49,15 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> D
     return usable.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>")).mapInArrow(run, schema)
 
 
-def _matrix(column: list[bytes], width: int) -> np.ndarray:
+def _kind(most: float) -> str:
+    """The smallest type that holds all components."""
+    return next((kind for kind, limit in (("i1", 2**7), ("<i2", 2**15), ("<i4", 2**31)) if most < limit), "<f8")
+
+
+def _matrix(column: list[bytes], width: int, kind: str = "<f8") -> np.ndarray:
     out = np.zeros((len(column), width))
     for row, raw in zip(out, column, strict=True):
-        x = np.frombuffer(raw)
+        x = np.frombuffer(raw, kind)
         row[: len(x)] = x  # shorter vectors end in zeros
     return out
 
@@ -128,10 +133,10 @@ def search(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vect
     spark = vectors.sparkSession
     rows = stage(quantised(vectors, id_col, vector_col, scale), "vectors")
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    stats = rows.agg(F.max("size").alias("width"), F.max("norm2").alias("top")).first()
+    stats = rows.agg(F.max("size").alias("width"), F.max("norm2").alias("top"), F.max("most").alias("most")).first()
     if stats["width"] is None:
         return empty
-    width, top = stats["width"], stats["top"]
+    width, top, kind = stats["width"], stats["top"], _kind(stats["most"])
     some = [r["vector"] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("vector").collect()]
     centre = spread_out(_lift(_matrix(some, width), top), pivots)
 
@@ -139,23 +144,35 @@ def search(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vect
         for b in batches:
             if not b.num_rows:
                 continue
-            near = _distances(_lift(_matrix(b.column(1).to_pylist(), width), top), centre)
+            x = _matrix(b.column(1).to_pylist(), width)
+            near = _distances(_lift(x, top), centre)
             home = near.argmin(axis=1)
-            yield batch(arrow_type(keyed), (b.column(0), home, near[np.arange(len(home)), home], b.column(1)))
+            packed = [row.tobytes() for row in x.astype(kind)]
+            yield batch(arrow_type(keyed), (b.column(0), home, near[np.arange(len(home)), home], packed))
 
     keyed = "vec_id long, pivot int, r double, vector binary"
     index = stage(_blocks(rows.select("vec_id", "vector").mapInArrow(assign, keyed), ["pivot", "r", "vec_id"], "pivot", block), "annuli")
     asked = rows.filter(is_query).select("vec_id", "vector").mapInArrow(assign, keyed)
-    asked = stage(_blocks(asked, ["pivot", "r", "vec_id"], "pivot", query_block), "queries")
-    asked = asked.select(F.col("block").alias("qblock"), F.col("pivot").alias("home"), ((F.col("low") + F.col("high")) / 2).alias("mid"), F.col("ids").alias("qids"), F.col("vectors").alias("qvectors"))
+    asked = asked.withColumn("part", F.lit(0))
+    asked = stage(_blocks(asked, ["pivot", "r", "vec_id"], "part", query_block), "queries")
+    asked = asked.select(F.col("block").alias("qblock"), F.col("ids").alias("qids"), F.col("vectors").alias("qvectors"))
     annuli = index.select("block", "pivot", "low", "high")
-    best = _compare(width, top, centre, k)
+    best = _compare(width, top, centre, k, kind)
+
+    # Seeds: for each pivot that is home to queries of a block, the annulus nearest to their median distance.
+    def homes(batches: Batches) -> Batches:
+        out = arrow_type("qblock long, pivot int, mid double")
+        for b in batches:
+            for key, raw in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                near = _distances(_lift(_matrix(raw, width, kind), top), centre)
+                home = near.argmin(axis=1)
+                own = np.unique(home)
+                yield batch(out, (np.full(len(own), key), own, [float(np.median(near[home == p, p])) for p in own]))
 
-    # Seeds: the two annuli of the home pivot nearest to the block's middle give every query scores to beat.
+    middles = asked.select("qblock", "qvectors").mapInArrow(homes, "qblock long, pivot int, mid double")
     gap = F.greatest(F.lit(0.0), F.col("mid") - F.col("high"), F.col("low") - F.col("mid"))
-    seeds = asked.select("qblock", F.col("home").alias("pivot"), "mid").join(annuli, "pivot").groupBy("qblock")
-    seeds = seeds.agg(F.slice(F.array_sort(F.collect_list(F.struct(gap.alias("bound"), "block"))), 1, 2).alias("near"))
-    seeds = seeds.select("qblock", F.inline("near"))
+    seeds = middles.join(annuli, "pivot").groupBy("qblock", "pivot").agg(F.min(F.struct(gap.alias("bound"), "block")).alias("near"))
+    seeds = seeds.select("qblock", "near.bound", "near.block")
     first = _meet(seeds, asked.withColumn("floor", F.lit(None).cast("array<double>")), index).mapInArrow(best, _FOUND)
     bars = first.groupBy("qblock", "query_id").agg(F.slice(F.sort_array(F.collect_list("score"), asc=False), 1, k).alias("top"))
     bars = bars.select("qblock", "query_id", F.when(F.size("top") == k, F.element_at("top", k).cast("double")).alias("bar"))
@@ -169,7 +186,7 @@ def search(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vect
         out = arrow_type("qblock long, pivot int, near double, low double, high double")
         for b in batches:
             for key, raw, floor in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                q = _matrix(raw, width)
+                q = _matrix(raw, width, kind)
                 to = _distances(np.hstack((q, np.zeros((len(q), 1)))), centre)
                 reach = _reach(q, np.array(floor, float), top)[:, None]
                 yield batch(out, (np.full(len(centre), key), np.arange(len(centre)), to.min(axis=0), (to - reach).min(axis=0), (to + reach).max(axis=0)))
@@ -202,13 +219,13 @@ def _meet(pairs: DataFrame, asked: DataFrame, index: DataFrame) -> DataFrame:
     return full.select("qblock", "block", "pivot", "low", "high", "ids", "vectors", "qids", "qvectors", "floor")
 
 
-def _compare(width: int, top: float, centre: np.ndarray, k: int):
+def _compare(width: int, top: float, centre: np.ndarray, k: int, kind: str):
     def run(batches: Batches) -> Batches:
         out, now = arrow_type(_FOUND), None
         for b in batches:
             for r in b.to_pylist():
                 if now != r["qblock"]:
-                    now, q, qids = r["qblock"], _matrix(r["qvectors"], width), np.array(r["qids"])
+                    now, q, qids = r["qblock"], _matrix(r["qvectors"], width, kind), np.array(r["qids"])
                     to = _distances(np.hstack((q, np.zeros((len(q), 1)))), centre)
                     floor = np.array(r["floor"], float) if r["floor"] else np.full(len(q), -np.inf)
                     tops = np.full((len(q), k), -np.inf)
@@ -217,7 +234,7 @@ def _compare(width: int, top: float, centre: np.ndarray, k: int):
                 mine = np.flatnonzero(gap <= _reach(q, floor, top))
                 if not len(mine):
                     continue
-                v, ids = _matrix(r["vectors"], width), np.array(r["ids"])
+                v, ids = _matrix(r["vectors"], width, kind), np.array(r["ids"])
                 score = _exact(q[mine], v)
                 value = score.astype(float)
                 value[qids[mine][:, None] == ids[None, :]] = -np.inf
