@@ -53,43 +53,32 @@ def passages(text: bytes | None, size: int = PASSAGE) -> np.ndarray:
     kinds = _KINDS[np.frombuffer(b"".join(words), np.uint8)]
     codes: dict[bytes, int] = {}
     code = np.fromiter((codes.setdefault(w, len(codes)) for w in words), np.int64, n)
-    count = np.bincount(code)
+    starts = np.arange(0, n, size)
+    part = np.arange(n) // size
+    m = np.diff(np.append(starts, n)).astype(float)
+    mean = lambda values: np.add.reduceat(values, starts, dtype=float) / m
     ends = np.cumsum(lengths)
-    lead = kinds[ends - lengths]
-    tail = kinds[ends - 1]
-    again = np.concatenate(([False], code[1:] == code[:-1]))
-    line = np.array(line_of)
-    stale = np.array(old_line)[line]
-    rows = []
-    for at in range(0, n, size):
-        to = min(at + size, n)
-        part = kinds[(ends[at] - lengths[at]) : ends[to - 1]]
-        share = np.bincount(part, minlength=5 + len(_SIGNS)) / len(part)
-        own = lengths[at:to]
-        m = to - at
-        distinct = len(np.unique(code[at:to]))
-        rows.append(
-            np.concatenate(
-                (
-                    np.sqrt(share),
-                    (
-                        1.0,
-                        own.mean() / 8,
-                        own.std() / 8,
-                        (own <= 3).mean(),
-                        distinct / m,
-                        again[at:to].mean(),
-                        (tail[at:to] >= 4).mean(),
-                        (lead[at:to] >= 4).mean(),
-                        (lead[at:to] == 1).mean(),
-                        stale[at:to].mean(),
-                        np.log1p(count[code[at:to]]).mean() / 4,
-                        np.log1p(m) / 4,
-                    ),
-                )
-            )
-        )
-    return np.array(rows, np.float32)
+    lead, tail = kinds[ends - lengths], kinds[ends - 1]
+    width = 5 + len(_SIGNS)
+    share = np.bincount(np.repeat(part * width, lengths) + kinds, minlength=len(starts) * width).reshape(-1, width)
+    share = share / share.sum(axis=1, keepdims=True)
+    distinct = np.bincount(np.unique(part * n + code) // n, minlength=len(starts))
+    average = mean(lengths)
+    columns = (
+        np.ones(len(starts)),
+        average / 8,
+        np.sqrt(np.maximum(mean(lengths * lengths) - average**2, 0)) / 8,
+        mean(lengths <= 3),
+        distinct / m,
+        mean(np.concatenate(([False], code[1:] == code[:-1]))),
+        mean(tail >= 4),
+        mean(lead >= 4),
+        mean(lead == 1),
+        mean(np.array(old_line)[np.array(line_of)]),
+        mean(np.log1p(np.bincount(code)[code])) / 4,
+        np.log1p(m) / 4,
+    )
+    return np.column_stack((np.sqrt(share), *columns)).astype(np.float32)
 
 
 @dataclass
