@@ -110,7 +110,7 @@ def segment_customers(
     assembled = VectorAssembler(inputCols=list(SEGMENT_INPUTS), outputCol="raw").transform(filled)
     scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True).fit(assembled)
     scaled = scaler.transform(assembled).select("customer_id", "features")
-    points = staged(scaled, work_path(features.sparkSession, "segments"))
+    points = staged(scaled, work_path(features.sparkSession, "segments")).persist()  # sixty fits read it
     best = None
     for k in clusters:
         runs = (
@@ -122,6 +122,7 @@ def segment_customers(
         if best is None or quality > best[0]:
             best = (quality, k, model)
     quality, k, model = best
+    points.unpersist()
     return model.transform(points).select(
         "customer_id", "segment", F.lit(k).alias("cluster_count"), F.lit(float(quality)).alias("silhouette")
     )

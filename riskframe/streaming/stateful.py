@@ -30,10 +30,14 @@ class VelocityProcessor(StatefulProcessor):
     """Turns closed seconds of a customer (count, cents, first id) into window totals.
 
     Seconds arrive in rounds of increasing time, since the aggregation before emits a second once,
-    when the watermark passes it. So each round can be handled at once.
+    when the watermark passes it. So each round can be handled at once. A timer drops the seconds of a
+    customer who has been silent for the longest window; the time of the last transaction stays, for the gap.
     """
 
+    reach = max(seconds for _, seconds in WINDOWS)
+
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         columns = "seconds array<bigint>, counts array<bigint>, cents array<bigint>"
         self.days = handle.getMapState("days", "day bigint", columns)
         self.last = handle.getValueState("last", "second bigint")
@@ -41,7 +45,7 @@ class VelocityProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         fresh = pd.concat(list(rows), ignore_index=True).sort_values("second", ignore_index=True)
         now = fresh["second"].to_numpy(dtype=np.int64)
-        reach = max(seconds for _, seconds in WINDOWS)
+        reach = self.reach
 
         stored = {}
         for (day,), values in list(self.days.iterator()):
@@ -71,8 +75,16 @@ class VelocityProcessor(StatefulProcessor):
             joined = tuple([*map(int, old), *map(int, new[chosen])] for old, new in zip(before, fresh_values))
             self.days.updateValue((int(day),), joined)
         self.last.update((int(now[-1]),))
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer((int(now[-1]) + reach + 1) * 1000)
         yield pd.DataFrame(out)
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """Only the latest timer is kept, so nothing stored can matter any more."""
+        self.days.clear()
+        yield from ()
+
 
 class FirstUseProcessor(StatefulProcessor):
     """Remembers that a pair has been seen; per second, the id of the row that was first ever."""
