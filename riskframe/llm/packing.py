@@ -325,8 +325,8 @@ def pack(found: DataFrame, *, capacity: int = CAPACITY, buckets: int = 256) -> D
                 sequence[mine], offset[mine] = bins[at] + ranks[mine] - first[at], offsets[at]
             yield batch(arrow_type(out), (*(b.column(i) for i in range(len(names))), sequence, offset))
 
-    # A (length, bucket) is numbered in one task.
-    return keyed.repartition("length", "_bucket").mapInArrow(run, out)
+    # A (length, bucket) is numbered in one task, in an order that a repeated task finds again.
+    return keyed.repartition("length", "_bucket").sortWithinPartitions("length", "_bucket", "doc_id", "piece").mapInArrow(run, out)
 
 
 def pack_documents(docs: DataFrame, *, with_ids: bool = True, capacity: int = CAPACITY, buckets: int = 256, **settings) -> DataFrame:

@@ -156,14 +156,15 @@ def held_out(id_col: str):
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_labels: int = MAX_LABELS) -> Model | None:
     """A model from labelled documents that are not held out, at most ``max_labels`` of them.
 
-    Of contradicting labels of one id the smaller counts; null labels and ids are no labels. An id that occurs
-    several times in ``docs`` gives several training documents.
+    Of contradicting labels of one id the smaller counts, of several texts the least; null labels and ids are
+    no labels.
     """
     known = labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("double").alias("_label"))
     known = known.filter(~held_out("_id")).groupBy("_id").agg(F.min("_label").alias("_label")).filter("_id is not null and _label is not null")
     # The bound makes this table small; joins choose it as the small side by its size.
     known = stage(known.orderBy(F.xxhash64("_id"), "_id").limit(max_labels), "labels")
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text")).join(known, "_id")
+    texts = texts.groupBy("_id").agg(F.min("_text").alias("_text"), F.min("_label").alias("_label"))
     schema = "_id long, _label double, bag binary"
 
     def run(batches: Batches) -> Batches:
