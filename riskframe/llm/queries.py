@@ -76,7 +76,67 @@ QUERIES: dict[str, Query] = {
     "op10_document_fingerprints": op10_document_fingerprints,
 }
 
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
 ORACLE: dict[str, str] = {
+    "op5_substring_dedup": f"""
+        WITH split AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+        placed AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place, len(words) AS n FROM split),
+        windows AS (
+            SELECT doc_id, place, n, string_agg(word, ' ') OVER (
+                PARTITION BY doc_id ORDER BY place ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING) AS content
+            FROM placed
+        ), repeated AS (
+            SELECT doc_id, place FROM windows WHERE place + 34 <= n
+            QUALIFY count(*) OVER (PARTITION BY content) > 1
+        ), covered AS (SELECT DISTINCT doc_id, unnest(range(place, place + 35)) AS place FROM repeated),
+        kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text, count(*) AS n
+            FROM placed ANTI JOIN covered USING (doc_id, place) GROUP BY doc_id
+        )
+        SELECT s.doc_id, CAST(len(s.words) AS BIGINT) AS n_words, CAST(len(s.words) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+            sha256(coalesce(k.text, '')) AS kept_sha256
+        FROM split s LEFT JOIN kept k USING (doc_id)
+    """,
+    "op8_source_mixing": f"""
+        WITH sized AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size FROM documents),
+        sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+        weighed AS (
+            SELECT *, 2e0 * source_size AS cap, [5e0, 2e0, 1e0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+            FROM sources
+        ), levels AS (
+            SELECT *, cap / weight AS ratio, 15e-1 * sum(source_size) OVER () AS total, sum(weight) OVER () AS heavy,
+                coalesce(sum(cap) OVER before, 0e0) AS caps, coalesce(sum(weight) OVER before, 0e0) AS weights
+            FROM weighed
+            WINDOW before AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        ), stopped AS (SELECT *, ratio <= (total - caps) / (heavy - weights) AS stops FROM levels),
+        targets AS (
+            SELECT source, source_size, CASE WHEN stops THEN cap ELSE
+                (total - sum(CASE WHEN stops THEN cap ELSE 0e0 END) OVER ()) * weight
+                / (heavy - sum(CASE WHEN stops THEN weight ELSE 0e0 END) OVER ()) END AS target
+            FROM stopped
+        ), drawn AS (
+            SELECT s.doc_id, s.size, t.*, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0e0 END AS ratio,
+                (CAST(CAST('0x' || substr(md5('mix:' || s.doc_id), 1, 12) AS BIGINT) AS DOUBLE) + 0.5e0) / 281474976710656e0 AS u
+            FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+        ), ranked AS (
+            SELECT *, ratio - floor(ratio) AS p, target - floor(ratio) * source_size AS rest FROM drawn
+        ), odds AS (
+            SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS q FROM ranked
+        ), chosen AS (
+            SELECT *, coalesce(q IS NOT NULL AND sum(size) OVER (PARTITION BY source ORDER BY q, u, doc_id) <= rest, false) AS chosen
+            FROM odds
+        ), gaps AS (
+            SELECT *, rest - sum(CASE WHEN chosen THEN size ELSE 0 END) OVER (PARTITION BY source) AS gap FROM chosen
+        ), lasts AS (
+            SELECT *, NOT chosen AND abs(size - gap) < gap AND row_number() OVER (
+                PARTITION BY source, chosen ORDER BY abs(size - gap), q, doc_id) = 1 AS last
+            FROM gaps
+        )
+        SELECT doc_id, size, source_size, target,
+            CAST((floor(ratio) + CASE WHEN chosen OR last THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
+        FROM lasts
+    """,
     "op4_exact_topk": """
         WITH usable AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
