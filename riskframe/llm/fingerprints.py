@@ -2,7 +2,7 @@
 
 A text is the set of its five-word shingles (A-Z in lower case); a shorter text is one shingle, an empty
 text has none. Each of ``SIZE`` multiplicative hash functions orders the shingles anew; the signature keeps
-the least 16-bit value of each, so the share of equal values estimates the Jaccard similarity.
+the low 16 bits of the least value of each, so the share of equal values estimates the Jaccard similarity.
 """
 
 from __future__ import annotations
@@ -34,11 +34,14 @@ def shingles(text: str | None, hashes: WordHashes, words: int = WORDS) -> np.nda
 
 
 def signature(found: np.ndarray) -> np.ndarray:
-    """Least value of every hash function; all ones for no shingle."""
+    """Low 16 bits of the least value of every hash function; all ones for no shingle.
+
+    The high bits of a least value shrink with the number of shingles and would agree in unrelated long texts.
+    """
     least = np.full(SIZE, 2**64 - 1, np.uint64)
     for at in range(0, len(found), 512):
         least = np.minimum(least, (_MULTIPLY[:, None] * found[None, at : at + 512] + _ADD[:, None]).min(axis=1))
-    return (least >> np.uint64(48)).astype(">u2")
+    return (least & np.uint64(0xFFFF)).astype(">u2")
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
