@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.llm import near
 from riskframe.llm.common import Batches, arrow_type, batch, mix64, runs, sorted_groups, stage, text_bytes
 from riskframe.operators.graph import connected_components
 from riskframe.operators.skew import splittable
@@ -218,18 +219,6 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return components(prints, bits=bits, max_diff=max_diff, segments=segments)
 
 
-#: Production settings of the corpus stage: 128 bits of word pairs. An edited word changes two pairs but
-#: five five-word shingles, so texts with 0.8 of their five-word shingles in common stay within 16 bits (99 % in tests).
-CORPUS = {"words": 2, "bits": 128, "max_diff": 16, "segments": 17}
-
-
-def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """``docs`` with one document of each near-duplicate component: its smallest id.
-
-    Rows that share an id are one document and stay or go together; rows without id or words have nothing
-    to compare and stay.
-    """
-    usable = F.col(id_col).isNotNull() & F.col(text_col).rlike("[^\\x20\\x09-\\x0D]")
-    found = near_duplicates(docs.filter(usable), id_col=id_col, text_col=text_col, **{**CORPUS, **settings})
-    losers = stage(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_loser")).distinct(), "losers")
-    return docs.join(losers, docs[id_col] == losers["_loser"], "left_anti")
+def keep_one(docs: DataFrame, **settings) -> DataFrame:
+    """``docs`` with one row of each group of near copies, by exact similarity: see ``near.keep_one``."""
+    return near.keep_one(docs, **settings)
