@@ -44,3 +44,46 @@ def test_block_edits_are_found(spark):
     assert all(0.8 <= jaccard(a, b) <= 0.86 for a, b in pairs)
     rows = [(2 * k + side, text) for k, pair in enumerate(pairs) for side, text in enumerate(pair)]
     assert kept_ids(spark, rows) == Counter(2 * k for k in range(150))
+
+
+def test_only_verified_pairs_are_joined(spark):
+    rng = random.Random(2)
+    word = lambda: f"v{rng.randrange(10**6)}"
+    rows = []
+    for _ in range(40):  # short texts with one changed word: 0.52
+        base = [word() for _ in range(20)]
+        rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join([*base[:10], word(), *base[11:]]))]
+    line = " ".join(word() for _ in range(8))
+    for _ in range(20):  # one line repeated many times around texts that have nothing else in common
+        rows.append((len(rows), f"{line} " * 40 + " ".join(word() for _ in range(60))))
+    rows += [(len(rows), "one two three"), (len(rows) + 1, "one two four")]
+    assert kept_ids(spark, rows) == Counter(i for i, _ in rows)
+
+
+def test_tiles_lose_no_pair(spark):
+    """Chains and stars of copies, with groups of many tiles: the same components as all exact pairs."""
+    rng = random.Random(3)
+    word = lambda: f"t{rng.randrange(10**6)}"
+    rows = []
+    for _ in range(4):
+        text = [word() for _ in range(150)]
+        for _ in range(25):
+            text = list(text)
+            at = rng.randrange(130)
+            text[at : at + rng.choice([6, 10, 14])] = [word() for _ in range(8)]
+            rows.append((len(rows), " ".join(text)))
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, s in rows:
+        for b, t in rows[:a]:
+            if jaccard(s, t) >= 0.8 and find(a) != find(b):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    want = Counter({find(a) for a, _ in rows})
+    assert 4 < len(want) < 100
+    for tile in (512, 3):
+        assert kept_ids(spark, rows, tile=tile) == want
