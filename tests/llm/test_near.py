@@ -3,7 +3,7 @@
 import random
 from collections import Counter
 
-from riskframe.llm import simhash
+from riskframe.llm import near, simhash, substrings
 
 SCHEMA = "doc_id long, text string, source string"
 
@@ -87,3 +87,17 @@ def test_tiles_lose_no_pair(spark):
     assert 4 < len(want) < 100
     for tile in (512, 3):
         assert kept_ids(spark, rows, tile=tile) == want
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Repeated rows, rows without id and shared ids, through near-dedup and substring dedup together."""
+    rng = random.Random(4)
+    a, b, c, d, e = (" ".join(f"r{rng.randrange(10**6)}" for _ in range(80)) for _ in range(5))
+    rows = [(1, a, "x"), (1, a, "x"), (1, a, "y"), (3, b, "x"), (5, b, "x"), (5, c, "x"), (None, d, "x"), (None, d, "x"), (None, c, "x"), (None, e, "x"), (7, f"{e} end", "x"), (8, "", "x"), (8, "", "x"), (9, None, "x")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = near.keep_one(docs)
+    assert kept.columns == docs.columns
+    want = Counter([(1, a), (3, b), (5, c), (None, d), (7, f"{e} end"), (8, ""), (8, ""), (9, None)])
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == want
+    assert Counter((r["doc_id"], r["text"]) for r in substrings.deduplicate(kept).collect()) == want
+    assert simhash.keep_one(docs.limit(0)).count() == 0
