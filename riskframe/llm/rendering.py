@@ -10,13 +10,15 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
+from collections import defaultdict
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import Batches, arrow_type, batch
 
-DEPTH = 200
 # Element names of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style xmp iframe noembed noframes textarea title".split())
@@ -74,31 +76,44 @@ def attributes(text: str) -> dict[str, str]:
 
 
 class Builder:
-    """Open elements from the root down; text and elements go to the innermost."""
+    """Open elements from the root down; text and elements go to the innermost.
+
+    ``places`` has the places of each name among the open elements, so no depth makes a tag slow.
+    """
 
     def __init__(self) -> None:
         self.root = Node("html")
         self.open = [self.root]
+        self.places: dict[str, list[int]] = defaultdict(list)
+
+    def _last(self, names: set[str]) -> int:
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+
+    def _cut(self, place: int) -> None:
+        """Close the open elements from ``place`` on."""
+        for node in self.open[place:]:
+            self.places[node.name].pop()
+        del self.open[place:]
 
     def _end(self, names: set[str], bounds: set[str]) -> bool:
         """Close the outermost open element of ``names`` below the nearest of ``bounds``."""
-        found = None
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k].name in names:
-                found = k
-            elif self.open[k].name in bounds:
-                break
-        if found is not None:
-            del self.open[found:]
-        return found is not None
+        if not any(self.places.get(n) for n in names):
+            return False
+        bound, found = self._last(bounds - names), []
+        for n in names:
+            at = self.places.get(n, [])
+            found += at[(k := bisect_right(at, bound)) : k + 1]
+        if found:
+            self._cut(min(found))
+        return bool(found)
 
     def start(self, name: str, found: dict[str, str], closed: bool = False) -> None:
         if name == "html":
             self.root.attributes = found | self.root.attributes
             return
-        if name == "body" and any(n.name == "body" for n in self.open):
+        if name == "body" and self.places.get("body"):
             return
-        if name not in HEAD_ONLY and any(n.name == "head" for n in self.open):
+        if name not in HEAD_ONLY and self.places.get("head"):
             self._end({"head"}, set())
         if name in CLOSES_P:
             self._end({"p"}, {"button", "table", "td", "th", "caption", "object", "li", "blockquote"})
@@ -107,10 +122,11 @@ class Builder:
         if name in ("td", "th") and self.open[-1].name in ("table", "thead", "tbody", "tfoot"):
             self.start("tr", {})
         if name in ("h1", "h2", "h3", "h4", "h5", "h6") and self.open[-1].name in ("h1", "h2", "h3", "h4", "h5", "h6"):
-            self.open.pop()
+            self._cut(len(self.open) - 1)
         node = Node(name, found)
         self.open[-1].children.append(node)
-        if name not in VOID and not closed and len(self.open) < DEPTH:
+        if name not in VOID and not closed:
+            self.places[name].append(len(self.open))
             self.open.append(node)
 
     def end(self, name: str) -> None:
@@ -120,12 +136,9 @@ class Builder:
             self.start("br", {})
             return
         bounds = {"table", "td", "th"} - {name} if name not in ("table", "tr", "tbody", "thead", "tfoot") else {"table"} - {name}
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k].name == name:
-                del self.open[k:]
-                return
-            if self.open[k].name in bounds:
-                return
+        place = self._last({name})
+        if place > self._last(bounds):
+            self._cut(place)
 
     def text(self, data: str) -> None:
         if data:
@@ -223,21 +236,39 @@ def _number(text: str | None, default: int, most: int = 10**6) -> int:
         return default
 
 
-def _walk(node: Node, page: Page, kept: bool, depth: int) -> None:
+#: A function of the walk yields the calls it would make and is sent their results, so depth costs no recursion.
+Steps = Iterator
+
+
+def _run(first: Steps) -> list[str] | None:
+    stack, value = [first], None
+    while stack:
+        try:
+            step = stack[-1].send(value)
+        except StopIteration as end:
+            stack.pop()
+            value = end.value
+        else:
+            stack.append(step)
+            value = None
+    return value
+
+
+def _walk(node: Node, page: Page, kept: bool, depth: int) -> Steps:
     for child in node.children:
         if isinstance(child, str):
             page.inline(child, kept)
         elif not hidden(child):
-            _element(child, page, kept, depth)
+            yield _element(child, page, kept, depth)
 
 
-def _element(node: Node, page: Page, kept: bool, depth: int) -> None:
+def _element(node: Node, page: Page, kept: bool, depth: int) -> Steps:
     name = node.name
     if name == "br":
         page.line(kept=kept, force=True)
     elif name == "table":
         page.block(MARGIN[name])
-        for text in _table(node, depth):
+        for text in (yield _table(node, depth)):
             page.inline(text, True)
             page.line(kept=True)
         page.block(MARGIN[name])
@@ -252,66 +283,66 @@ def _element(node: Node, page: Page, kept: bool, depth: int) -> None:
                 continue
             elif child.name == "li":
                 number = _number(child.attributes.get("value"), number)
-                _item(child, page, f"{number}. " if name == "ol" else "* ", kept, depth + 1)
+                yield _item(child, page, f"{number}. " if name == "ol" else "* ", kept, depth + 1)
                 number += 1
             else:
-                _element(child, page, kept, depth + 1)
+                yield _element(child, page, kept, depth + 1)
         page.block(margin)
     elif name == "li":
-        _item(node, page, "* ", kept, depth)
+        yield _item(node, page, "* ", kept, depth)
     elif name in ("dd", "blockquote"):
         page.block(MARGIN[name])
         before, page.indent = page.indent, page.indent + "  "
-        _walk(node, page, kept, depth)
+        yield _walk(node, page, kept, depth)
         page.block(MARGIN[name])
         page.indent = before
     elif name == "pre":
         page.block(1)
-        _walk(node, page, True, depth)
+        yield _walk(node, page, True, depth)
         if page.run:
             page.line(kept=True)
         page.block(1)
     elif name in ("td", "th"):
         page.inline(" ", False)
-        _walk(node, page, kept, depth)
+        yield _walk(node, page, kept, depth)
     elif name in MARGIN:
         page.block(MARGIN[name])
-        _walk(node, page, kept, depth)
+        yield _walk(node, page, kept, depth)
         page.block(MARGIN[name])
     else:
-        _walk(node, page, kept, depth)
+        yield _walk(node, page, kept, depth)
 
 
-def _item(node: Node, page: Page, bullet: str, kept: bool, depth: int) -> None:
+def _item(node: Node, page: Page, bullet: str, kept: bool, depth: int) -> Steps:
     page.block(0)
     before, page.bullet = page.indent, bullet
-    _walk(node, page, kept, depth)
+    yield _walk(node, page, kept, depth)
     page.block(0)
     page.indent, page.bullet = before, ""
 
 
-def _rows(node: Node, rows: list[Node], captions: list[Node]) -> None:
+def _rows(node: Node, rows: list[Node], captions: list[Node]) -> Steps:
     for child in node.children:
         if isinstance(child, str) or hidden(child):
             continue
         if child.name in ("thead", "tbody", "tfoot"):
-            _rows(child, rows, captions)
+            yield _rows(child, rows, captions)
         elif child.name == "tr":
             rows.append(child)
         else:
             captions.append(child)
 
 
-def _table(node: Node, depth: int) -> list[str]:
+def _table(node: Node, depth: int) -> Steps:
     """Lines of a table: captions and stray content first, then rows with cells padded to columns."""
     rows, stray = [], []
-    _rows(node, rows, stray)
+    yield _rows(node, rows, stray)
     loose = Page()
     for text in node.children:
         if isinstance(text, str):
             loose.inline(text, False)
     for other in stray:
-        _element(other, loose, False, depth)
+        yield _element(other, loose, False, depth)
     loose.block(0)
     widths: dict[int, int] = {}
     grid: list[list[tuple[int, int, list[str]]]] = []
@@ -328,7 +359,7 @@ def _table(node: Node, depth: int) -> list[str]:
             while at in reaching:
                 at += 1
             inner = Page()
-            _walk(cell, inner, False, 0)
+            yield _walk(cell, inner, False, 0)
             inner.block(0)
             span = max(1, _number(cell.attributes.get("colspan"), 1, 1000))
             deep = max(1, _number(cell.attributes.get("rowspan"), 1, 1000))
@@ -365,7 +396,7 @@ def render(source: str | None) -> tuple[str | None, str]:
         return None, ""
     root = parse(source)
     page = Page()
-    _walk(root, page, False, 0)
+    _run(_walk(root, page, False, 0))
     page.block(0)
     return _title(root), "\n".join(page.lines).strip("\n")
 
@@ -390,8 +421,8 @@ def language(source: str | None) -> str | None:
 def extract(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """(page_id, title, text), one row for each row of ``pages``.
 
-    A null page has no title and the empty text; repeated rows stay repeated. Elements nested deeper than
-    ``DEPTH`` become siblings, so their text stays.
+    A null page has no title and the empty text; repeated rows stay repeated. Elements
+    may be nested to any depth.
     """
     schema = "page_id long, title string, text string"
 
