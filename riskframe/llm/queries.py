@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import fingerprints, language, mixing, packing, quality, rendering, simhash, substrings, topk, urls
+from riskframe.llm import codebooks, contamination, fingerprints, language, mixing, packing, periods, quality, rendering, simhash, substrings, topk, urls
 from riskframe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +64,29 @@ def op10_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, folder, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return codebooks.compress(table(spark, folder, "embeddings"))
+
+
+def repeat_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of a tenth of the documents, chosen by id, repeat with a period from some place on; a null id is left alone."""
+    n, h = len(words), zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    first = g % n
+    period = 1 + (n - first) // (3 + g % 8)
+    return words[:first] + [words[first + i % period] for i in range(n - first)]
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periods.summaries(table(spark, folder, "documents"), edit=repeat_tail)
+
+
+def op13_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_url_filter": op2_url_filter,
@@ -74,11 +98,74 @@ QUERIES: dict[str, Query] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_html_extraction": op9_html_extraction,
     "op10_document_fingerprints": op10_document_fingerprints,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_decontamination": op13_decontamination,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+_FOLDED = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+def _assigned(book: str) -> str:
+    """Each part with its nearest entry and the squared distance to it."""
+    return f"""SELECT vec_id, label, position, part, min(sq * 64 + entry) % 64 AS entry, min(sq * 64 + entry) // 64 AS sq
+            FROM (SELECT p.*, b.entry, CAST(list_sum(list_transform(list_zip(p.part, b.part), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS sq
+                FROM parts p JOIN {book} b USING (position))
+            GROUP BY vec_id, label, position, part"""
+
+
+def _moved(assigned: str, book: str) -> str:
+    """The codebook after a round."""
+    means = ", ".join(f"CAST(floor(sum(part[{i}]) / count(*)) AS BIGINT)" for i in range(1, 5))
+    return f"""SELECT b.position, b.entry, coalesce(m.part, b.part) AS part FROM {book} b LEFT JOIN (
+            SELECT position, entry, [{means}] AS part FROM {assigned} GROUP BY position, entry) m USING (position, entry)"""
+
+
 ORACLE: dict[str, str] = {
+    "op11_vector_codes": f"""
+        WITH kept AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), parts AS (
+            SELECT vec_id, label, position, v[position * 4 + 1:position * 4 + 4] AS part FROM (SELECT *, unnest(range(16)) AS position FROM kept)
+        ), book0 AS (
+            SELECT position, entry, part
+            FROM (SELECT *, row_number() OVER (PARTITION BY position ORDER BY vec_id) - 1 AS entry FROM parts) WHERE entry < 64
+        ), assigned0 AS ({_assigned("book0")}), book1 AS MATERIALIZED ({_moved("assigned0", "book0")}),
+        assigned1 AS ({_assigned("book1")}), book2 AS MATERIALIZED ({_moved("assigned1", "book1")}),
+        assigned2 AS ({_assigned("book2")}),
+        coded AS (
+            SELECT vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY position) AS code, CAST(sum(sq) AS BIGINT) AS error
+            FROM assigned2 GROUP BY vec_id, label
+        )
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+            (SELECT sha256(string_agg(array_to_string(part, ','), ',' ORDER BY position, entry)) FROM book2) AS codebooks_sha256
+        FROM coded
+    """,
+    "op13_decontamination": f"""
+        WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_FOLDED} AS words FROM benchmark),
+        windows AS (
+            SELECT DISTINCT item_id, array_to_string(words[i:i + least(10, len(words)) - 1], ' ') AS content, least(10, len(words)) AS size
+            FROM (SELECT *, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS i FROM items WHERE len(words) > 0)
+        ), docs AS (SELECT doc_id, {_FOLDED} AS words FROM documents),
+        stretches AS (
+            SELECT doc_id, i, size, array_to_string(words[i:i + size - 1], ' ') AS content
+            FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS i
+                FROM docs CROSS JOIN (SELECT DISTINCT size FROM windows) WHERE size <= len(words))
+        ), met AS (
+            SELECT doc_id, i, size, item_id FROM stretches JOIN windows USING (size, content)
+        ), hit AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS place FROM met) GROUP BY doc_id),
+        named AS (
+            SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
+            FROM (SELECT DISTINCT doc_id, item_id FROM met) GROUP BY doc_id
+        )
+        SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hit,
+            CAST(coalesce(m.n, 0) AS BIGINT) AS n_items, sha256(coalesce(m.ids, '')) AS items_sha256, h.n IS NOT NULL AS contaminated
+        FROM docs d LEFT JOIN hit h USING (doc_id) LEFT JOIN named m USING (doc_id)
+    """,
     "op5_substring_dedup": f"""
         WITH split AS (SELECT doc_id, {_WORDS} AS words FROM documents),
         placed AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place, len(words) AS n FROM split),
