@@ -52,13 +52,17 @@ ENDS = {
 }
 HEAD_ONLY = set("base basefont bgsound link meta title style script noscript template head".split())
 
+# In a tag a quote opens a value only right after an equals sign; anywhere else it is part of a name or a bare value.
+_NAME = r"[^ \t\n\r\f/>][^ \t\n\r\f/>=]*+"
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|--!>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)",
+    r"<!--(?:>|->|.*?(?:-->|--!>|\Z))|<[!?][^>]*(?:>|\Z)|</(?:>|[^a-zA-Z>][^>]*(?:>|\Z))"
+    r"|<(/?)([a-zA-Z][^ \t\n\r\f/>]*+)"
+    r"((?:[ \t\n\r\f/]++|" + _NAME + r"(?:[ \t\n\r\f]*+=[ \t\n\r\f]*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^ \t\n\r\f>\"'][^ \t\n\r\f>]*+)?)?)*+)(>|\Z)",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
+_ATTRIBUTE = re.compile("(" + _NAME + r")(?:[ \t\n\r\f]*+=[ \t\n\r\f]*+(?:\"([^\"]*)\"?|'([^']*)'?|([^ \t\n\r\f>\"'][^ \t\n\r\f>]*)?))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
+_STYLE = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)", re.IGNORECASE)
 
 
 class Node:
@@ -174,16 +178,49 @@ def parse(source: str) -> Node:
             at = end.start() if end else len(source)
 
 
+def _style(node: Node) -> dict[str, str]:
+    """The last value of each property that decides whether something is seen."""
+    found = node.attributes.get("style")
+    return {k.lower(): v.lower() for k, v in _STYLE.findall(found)} if found else {}
+
+
 def hidden(node: Node) -> bool:
+    """Whether the element and all inside it are not rendered, whatever its children say."""
     found = node.attributes
     return (
         node.name in HIDDEN
         or "hidden" in found
         or (node.name == "input" and found.get("type", "").lower() == "hidden")
-        or bool(_UNSEEN.search(found.get("style", "")))
+        or (node.name == "dialog" and "open" not in found)
+        or _style(node).get("display") == "none"
     )
 
 
+def seen(root: Node) -> Node:
+    """The tree without what is not rendered, and without the text of invisible elements.
+
+    Visibility is inherited and a child may be visible again; of closed ``details`` only the summary is left.
+    """
+    stack = [(root, _style(root).get("visibility") not in ("hidden", "collapse"))]
+    while stack:
+        node, visible = stack.pop()
+        children: list[Node | str] = []
+        for child in node.children:
+            if isinstance(child, str):
+                if visible:
+                    children.append(child)
+            elif not hidden(child):
+                state = _style(child).get("visibility", "inherit")
+                shown = visible if state in ("inherit", "unset") else state not in ("hidden", "collapse")
+                if shown or child.name not in VOID:
+                    children.append(child)
+                    stack.append((child, shown))
+        if node.name == "details" and "open" not in node.attributes:
+            children = [c for c in children if isinstance(c, Node) and c.name == "summary"][:1]
+        node.children = children
+    return root
+
+
 class Page:
     """Lines under construction: an inline run, pending blank lines, and the text before the next line."""
 
@@ -258,7 +295,7 @@ def _walk(node: Node, page: Page, kept: bool, depth: int) -> Steps:
     for child in node.children:
         if isinstance(child, str):
             page.inline(child, kept)
-        elif not hidden(child):
+        else:
             yield _element(child, page, kept, depth)
 
 
@@ -279,8 +316,6 @@ def _element(node: Node, page: Page, kept: bool, depth: int) -> Steps:
         for child in node.children:
             if isinstance(child, str):
                 page.inline(child, kept)
-            elif hidden(child):
-                continue
             elif child.name == "li":
                 number = _number(child.attributes.get("value"), number)
                 yield _item(child, page, f"{number}. " if name == "ol" else "* ", kept, depth + 1)
@@ -323,7 +358,7 @@ def _item(node: Node, page: Page, bullet: str, kept: bool, depth: int) -> Steps:
 
 def _rows(node: Node, rows: list[Node], captions: list[Node]) -> Steps:
     for child in node.children:
-        if isinstance(child, str) or hidden(child):
+        if isinstance(child, str):
             continue
         if child.name in ("thead", "tbody", "tfoot"):
             yield _rows(child, rows, captions)
@@ -354,7 +389,7 @@ def _table(node: Node, depth: int) -> Steps:
         for cell in row.children:
             if isinstance(cell, str):
                 cell = Node("td") if cell.strip() else None
-            if cell is None or hidden(cell):
+            if cell is None:
                 continue
             while at in reaching:
                 at += 1
@@ -395,10 +430,10 @@ def render(source: str | None) -> tuple[str | None, str]:
     if source is None:
         return None, ""
     root = parse(source)
-    page = Page()
-    _run(_walk(root, page, False, 0))
+    page, title = Page(), _title(root)
+    _run(_walk(seen(root), page, False, 0))
     page.block(0)
-    return _title(root), "\n".join(page.lines).strip("\n")
+    return title, "\n".join(page.lines).strip("\n")
 
 
 def _title(root: Node) -> str | None:

@@ -128,7 +128,8 @@ def search(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vect
 
     ``is_query`` is a condition on ``vec_id``. Scores are integer products of floor(``scale`` * x); ties go to
     the smaller vec_id. Null vectors, null or non-finite components and null ids take no part; shorter vectors
-    count as if they ended in zeros. A repeated id is a candidate each time it occurs, never for itself.
+    count as if they ended in zeros. A repeated id is a candidate each time it
+    occurs, never for itself; a query row that is repeated, or shares its id, gets its ranks each time.
     """
     spark = vectors.sparkSession
     rows = stage(quantised(vectors, id_col, vector_col, scale), "vectors")
@@ -174,11 +175,13 @@ def search(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vect
     seeds = middles.join(annuli, "pivot").groupBy("qblock", "pivot").agg(F.min(F.struct(gap.alias("bound"), "block")).alias("near"))
     seeds = seeds.select("qblock", "near.bound", "near.block")
     first = _meet(seeds, asked.withColumn("floor", F.lit(None).cast("array<double>")), index).mapInArrow(best, _FOUND)
-    bars = first.groupBy("qblock", "query_id").agg(F.slice(F.sort_array(F.collect_list("score"), asc=False), 1, k).alias("top"))
-    bars = bars.select("qblock", "query_id", F.when(F.size("top") == k, F.element_at("top", k).cast("double")).alias("bar"))
-    bars = bars.groupBy("qblock").agg(F.map_from_entries(F.collect_list(F.struct("query_id", "bar"))).alias("bars"))
+    # A query row is a place in a query block: rows with one id, equal or not, each have ranks of their own.
+    bars = first.groupBy("qblock", "copy").agg(F.slice(F.sort_array(F.collect_list("score"), asc=False), 1, k).alias("top"))
+    bars = bars.select("qblock", "copy", F.when(F.size("top") == k, F.element_at("top", k).cast("double")).alias("bar"))
+    bars = bars.groupBy("qblock").agg(F.map_from_entries(F.collect_list(F.struct("copy", "bar"))).alias("bars"))
     known = asked.join(bars, "qblock", "left")
-    lowest = F.transform("qids", lambda q: F.coalesce(F.try_element_at("bars", q), F.lit(float("-inf"))))
+    place = F.sequence(F.lit(0).cast("long"), F.size("qids").cast("long") - 1)
+    lowest = F.transform(place, lambda at: F.coalesce(F.try_element_at("bars", at), F.lit(float("-inf"))))
     known = stage(known.withColumn("floor", lowest).drop("bars"), "bars")
 
     # Intervals of r that the scores leave, for each pivot; one row for each query block and pivot.
@@ -195,9 +198,8 @@ def search(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vect
     bound = F.greatest(F.lit(0.0), F.col("low") - F.col("near"))
     pairs = spans.join(annuli, "pivot").filter("high >= `from` and low <= `to`").select("qblock", "block", bound.alias("bound"))
     found = _meet(pairs, known, index).mapInArrow(best, _FOUND)
-    # Ranks among what the pairs returned, at most k for each query and pair.
-
-    order = Window.partitionBy("query_id", "copy").orderBy(F.desc("score"), "vec_id")
+    # Ranks among what the slices of the index returned, at most k for each query row and slice.
+    order = Window.partitionBy("qblock", "copy").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
@@ -216,16 +218,34 @@ def _meet(pairs: DataFrame, asked: DataFrame, index: DataFrame) -> DataFrame:
     full = pairs.join(index, "block").join(asked, "qblock")
     full = full.withColumn("slice", F.xxhash64("qblock", F.shiftrightunsigned("block", 32)))
     full = full.repartition("slice").sortWithinPartitions("qblock", "slice", "bound")
-    return full.select("qblock", "block", "pivot", "low", "high", "ids", "vectors", "qids", "qvectors", "floor")
+    return full.select("qblock", "slice", "block", "pivot", "low", "high", "ids", "vectors", "qids", "qvectors", "floor")
 
 
 def _compare(width: int, top: float, centre: np.ndarray, k: int, kind: str):
+    """Best ``k`` of each query row within a slice of the index; ``copy`` is the row's place in its block."""
+
     def run(batches: Batches) -> Batches:
         out, now = arrow_type(_FOUND), None
+        held: list[tuple[np.ndarray, ...]] = []  # (query place, id, score): what may be among the best
+
+        def best() -> tuple[np.ndarray, ...]:
+            at, ids, score = (np.concatenate(c) for c in zip(*held, strict=True))
+            order = np.lexsort((ids, -score, at))
+            start, end = runs(at[order])
+            order = order[np.arange(len(order)) - np.repeat(start, end - start) < k]
+            return at[order], ids[order], score[order]
+
+        def written() -> Batches:
+            if held:
+                at, ids, score = best()
+                yield batch(out, (np.full(len(at), now[0]), at, qids[at], ids, [int(x) for x in score]))
+                held.clear()
+
         for b in batches:
             for r in b.to_pylist():
-                if now != r["qblock"]:
-                    now, q, qids = r["qblock"], _matrix(r["qvectors"], width, kind), np.array(r["qids"])
+                if now != (r["qblock"], r["slice"]):
+                    yield from written()
+                    now, q, qids = (r["qblock"], r["slice"]), _matrix(r["qvectors"], width, kind), np.array(r["qids"])
                     to = _distances(np.hstack((q, np.zeros((len(q), 1)))), centre)
                     floor = np.array(r["floor"], float) if r["floor"] else np.full(len(q), -np.inf)
                     tops = np.full((len(q), k), -np.inf)
@@ -240,15 +260,13 @@ def _compare(width: int, top: float, centre: np.ndarray, k: int, kind: str):
                 value[qids[mine][:, None] == ids[None, :]] = -np.inf
                 a, c = np.nonzero(value >= np.maximum(floor[mine], -1e300)[:, None])
                 if len(a):
-                    order = np.lexsort((ids[c], -value[a, c], a))
-                    a, c = a[order], c[order]
-                    start, end = runs(a)
-                    few = np.arange(len(a)) - np.repeat(start, end - start) < k
-                    a, c = a[few], c[few]
-                    yield batch(out, (np.full(len(a), now), mine[a], qids[mine][a], ids[c], [int(s) for s in score[a, c]]))
+                    held.append((mine[a], ids[c], score[a, c]))
+                    if sum(len(h[0]) for h in held) > 4 * k * len(q) + 100_000:
+                        held[:] = [best()]
                 if len(ids) > k:
                     value = np.partition(value, len(ids) - k, axis=1)[:, -k:]
                 tops[mine] = -np.sort(-np.hstack((tops[mine], value)), axis=1)[:, :k]
                 floor[mine] = np.maximum(floor[mine], tops[mine][:, -1])
+        yield from written()
 
     return run

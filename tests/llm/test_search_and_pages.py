@@ -44,7 +44,38 @@ def test_topk_few_rows_and_large_numbers(spark):
     assert topk.search(same, F.col("vec_id") % 20 == 0).count() == 2
 
 
+def test_topk_of_repeated_query_rows(spark):
+    """Every query row twice, ids with differing vectors, copies in several blocks and annuli."""
+    rng = np.random.default_rng(9)
+    rows = [(i, x.tolist()) for i, x in enumerate(rng.normal(size=(5000, 5)))]
+    rows += [r for r in rows if r[0] % 100 == 0]
+    rows += [(i, rng.normal(size=5).tolist()) for i in range(0, 5000, 500)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = topk.search(table, F.col("vec_id") % 100 == 0, k=20, block=64, query_block=16, pivots=12, sample=200)
+    x = np.floor(64 * np.array([v for _, v in rows], np.float32).astype(float))
+    ids = np.array([i for i, _ in rows])
+    want = []
+    for at in np.flatnonzero(ids % 100 == 0).tolist():
+        score = x @ x[at]
+        order = np.lexsort((ids, -score))
+        order = order[ids[order] != ids[at]][:20]
+        want += [(int(ids[at]), n + 1, int(ids[j]), int(score[j])) for n, j in enumerate(order.tolist())]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 CASES = {
+    "<p title=don't>hello</p><p>it's ok</p><p>end</p>": "hello\n\nit's ok\n\nend",
+    '<div class="a"">text one</div><p class="b">two</p>': "text one\n\ntwo",
+    '<a href=foo?a="b>c</a>': "c",
+    "<p ='x'>a</p><p a = '>' b>c</p>": "a\n\nc",
+    "a<!-->b<!--->c<!---->d<!-- > -- x --!>e": "abcde",
+    "a</ p>b</>c</3>d": "abcd",
+    '<p style="visibility:hidden">a<b style="visibility: visible">b</b>c<i>d</i></p>e': "b\n\ne",
+    '<div style="visibility:hidden;visibility:visible">a</div>': "a",
+    '<div style="x-display:none">a</div><div style="display:block;display:none">b</div>': "a",
+    "<ol><li>a<li style=visibility:hidden>b<li>c</ol>": "1. a\n3. c",
+    "a<dialog>b</dialog><dialog open>c</dialog>": "a\nc",
+    "<details><summary>s</summary>x<p>y</details><details open><summary>t</summary>z</details>": "s\nt\nz",
     "<p>one<p>two": "one\n\ntwo",
     "a<div>b</div>c": "a\nb\nc",
     "x<br>y<br><br>z": "x\ny\n\nz",
@@ -96,3 +127,26 @@ def test_extract_odd_rows(spark):
     got = rendering.extract(pages).collect()
     assert sorted((r["page_id"] or 0, len(r["text"])) for r in got) == [(0, 0), (1, 1), (1, 1), (2, 0), (3, 99_999)]
     assert rendering.extract(pages.limit(0)).count() == 0
+
+
+def test_stray_quotes_lose_no_text():
+    """Random markup: each word outside tags is emitted, in order, and nothing from inside tags."""
+    rng = np.random.default_rng(3)
+    pick = lambda xs: xs[rng.integers(len(xs))]
+    junk = ["", " title=don't", ' class="a""', " '", ' "', " a='>'", ' b=">" c', " x=y'z\"", ' d = "q\'>"', " /", " k=/"]
+    tags = ["p", "div", "b", "i", "span", "li", "ul", "h2", "em", "blockquote"]
+    for _ in range(300):
+        page, words = [], []
+        for n in range(30):
+            kind = rng.integers(4)
+            if kind == 0:
+                page.append(f"<{pick(tags)}{pick(junk)}{pick(junk)}>")
+            elif kind == 1:
+                page.append(f"</{pick(tags)}{pick(junk)}>")
+            elif kind == 2:
+                page.append(pick(["<!-- no -->", "<!-->", "<!--->", "<!doctype html>", "</>", "<br>"]))
+            else:
+                words.append(f"w{n}")
+                page.append(f" w{n} ")
+        _, text = rendering.render("".join(page))
+        assert text.replace("*", " ").split() == words
