@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,7 +36,6 @@ _SPARK_DEFAULTS = {
 }
 
 
-
 def get_session(app_name: str = "riskframe", **options: str) -> SparkSession:
     """The active session or a new one; master and memory come from spark-submit."""
     builder = SparkSession.builder.appName(app_name)
@@ -72,9 +74,29 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[context.applicationId]
 
 
+_SCRATCH: ContextVar[str] = ContextVar("scratch", default="")
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder, for staged tables and stream checkpoints."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{_SCRATCH.get() or shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """One folder for all work paths asked for inside; the caller removes it when nothing reads them any more."""
+    folder = work_path(spark, label)
+    token = _SCRATCH.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCRATCH.reset(token)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of work paths, through the file system it lies in."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def staged(df: DataFrame, path: str) -> DataFrame:
