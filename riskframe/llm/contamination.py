@@ -8,7 +8,7 @@ start before the document or end after it are dropped by length and position, an
 item-sized stretch are compared with the window's, one by one.
 
 A Bloom filter of the shingles in question keeps the other shingles of the documents from ever becoming rows. It
-is what tasks get of the benchmark, and has ``BITS`` bits at most, however large the benchmark is; a fuller filter
+is what tasks get of the benchmark, and has ``membership.BITS`` bits at most, however large the benchmark is; a fuller filter
 lets more rows through, and the join decides.
 """
 
@@ -22,12 +22,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import Batches, arrow_type, batch, mix64, stage
+from riskframe.llm.common import Batches, arrow_type, batch, mix64, stage, text_bytes
+from riskframe.llm.membership import Filter, bloom
 from riskframe.llm.substrings import WordHashes, rolling
 from riskframe.operators.skew import splittable
 
 WINDOW, SHINGLE = 10, 5
-BITS, PROBES = 2**28, 6
 
 #: What is no word: ASCII outside 0-9, A-Z and a-z; A-Z become a-z.
 _FOLD = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A else 0x20 for c in range(256))
@@ -46,47 +46,18 @@ class Shingles:
     def words(self, parts: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.hashes.__getitem__, parts), np.uint64, len(parts))
 
-    @staticmethod
-    def of(words: np.ndarray, size: int) -> np.ndarray:
-        return mix64(rolling(words, size) + np.uint64(size))
-
+    def together(self, texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Words of many texts, each followed by a bar; their hashes, and the places of the bars.
 
-class Filter:
-    """A Bloom filter over 64-bit hashes: ``bits`` (a power of two) and the words of 64 of them."""
-
-    def __init__(self, bits: int, words: np.ndarray) -> None:
-        self.bits, self.words = bits, words
+        A bar is no word, so a run of words that holds one is no shingle of any item.
+        """
+        parts = b" | ".join([*[(t or b"").translate(_FOLD) for t in texts], b""]).split()
+        words = self.words(parts)
+        return parts, words, np.flatnonzero(words == np.uint64(self.hashes[b"|"]))
 
     @staticmethod
-    def places(hashes: np.ndarray, bits: int, probe: int) -> np.ndarray:
-        return mix64(hashes + np.uint64(probe * 0x9E3779B97F4A7C15 % 2**64)) & np.uint64(bits - 1)
-
-    def holds(self, hashes: np.ndarray) -> np.ndarray:
-        """Places of the hashes that may be in the set."""
-        at = np.arange(len(hashes))
-        for probe in range(PROBES):
-            if not len(at):
-                break
-            place = self.places(hashes[at], self.bits, probe)
-            at = at[(self.words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)]
-        return at
-
-
-def bloom(hashes: DataFrame, n: int, most: int = BITS) -> Filter:
-    """The filter of one column of distinct hashes; its words are joined by Spark, at most ``most`` / 64 of them."""
-    bits = min(most, 1 << max(10, (20 * n).bit_length()))
-
-    def run(batches: Batches) -> Batches:
-        for b in batches:
-            own = b.column(0).to_numpy().view(np.uint64)
-            place = np.concatenate([Filter.places(own, bits, probe) for probe in range(PROBES)])
-            word, bit = (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63))
-            yield batch(arrow_type("word long, bit long"), (word, bit.view(np.int64)))
-
-    words = np.zeros(bits // 64, np.uint64)
-    rows = hashes.mapInArrow(run, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
-    words[rows.column(0).to_numpy()] = rows.column(1).to_numpy().view(np.uint64)
-    return Filter(bits, words)
+    def of(words: np.ndarray, size: int) -> np.ndarray:
+        return mix64(rolling(words, size) + np.uint64(size))
 
 
 _WINDOWS = "item_id string, name binary, words array<string>"
@@ -135,12 +106,11 @@ def _counts(docs: DataFrame, known: Filter, sizes: list[int]) -> DataFrame:
         own, total = Shingles(), {}
         for b in batches:
             for at in range(0, b.num_rows, 256):
-                for text in b.column(0)[at : at + 256].to_pylist():
-                    words = own.words(split_words(text))
-                    for size in sizes:
-                        found = own.of(words, size)
-                        for h in found[known.holds(found)].view(np.int64).tolist():
-                            total[h] = total.get(h, 0) + 1
+                _, words, _ = own.together(text_bytes(b.column(0)[at : at + 256]))
+                for size in sizes:
+                    found = own.of(words, size)
+                    for h in found[known.holds(found)].view(np.int64).tolist():
+                        total[h] = total.get(h, 0) + 1
                 if len(total) > 200_000:
                     yield batch(arrow_type("shingle long, n long"), (total.keys(), total.values()))
                     total = {}
@@ -164,18 +134,22 @@ def _scan(docs: DataFrame, prefixes: Filter, sizes: list[int], window: int) -> D
         own = Shingles()
         for b in batches:
             for at in range(0, b.num_rows, 256):
-                rows = []
-                for key, text in zip(b.column(0)[at : at + 256].to_pylist(), b.column(1)[at : at + 256].to_pylist(), strict=True):
-                    parts = split_words(text)
-                    words, hits = own.words(parts), []
-                    for size in sizes:
-                        found = own.of(words, size)
-                        for place in prefixes.holds(found).tolist():
-                            first = max(0, place - window + size)
-                            hits.append((int(found[place].view(np.int64)), place, place - first, [w.decode() for w in parts[first : place + window]]))
-                    name = xxhash.xxh3_128_digest(b" ".join(parts)) if hits else None
-                    rows.append((key, len(parts), name, [dict(zip(("shingle", "place", "before", "near"), h, strict=True)) for h in hits]))
-                yield batch(out, zip(*rows, strict=True))
+                keys = b.column(0)[at : at + 256]
+                parts, words, ends = own.together(text_bytes(b.column(1)[at : at + 256]))
+                starts = np.concatenate(([0], ends[:-1] + 1))
+                hits: list[list[dict]] = [[] for _ in range(len(keys))]
+                for size in sizes:
+                    found = own.of(words, size)
+                    held = prefixes.holds(found)
+                    text = np.searchsorted(ends, held)
+                    for place, t in zip(held.tolist(), text.tolist(), strict=True):
+                        start, end = int(starts[t]), int(ends[t])
+                        if place + size <= end:
+                            first = max(start, place - window + size)
+                            near = [w.decode() for w in parts[first : min(end, place + window)]]
+                            hits[t].append({"shingle": int(found[place].view(np.int64)), "place": place - start, "before": place - first, "near": near})
+                names = [xxhash.xxh3_128_digest(b" ".join(parts[s:e])) if h else None for s, e, h in zip(starts.tolist(), ends.tolist(), hits, strict=True)]
+                yield batch(out, (keys, ends - starts, names, hits))
 
     return docs.select("doc_id", "text").mapInArrow(run, _SCANNED)
 
