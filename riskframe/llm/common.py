@@ -22,6 +22,16 @@ def table(spark, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def short_batches(spark, rows: int = 1000) -> None:
+    """Let Arrow batches hold fewer rows than Spark's default, since texts are long; a setting made by the user stays.
+
+    Both sides of a Python task hold whole batches outside the heap.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(rows))
+
+
 def text_bytes(column: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column."""
     return column.cast(pa.binary()).to_pylist()

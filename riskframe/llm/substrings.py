@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import Batches, arrow_type, batch, fresh, mix64, runs, sorted_groups, stage, text_bytes
+from riskframe.llm.membership import bloom, may_hold, split
 from riskframe.operators.skew import splittable
 
 WINDOW = 35
@@ -36,7 +37,7 @@ class WordHashes(dict):
     """64-bit hashes of words; forgets all when large, which costs time only."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = value = xxhash.xxh64_intdigest(word, 7)
         return value
@@ -219,8 +220,10 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     mixed = stage(mixed, "mixed")
     crowded = mixed.groupBy("anchor").agg((F.count(F.lit(1)) > block).alias("crowded"))
     wanted = mixed.join(splittable(crowded), "anchor").select("at.doc", "anchor", "piece", "copies", "at.first", "at.windows", "crowded")
-    lists = wanted.groupBy("doc").agg(F.collect_list(F.struct("anchor", "piece", "copies", "first", "windows", "crowded")).alias("wanted"))
-    cut = stage(keyed.join(lists, "doc").mapInArrow(_cut(window), _CUT), "cut")
+    lists = stage(wanted.groupBy("doc").agg(F.collect_list(F.struct("anchor", "piece", "copies", "first", "windows", "crowded")).alias("wanted")), "wanted")
+    # Only texts that may have a wanted piece move, and lie sorted by ``doc`` after the join.
+    holders = keyed.filter(may_hold(bloom(lists.select("doc"), lists.count()), F.col("doc")))
+    cut = stage(holders.join(lists.hint("merge"), "doc").select("doc", "text", "wanted").mapInArrow(_cut(window), _CUT), "cut")
     parsed = sorted_groups(cut.filter("not crowded").drop("crowded"), "anchor", _parse(window), _MARKS)
     # Crowded anchors: windows by hash, with the copies of their piece; a hash seen twice is a repeat.
     single = cut.filter("crowded").select("anchor", "piece", "copies", F.posexplode(_longs("words")).alias("at", "hash"))
@@ -230,7 +233,9 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     # Each piece meets its content's marks, one row for one row; pieces that are duplicates as they stand have none.
     whole = F.sequence(F.lit(0), F.col("windows") - 1)
     found = F.when(F.col("mixed"), F.coalesce("marks", F.array().cast("array<int>"))).otherwise(whole)
-    spans = shared.join(marks, ["anchor", "piece"], "left").select("doc", F.transform(found, lambda m: m + F.col("first")).alias("marks"))
+    # Equal rows have equal spans: one row for each place of a content.
+    placed = shared.dropDuplicates(["doc", "first"])
+    spans = placed.join(marks.hint("merge"), ["anchor", "piece"], "left").select("doc", F.transform(found, lambda m: m + F.col("first")).alias("marks"))
     return spans.groupBy("doc").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("marks")))).alias("marks"))
 
 
@@ -245,13 +250,16 @@ def _longs(name: str):
 
 
 def _cut(window: int):
-    """Words of the wanted pieces; of crowded anchors the hashes of their windows."""
+    """Words of the wanted pieces; of crowded anchors the hashes of their windows. Equal rows come together and are cut once."""
 
     def run(batches: Batches) -> Batches:
-        schema, hashes = arrow_type(_CUT), WordHashes()
+        schema, hashes, before = arrow_type(_CUT), WordHashes(), None
         for b in batches:
             rows = []
-            for text, wanted in zip(text_bytes(b.column(1)), b.column(2).to_pylist(), strict=True):
+            for doc, text, wanted in zip(b.column(0).to_pylist(), text_bytes(b.column(1)), b.column(2).to_pylist(), strict=True):
+                if doc == before:
+                    continue
+                before = doc
                 parts = text.split()
                 words = np.fromiter(map(hashes.__getitem__, parts), np.uint64, len(parts))
                 for w in {x["piece"]: x for x in wanted}.values():
@@ -271,6 +279,9 @@ def _parse(window: int):
         schema = arrow_type(_MARKS)
         for t in tables:
             t = t.combine_chunks()
+            # A split join may have cut a content more than once.
+            _, first = np.unique(t.column("piece").to_numpy(), return_index=True)
+            t = t.take(pa.array(np.sort(first))).combine_chunks()
             words = [np.frombuffer(w, ">u8").astype(np.uint64) for w in t.column("words").to_pylist()]
             index = Block(words, t.column("copies").to_numpy())
             marks = [np.flatnonzero(index.factor(k, len(w), window)).astype(np.int32) for k, w in enumerate(words)]
@@ -294,15 +305,23 @@ def kept_words(text: bytes | None, marks: list[int] | None, window: int) -> tupl
     return b" ".join([w for w, c in zip(parts, covered.tolist(), strict=True) if not c]), len(parts), int(covered.sum())
 
 
+def _by_marks(docs: DataFrame, key: str, spans: DataFrame, marks: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``docs`` that may have spans, with them or null, and the others, which stay where they are."""
+    touched, clear = split(docs, F.col(key), bloom(spans.select("doc"), spans.count()))
+    return touched.join(splittable(spans.toDF(key, marks)).hint("merge"), key, "left"), clear
+
+
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, **settings) -> DataFrame:
     """(doc_id, n_words, n_removed, kept), one row for each row of ``docs``.
 
     ``kept`` is the text without the words of repeated windows. Texts of less than ``window`` words lose none;
     null texts stay null with zero words.
     """
-    spans = repeated_spans(docs, id_col=id_col, text_col=text_col, window=window, **settings)
+    spans = stage(repeated_spans(docs, id_col=id_col, text_col=text_col, window=window, **settings), "spans")
     narrow = docs.select(row_key(id_col, text_col).alias("doc"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    joined = narrow.join(spans, "doc", "left").select("doc_id", "text", "marks")
+    found, clear = _by_marks(narrow, "doc", spans, "marks")
+    words = F.coalesce(F.regexp_count("text", F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
+    whole = clear.select("doc_id", words.alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.col("text").alias("kept"))
     schema = "doc_id long, n_words long, n_removed long, kept string"
 
     def run(batches: Batches) -> Batches:
@@ -313,14 +332,15 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 kept, words, removed = zip(*rows, strict=True)
                 yield batch(arrow_type(schema), (part.column(0), words, removed, kept))
 
-    return joined.mapInArrow(run, schema)
+    return found.select("doc_id", "text", "marks").mapInArrow(run, schema).unionByName(whole)
 
 
 def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, **settings) -> DataFrame:
     """``docs`` with the words of repeated windows removed from ``text_col``; all rows and columns stay."""
-    spans = repeated_spans(docs, id_col=id_col, text_col=text_col, window=window, **settings)
+    spans = stage(repeated_spans(docs, id_col=id_col, text_col=text_col, window=window, **settings), "spans")
     key, marks = (fresh(docs, name) for name in ("doc", "marks"))
-    joined = docs.withColumn(key, row_key(id_col, text_col)).join(spans.toDF(key, marks), key, "left").drop(key)
+    found, clear = _by_marks(docs.withColumn(key, row_key(id_col, text_col)), key, spans, marks)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     at = docs.columns.index(text_col)
 
     def run(batches: Batches) -> Batches:
@@ -330,4 +350,4 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
             columns[at] = pa.array([kept_words(t, m, window)[0] for t, m in rows], pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=b.schema.names[:-1])
 
-    return joined.mapInArrow(run, docs.schema)
+    return found.select(*columns, marks).mapInArrow(run, docs.schema).unionByName(clear.select(*columns))
