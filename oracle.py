@@ -106,6 +106,48 @@ _FRAUD = f"""SELECT t.* EXCLUDE (merchant_risk_score), {_MERCHANT_RISK}, {_DEVIC
   FROM velocity t {_DEVICE_JOIN} {_IP_JOIN} {_BEHAVIOR_JOIN}"""
 _FRAUD_CTES = {"velocity": _VELOCITY, "device_profile": _DEVICE_PROFILE, "ip_profile": _IP_PROFILE, "stats": _STATS}
 
+_EARLIER = "(PARTITION BY {} ORDER BY epoch_us(timestamp) RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
+
+def _entity_before(key: str, p: str, risk: str) -> str:
+    known = f"{key} IS NOT NULL AND timestamp IS NOT NULL"
+    n, c = f"(case when {known} then coalesce({p}_n, 0) else 0 end)", f"(case when {known} then coalesce({p}_c, 0) else 0 end)"
+    return f"""cast({c} AS bigint) AS {p}_customers_before, cast({n} AS bigint) AS {p}_txns_before,
+      case when {n} > 0 then {p}_f / {n} else 0e0 end AS {p}_fraud_rate_before,
+      case when {n} > 0 then {risk.format(c, c)} else 0e0 end AS {p}_risk_before,
+      NOT coalesce({p}_first < timestamp, false) AS is_new_{p}_then"""
+
+
+def _entity_sums(key: str, p: str) -> str:
+    w = _EARLIER.format(key)
+    return f"""count(*) over {w} AS {p}_n, sum(case when is_fraud then 1 else 0 end) over {w} AS {p}_f, sum({p}_new) over {w} AS {p}_c,
+      case when customer_id is not null and {key} is not null then min(timestamp) over (PARTITION BY customer_id, {key}) end AS {p}_first"""
+
+
+_FIRST_USES = ", ".join(
+    f"""case when customer_id is not null and {key} is not null and timestamp is not null
+      and row_number() over (PARTITION BY customer_id, {key} ORDER BY timestamp NULLS LAST, transaction_id) = 1 then 1 else 0 end AS {p}_new"""
+    for key, p in (("device_id", "device"), ("ip_address", "ip"))
+)
+_CUST_W = _EARLIER.format("customer_id")
+_AS_OF_CTES = {
+    "uses": f"SELECT transaction_id, customer_id, device_id, ip_address, timestamp, amount, is_fraud, {_FIRST_USES} FROM transactions",
+    "sums": f"""SELECT *, {_entity_sums("device_id", "device")}, {_entity_sums("ip_address", "ip")},
+      count(*) over {_CUST_W} AS n, count(amount) over {_CUST_W} AS k, max(amount) over {_CUST_W} AS most,
+      sum(cast({_MONEY} * 100 AS bigint)) over {_CUST_W} AS s1, sum(cast({_MONEY} * 100 AS hugeint) * cast({_MONEY} * 100 AS hugeint)) over {_CUST_W} AS s2
+      FROM uses""",
+    "seen": """SELECT * REPLACE (case when ok then n else 0 end AS n, case when ok then k else 0 end AS k, case when ok then most end AS most)
+      FROM (SELECT *, customer_id IS NOT NULL AND timestamp IS NOT NULL AS ok FROM sums)""",
+    "moments": """SELECT *, case when k > 0 then cast(s1 AS double) / 100 / k end AS mean,
+      coalesce(case when k > 1 then sqrt(cast(cast(k AS hugeint) * cast(s2 AS hugeint) - cast(s1 AS hugeint) * cast(s1 AS hugeint) AS double)
+        / (cast(k AS double) * cast(k - 1 AS double))) / 100 end, 1e0) AS dev FROM seen""",
+}
+_AS_OF = f"""SELECT transaction_id, customer_id, device_id, ip_address, timestamp, amount,
+  {_entity_before("device_id", "device", _DEV_RISK)}, {_entity_before("ip_address", "ip", _IP_RISK)},
+  cast(n AS bigint) AS cust_txns_before, round(mean, 6) AS cust_avg_before, round(dev, 6) AS cust_std_before, most AS cust_max_before,
+  round(case when mean > 0 then amount / mean else 1 end, 6) AS amount_vs_avg_before,
+  round(case when mean is not null and dev > 0 then (amount - mean) / dev else 0 end, 6) AS z_score_before FROM moments"""
+
 _CREDIT = """SELECT l.* EXCLUDE (loan_start_date), cast(l.loan_start_date as varchar) AS loan_start_date,
   c.age, c.gender, c.income, c.city, c.state, cast(c.customer_since as varchar) AS customer_since, c.credit_score, c.risk_profile,
   s.hist_total_txns, round(s.hist_avg_txn_amount, 6) AS hist_avg_txn_amount, s.hist_total_spend, s.hist_fraud_count,
@@ -511,6 +553,7 @@ ORACLE: dict[str, str] = {
         f"SELECT t.transaction_id, {_MERCHANT_RISK}, {_BEHAVIOR} FROM transactions t {_BEHAVIOR_JOIN}", stats=_STATS
     ),
     "fraud_features": _sql(_FRAUD, **_FRAUD_CTES),
+    "fraud_features_as_of": _sql(_AS_OF, **_AS_OF_CTES),
     "credit_features": _sql(_CREDIT, summary=_SUMMARY),
     "customer_features": _sql(_CUSTOMER, summary=_SUMMARY),
     "feature_summary": _sql(

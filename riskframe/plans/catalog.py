@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.operators import behavior, clean, entity, evaluate, graph, loans, models, quality, rules, volume
+from riskframe.operators import as_of, behavior, clean, entity, evaluate, graph, loans, models, quality, rules, volume
 from riskframe.operators.decision import SINGLE_SIGNAL, decide, risk_inputs
 from riskframe.operators.skew import hot_keys
 from riskframe.operators.velocity import DAY, HOUR, WEEK, WINDOWS, velocity_features
@@ -405,6 +405,9 @@ QUERIES: dict[str, Query] = {
     ),
     "behavioral_features": _behavioral,
     "fraud_features": lambda s, d: rounded(Bank(s, d).fraud_features, *_AMOUNT_RATIOS),
+    "fraud_features_as_of": lambda s, d: rounded(
+        as_of.fraud_features_as_of(Bank(s, d).transactions), "cust_avg_before", "cust_std_before", "amount_vs_avg_before", "z_score_before"
+    ),
     "credit_features": _credit,
     "customer_features": _customer,
     "feature_summary": lambda s, d: rounded(

@@ -18,6 +18,7 @@ PART = (
     "clean_transactions",
     "device_features",
     "fraud_features",
+    "fraud_features_as_of",
     "credit_features",
     "v_customer_features",
     "v_new_device_detection",
@@ -61,7 +62,7 @@ def canonical(frame: pd.DataFrame) -> list[tuple]:
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLE) <= set(QUERIES) and len(QUERIES) == 92
+    assert set(ORACLE) <= set(QUERIES) and len(QUERIES) == 93
 
 
 @pytest.mark.parametrize("name", NAMES)
