@@ -532,6 +532,7 @@ ORACLE: dict[str, str] = {
         ip_profile=_IP_PROFILE,
     ),
     "entity_stats_refresh": _sql(_usage_stats("device_id", "device") + " UNION ALL " + _usage_stats("ip_address", "ip")),
+    "entity_stats_incremental": _sql(_usage_stats("device_id", "device") + " UNION ALL " + _usage_stats("ip_address", "ip")),
     "customer_device_map": _sql(
         "SELECT customer_id, device_id, min(timestamp) AS first_used, max(timestamp) AS last_used, count(*) AS use_count"
         " FROM transactions GROUP BY customer_id, device_id"

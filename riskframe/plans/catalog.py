@@ -12,13 +12,14 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.operators import as_of, behavior, clean, entity, evaluate, graph, loans, models, quality, rules, volume
+from riskframe.operators import as_of, behavior, clean, entity, evaluate, graph, incremental, loans, models, quality, rules, volume
 from riskframe.operators.decision import SINGLE_SIGNAL, decide, risk_inputs
 from riskframe.operators.skew import hot_keys
 from riskframe.operators.velocity import DAY, HOUR, WEEK, WINDOWS, velocity_features
 from riskframe.plans import features, views
 from riskframe.session import configure, work_path
 from riskframe.sources.schemas import TABLES
+from riskframe.sources.snapshots import Snapshots
 from riskframe.sources.tables import files_sink, read_all, write_datasets
 from riskframe.sources.testdata import DIRTY, TestBank
 from riskframe.streaming import windows
@@ -196,6 +197,19 @@ def _entity_stats(spark, folder):
     return parts[0].unionByName(parts[1])
 
 
+def _entity_stats_incremental(spark, folder):
+    """The counters after three deliveries and a repeated one, kept in buckets."""
+    txns = Bank(spark, folder).transactions.select("transaction_id", "customer_id", "device_id", "ip_address", "timestamp", "is_fraud")
+    store = Snapshots(spark, work_path(spark, "uses"))
+    parts = []
+    for kind in (entity.DEVICE, entity.IP):
+        uses = incremental.EntityUses(store, kind, buckets=16)
+        for delivery in (0, 1, 2, 1):
+            uses.add(txns.filter(F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == delivery), f"day-{delivery}")
+        parts.append(uses.stats().select(F.lit(kind.prefix).alias("entity_type"), F.col(kind.key).alias("entity_id"), "first_seen", "last_seen", "transaction_count", "fraud_count", "customer_count"))
+    return parts[0].unionByName(parts[1])
+
+
 def _check_new_device(spark, folder):
     bank = Bank(spark, folder)
     requests = bank.transactions.select("customer_id", "device_id").distinct()
@@ -393,6 +407,7 @@ QUERIES: dict[str, Query] = {
     "device_features": _entity_features(entity.DEVICE, features.DEVICE_COLUMNS),
     "ip_features": _entity_features(entity.IP, features.IP_COLUMNS),
     "entity_stats_refresh": _entity_stats,
+    "entity_stats_incremental": _entity_stats_incremental,
     "customer_device_map": lambda s, d: entity.usage_map(Bank(s, d).transactions, entity.DEVICE),
     "customer_ip_map": lambda s, d: entity.usage_map(Bank(s, d).transactions, entity.IP),
     "check_new_device": _check_new_device,
