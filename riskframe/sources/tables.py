@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators.clean import enforce_types, normalise
 from riskframe.sources.schemas import LOAD_ORDER, TABLES
+from riskframe.sources.snapshots import Snapshots, Version
 
 
 def _found(read: Callable[[], DataFrame]) -> DataFrame | None:
@@ -108,6 +109,16 @@ def load_all(
     return written
 
 
+def load_version(spark: SparkSession, folder: str, store: Snapshots, batch: str, *, names: Iterable[str] = LOAD_ORDER) -> Version:
+    """Load the tables as one new version of ``store``: readers see all of them or none.
+
+    A job that dies leaves the version before; a batch id that is already in changes nothing. Tables without a file
+    keep what they had.
+    """
+    sources = {n: read_table(spark, folder, n) for n in LOAD_ORDER if n in set(names)}
+    return store.publish({n: normalise(n, df) for n, df in sources.items() if df is not None}, batch)
+
+
 def write_datasets(
     datasets: Mapping[str, DataFrame], folder: str, partitions: Mapping[str, tuple[str, ...]] | None = None
 ) -> dict[str, int]:

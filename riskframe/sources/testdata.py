@@ -28,8 +28,8 @@ RAW_SCHEMAS = {
 }
 
 _CATEGORIES = (
-    "groceries,dining,entertainment,travel,utilities,healthcare,retail,electronics,fuel,"
-    "online_marketplace,gambling,cryptocurrency,money_transfer,atm_withdrawal"
+    "bakery,books,cinema,garden,hardware,music,parking,electronics,pharmacy,shoes,"
+    "gambling,cryptocurrency,toys,water"
 )
 _CUSTOMER_ID = "concat('CUST', lpad(cast({} as string), 7, '0'))"
 _SCORE = "300 + (c_custkey*131)%551"
@@ -133,7 +133,7 @@ SPEC: dict[str, Projection] = {
             " cast(cast(floor(own_ip/256) as bigint)%256 as string), '.', cast(own_ip%256 as string)) end",
             "amount": "round(value*100, 2)",
             "timestamp": "TS(us)",
-            "transaction_type": "split_part('purchase,withdrawal,transfer,payment,refund', ',',"
+            "transaction_type": "split_part('sale,cash,giro,bill,return', ',',"
             " cast(event_id%5 as int)+1)",
             "merchant_category": f"split_part('{_CATEGORIES}', ',', cast(((event_id*31+n)%105)%14 as int)+1)",
             "merchant_risk_score": "case when event_id%2=0 then 2e-1 end",

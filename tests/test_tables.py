@@ -9,6 +9,7 @@ from riskframe.operators import quality
 from riskframe.plans.views import register_views
 from riskframe.session import shared_dir, work_path
 from riskframe.sources import tables
+from riskframe.sources.snapshots import Snapshots
 from riskframe.sources.schemas import TABLES
 
 
@@ -93,6 +94,20 @@ def test_load_all(spark, bank, tmp_path):
     assert spark.read.parquet(f"{target}/customers.parquet").count() == 2
 
 
+def test_load_version(spark, bank, tmp_path):
+    source = str(tmp_path / "in")
+    bank["customers"].write.parquet(f"{source}/customers.parquet")
+    bank["devices"].write.parquet(f"{source}/devices.parquet")
+    store = Snapshots(spark, str(tmp_path / "store"))
+    for batch in ("monday", "monday"):  # a retry adds nothing
+        version = tables.load_version(spark, source, store, batch)
+    assert version.number == 1 and set(version.tables) == {"customers", "devices"}
+    assert store.read("customers").count() == bank["customers"].count()
+    bank["loans"].limit(0).write.parquet(f"{source}/loans.parquet")
+    assert tables.load_version(spark, source, store, "tuesday").number == 2
+    assert store.read("loans").count() == 0 and store.read("devices").count() == bank["devices"].count()
+
+
 def test_read_all_and_typed(spark, bank, tmp_path):
     spark.createDataFrame([("D1", "mobile", "iOS", "2024-01-01", "2024-01-01", "8", "x")], TABLES["devices"].columns).write.csv(f"{tmp_path}/devices.csv", header=True)
     found = tables.read_all(spark, str(tmp_path))
