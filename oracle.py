@@ -543,6 +543,11 @@ ORACLE: dict[str, str] = {
         " FROM (SELECT DISTINCT customer_id, device_id FROM transactions) r"
         " LEFT JOIN customer_devices cd ON r.customer_id = cd.customer_id AND r.device_id = cd.device_id"
     ),
+    "customer_amount_percentiles": _sql(
+        "SELECT customer_id, count(c) AS amounts, "
+        + ", ".join(f"round(quantile_cont(c, {p / 100}) / 100, 6) AS p{p}" for p in (25, 50, 75, 90, 99))
+        + " FROM (SELECT customer_id, cast(round(amount * 100) as bigint) AS c FROM transactions) WHERE c IS NOT NULL GROUP BY customer_id"
+    ),
     "customer_amount_stats": _sql(
         "SELECT * REPLACE (round(cust_avg_amount, 6) AS cust_avg_amount, round(cust_std_amount, 6) AS cust_std_amount) FROM stats",
         stats=_STATS,

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.operators import clean
-from riskframe.operators.skew import DEFAULT_POLICY, OWNER, SkewPolicy, hot_keys, with_owner
+from riskframe.operators.skew import DEFAULT_POLICY, OWNER, SkewPolicy, with_owner
+from riskframe.operators.velocity import velocity_cuts
 from riskframe.plans.features import credit_features, customer_features, feature_summary, fraud_features
 from riskframe.session import configure, get_session, staged, work_path
 from riskframe.sources.tables import read_all, write_datasets
@@ -23,7 +24,7 @@ def feature_datasets(raw: dict[str, DataFrame], policy: SkewPolicy = DEFAULT_POL
     spark = raw["transactions"].sparkSession
     folder = work_path(spark, "features")
     txns = staged(clean.clean_transactions(raw["transactions"]), f"{folder}/transactions")
-    hot = staged(hot_keys(with_owner(txns), OWNER, policy), f"{folder}/hot")
+    cuts = staged(velocity_cuts(with_owner(txns), OWNER, policy=policy), f"{folder}/cuts")
     customers = clean.clean_customers(raw["customers"])
     return {
         "fraud_features": fraud_features(
@@ -35,7 +36,7 @@ def feature_datasets(raw: dict[str, DataFrame], policy: SkewPolicy = DEFAULT_POL
             customers,
             clean.clean_merchants(raw["merchants"]),
             policy=policy,
-            hot=hot,
+            cuts=cuts,
         ),
         "credit_features": credit_features(clean.clean_loans(raw["loans"]), customers, txns),
         "customer_features": customer_features(customers, txns),

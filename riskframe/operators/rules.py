@@ -13,7 +13,7 @@ from riskframe.functions.columns import epoch_micros, flag, haversine_km
 from riskframe.operators.behavior import mean_amount
 from riskframe.operators.clean import deduplicate
 from riskframe.operators.entity import DEVICE, IP, customer_count, point_in_time_pairs
-from riskframe.operators.skew import DEFAULT_POLICY, OWNER, SkewPolicy, attach, hot_keys, sliced_keys, splittable, with_owner
+from riskframe.operators.skew import DEFAULT_POLICY, OWNER, SkewPolicy, attach, row_cuts, sliced_keys, splittable, with_owner
 from riskframe.operators.timeline import look_back
 
 # Rule names in evaluation order with the fraud probability of a hit.
@@ -116,7 +116,7 @@ def rule_flags(
     also: Mapping[str, DataFrame] | None = None,
     config: RuleConfig = DEFAULT_CONFIG,
     policy: SkewPolicy = DEFAULT_POLICY,
-    hot: DataFrame | None = None,
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
     """Append one flag per rule in ``only``; a disabled rule is false. Only lookups that a wanted
     rule needs enter the plan. Unknown outcomes count as false.
@@ -131,7 +131,8 @@ def rule_flags(
     df = with_owner(txns)
     ordered = wanted & {"velocity_attack", "repeated_failures", "impossible_travel"}
     if ordered:
-        hot = hot_keys(df, OWNER, policy) if hot is None else hot
+        at = epoch_micros(F.col("timestamp"))
+        cuts = row_cuts(df, OWNER, F.array(at), "transaction_id", policy) if cuts is None else cuts
         limits = {"velocity_attack": cfg.velocity_burst, "repeated_failures": cfg.failure_burst}
         travels = "impossible_travel" in wanted
         df = look_back(
@@ -141,15 +142,13 @@ def rule_flags(
             key=OWNER,
             keep_slice=True,
             policy=policy,
-            hot=hot,
+            cuts=cuts,
         )
         if travels:
             df = df.withColumns(_travel(cfg)).drop("prev_latitude", "prev_longitude", "prev_timestamp")
 
     def keys(*columns: str) -> DataFrame | None:
-        at = epoch_micros(F.col("timestamp"))
-        length = policy.slice_seconds * 1_000_000
-        return sliced_keys(txns, at, length, hot, *columns, spread="transaction_id") if ordered else None
+        return sliced_keys(txns, at, "transaction_id", cuts, *columns) if ordered else None
 
     by_device, by_ip, by_customer = [], [], []
     if wanted & {"new_device_fraud", "account_takeover"}:
@@ -244,10 +243,10 @@ def fraud_rule_flags(
     config: RuleConfig = DEFAULT_CONFIG,
     legacy: bool = False,
     policy: SkewPolicy = DEFAULT_POLICY,
-    hot: DataFrame | None = None,
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
     """All flags side by side plus ``first_match``."""
-    flagged = rule_flags(txns, inputs, config=config, policy=policy, hot=hot)
+    flagged = rule_flags(txns, inputs, config=config, policy=policy, cuts=cuts)
     return flagged.withColumn("first_match", first_match(config, legacy=legacy)).drop("_has_previous")
 
 

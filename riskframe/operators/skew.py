@@ -1,9 +1,10 @@
-"""Hot keys: finding them, and cutting their timeline into slices.
+"""Hot keys: cutting their timeline into slices of rows.
 
 A window function puts a whole key into one task, so a customer that owns a third of
-all rows would own a third of the run time. Customers above ``SkewPolicy.hot_rows`` are
-therefore spread over time slices; what a slice needs from earlier ones enters it as a few
-context rows made from per-slice aggregates. Joins need none of this: adaptive execution splits their
+all rows would own a third of the run time. The timeline of a large customer, in (time, row id) order, is
+therefore cut after about every ``SkewPolicy.hot_rows`` rows; what a slice needs from earlier ones enters it as a few
+context rows made from per-slice aggregates. Borders lie between rows, not on the clock: a burst of one second
+is cut like any other stretch. Joins need none of this: adaptive execution splits their
 skewed partitions. Aggregations combine on the map side.
 """
 
@@ -15,56 +16,80 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 SLICE = "_slice"
 OWNER = "_owner"
-MOST_HOT = 100_000
-TIMELESS = 1024
-WHOLE = -(1 << 62)  # the slice number of an undivided key
+MOST_CUTS = 200_000
+SAMPLES = 16  # sampled rows for each slice
+WHOLE = -1  # the slice number of an undivided key
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """``hot_rows``: rows above which a key is sliced. ``slice_seconds``: length of a slice."""
+    """``hot_rows``: rows of a slice, give or take a third; smaller keys stay whole."""
 
     hot_rows: int = 2_000_000
-    slice_seconds: int = 3600
 
 
 DEFAULT_POLICY = SkewPolicy()
 
 
-def hot_keys(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows, as one column ``_hot_key``.
+def row_cuts(df: DataFrame, key: str, moments: Column, row_id: str, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+    """(_hot_key, _width, _cuts): where the timelines of large keys are cut, in chunks of ``_width`` ascending borders.
 
-    The list can be broadcast at any scale and for any ``hot_rows``: it has at most ``MOST_HOT`` entries, the
-    largest keys. Keys beyond stay whole, which costs time and changes no result.
-    It may be computed on the raw scan, since it steers the layout only, never the result.
+    A row stands at each instant of the array ``moments``, under its ``row_id``; a border opens its slice. A sample by
+    hash of one in ``hot_rows / SAMPLES`` is numbered within its key, and every ``SAMPLES``-th becomes a border, so one
+    scan finds both the large keys and their borders. The table is broadcast: it has at most ``MOST_CUTS`` borders,
+    of the largest keys. Borders beyond are left out, which costs time and changes no result: borders steer the layout
+    only, so they may also come from the raw scan. Rows equal in key, time and id stay together.
     """
-    return (
-        df.groupBy(F.col(key).alias("_hot_key"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") >= policy.hot_rows)
-        .orderBy(F.desc("_n"), "_hot_key")
-        .limit(MOST_HOT)
-        .select("_hot_key", F.lit(True).alias("_is_hot"))
+    rate = max(1, policy.hot_rows // SAMPLES)
+    stride = max(1, policy.hot_rows // rate)
+    points = df.select(F.col(key).alias("_hot_key"), F.explode(moments).alias("at"), F.col(row_id).alias("id"))
+    of_key = Window.partitionBy("_hot_key")
+    borders = (
+        points.filter(F.pmod(F.xxhash64("at", "id"), F.lit(rate)) == 0)
+        .select(
+            "*",
+            F.row_number().over(of_key.orderBy("at", "id")).alias("_place"),
+            F.floor(F.count(F.lit(1)).over(of_key) / stride).alias("_borders"),
+        )
+        .filter(F.col("_place") % stride == 0)
+        .orderBy(F.desc("_borders"), "_hot_key", "_place")
+        .limit(MOST_CUTS)
+        .withColumn("_width", F.ceil(F.sqrt("_borders")).cast("int"))
     )
+    number = F.floor((F.col("_place") / stride - 1) / F.col("_width"))
+    chunks = borders.groupBy("_hot_key", "_width", number.alias("_number")).agg(
+        F.array_sort(F.collect_list(F.struct("at", "id"))).alias("_chunk")
+    )
+    keys = chunks.groupBy("_hot_key", "_width").agg(F.array_sort(F.collect_list(F.struct("_number", "_chunk"))).alias("_all"))
+    return keys.select("_hot_key", "_width", F.transform("_all", lambda c: c["_chunk"]).alias("_cuts"))
 
 
 def add_slice(
-    df: DataFrame, key: str, time: Column, slice_length: int, hot: DataFrame, spread: str | None = None
+    df: DataFrame, key: str, at: Column, row_id: Column, cuts: DataFrame, *, only_cut: bool = False, opens_as: str | None = None
 ) -> DataFrame:
-    """Append ``_slice``: the start of the time slice for hot keys, ``WHOLE`` for all other rows.
+    """Append ``_slice``: the number of borders up to the row for keys that are cut, ``WHOLE`` for all other rows.
 
-    Where rows without time have nothing to do with each other, ``spread`` names a column by whose hash those
-    of a hot key are dealt over ``TIMELESS`` slices of their own.
+    ``only_cut`` keeps rows of keys that are cut and no others. ``opens_as`` also appends the instant of the border
+    that opens the slice, null in the first one. The search looks at the first border of each chunk, then
+    into one chunk: about twice the root of the number of borders.
     """
-    joined = df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot_key")), "left")
-    start = time - F.pmod(time, F.lit(slice_length).cast("bigint"))
-    if spread:
-        start = F.coalesce(start, F.lit(WHOLE) + 1 + F.pmod(F.xxhash64(spread), F.lit(TIMELESS)))
-    number = F.coalesce(F.when(F.col("_is_hot"), start), F.lit(WHOLE).cast("bigint"))
-    return joined.withColumn(SLICE, number).drop("_hot_key", "_is_hot")
+    me = F.struct(at.alias("at"), row_id.alias("id"))
+    joined = df.join(F.broadcast(cuts), F.col(key).eqNullSafe(F.col("_hot_key")), "inner" if only_cut else "left")
+    entered = F.size(F.filter("_cuts", lambda chunk: F.get(chunk, F.lit(0)) <= me))
+    found = joined.withColumn("_entered", F.when(F.col("_cuts").isNotNull(), entered))
+    found = found.withColumn("_chunk", F.when(F.col("_entered") > 0, F.get("_cuts", F.col("_entered") - 1)))
+    passed = F.size(F.filter("_chunk", lambda border: border <= me))
+    found = found.withColumn("_passed", F.when(F.col("_chunk").isNotNull(), passed))
+    inside = (F.col("_entered") - 1) * F.col("_width") + F.col("_passed")
+    number = F.when(F.col("_entered").isNull(), WHOLE).otherwise(F.coalesce(inside, F.lit(0))).cast("bigint")
+    found = found.withColumn(SLICE, number)
+    if opens_as:
+        found = found.withColumn(opens_as, F.get("_chunk", F.col("_passed") - 1)["at"])
+    return found.drop("_hot_key", "_width", "_cuts", "_entered", "_chunk", "_passed")
 
 
 def with_owner(df: DataFrame, key: str = "customer_id") -> DataFrame:
@@ -73,17 +98,15 @@ def with_owner(df: DataFrame, key: str = "customer_id") -> DataFrame:
     return df.withColumn(OWNER, F.coalesce(F.col(key), F.lit("\u0000")))
 
 
-def sliced_keys(
-    df: DataFrame, time: Column, slice_length: int, hot: DataFrame, *columns: str, spread: str | None = None
-) -> DataFrame:
+def sliced_keys(df: DataFrame, at: Column, row_id: str, cuts: DataFrame, *columns: str) -> DataFrame:
     """Distinct (customer_id, owner, slice, columns) in use.
 
     Lookups expanded to these keys can be joined to rows that are already partitioned by
     (owner, slice): the wide rows stay where they are, and a hot key's lookups are spread like its
     rows. The key table is narrow and combines on the map side.
     """
-    narrow = with_owner(df.select("customer_id", time.alias("_time"), *columns, *([spread] if spread else [])))
-    sliced = add_slice(narrow, OWNER, F.col("_time"), slice_length, hot, spread)
+    narrow = with_owner(df.select("customer_id", at.alias("_time"), F.col(row_id).alias("_order"), *columns))
+    sliced = add_slice(narrow, OWNER, F.col("_time"), F.col("_order"), cuts)
     return sliced.select("customer_id", OWNER, SLICE, *columns).distinct()
 
 

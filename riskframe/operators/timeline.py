@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskframe.functions.columns import cents, epoch_micros, from_cents
-from riskframe.operators.skew import DEFAULT_POLICY, SLICE, WHOLE, SkewPolicy, add_slice, hot_keys
+from riskframe.operators.skew import DEFAULT_POLICY, SLICE, WHOLE, SkewPolicy, add_slice, row_cuts
 
 
 @dataclass(frozen=True)
@@ -29,12 +29,20 @@ class RollingWindow:
     sum_as: str
 
 
+def rolling_cuts(
+    df: DataFrame, ticks: Sequence[int], *, tick: Column, key: str, row_id: str = "transaction_id", policy: SkewPolicy = DEFAULT_POLICY
+) -> DataFrame:
+    """Borders for rolling sums over windows of these lengths: a row counts when it arrives and when it expires."""
+    expiries = [tick + F.lit(length + 1).cast("bigint") for length in ticks]
+    moments = F.when(tick.isNull(), F.array(tick)).otherwise(F.array(tick, *expiries))
+    return row_cuts(df, key, moments, row_id, policy)
+
+
 def rolling_sums(
     df: DataFrame,
     windows: Sequence[RollingWindow],
     *,
     tick: Column,
-    ticks_per_second: int,
     counted: Column,
     key: str = "customer_id",
     row_id: str = "transaction_id",
@@ -42,18 +50,19 @@ def rolling_sums(
     previous_tick_as: str | None = None,
     keep_slice: bool = False,
     policy: SkewPolicy = DEFAULT_POLICY,
-    hot: DataFrame | None = None,
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
     """Append, per window, the number of other rows and the sum of ``amount`` in it.
 
     The row itself is part of the sum but not of the count; rows tied in time see each other,
     and rows without time form a group of their own. ``previous_tick_as`` also appends the
     tick of the preceding row (null for the first). One shuffle on (key, slice) and one sort
-    serve all windows; ``hot`` may bring hot keys found on a cheaper input. ``keep_slice`` leaves
+    serve all windows; ``cuts`` may bring borders found on a cheaper input. ``keep_slice`` leaves
     ``_slice`` in place, so that later joins can use the partitioning.
     """
     kept = df.columns
-    hot = hot_keys(df, key, policy) if hot is None else hot
+    if cuts is None:
+        cuts = rolling_cuts(df, [w.ticks for w in windows], tick=tick, key=key, row_id=row_id, policy=policy)
     numbers = range(1, len(windows) + 1)
     lifetimes = F.array(F.lit(0).cast("bigint"), *[F.lit(w.ticks + 1).cast("bigint") for w in windows])
 
@@ -61,22 +70,26 @@ def rolling_sums(
     # arrival, packed in one column, so expiry events stay narrow in the shuffle and the sort.
     arrival = F.col("_kind") == 0
     measures = [tick.alias("_tick"), counted.cast("bigint").alias("_one"), cents(F.col(amount)).alias("_cents")]
-    events = (
+    moments = (
         df.select("*", *measures)
         .withColumn("_kind", F.explode(F.array(*[F.lit(i) for i in (0, *numbers)])))
         .filter(arrival | F.col("_tick").isNotNull())
-        .select(
-            F.col(key),
-            (F.col("_tick") + F.element_at(lifetimes, F.col("_kind") + 1)).alias("_at"),
-            F.when(arrival, F.col("_tick")).alias("_seen"),
-            "_kind",
-            "_one",
-            "_cents",
-            F.when(arrival, F.col(row_id)).alias("_id"),
-            F.when(arrival, F.struct(*[c for c in kept if c != key])).alias("_row"),
-        )
+        .withColumn("_at", F.col("_tick") + F.element_at(lifetimes, F.col("_kind") + 1))
+    )
+    carried_by = [
+        F.col(key),
+        "_at",
+        F.when(arrival, F.col("_tick")).alias("_seen"),
+        "_kind",
+        "_one",
+        "_cents",
+    ]
+    events = add_slice(moments, key, F.col("_at"), F.col(row_id), cuts).select(
+        *carried_by,
+        SLICE,
+        F.when(arrival, F.col(row_id)).alias("_id"),
+        F.when(arrival, F.struct(*[c for c in kept if c != key])).alias("_row"),
     )
-    events = add_slice(events, key, F.col("_at"), policy.slice_seconds * ticks_per_second, hot)
 
     def change(of: str, i: int) -> Column:
         """What an event adds to window ``i``."""
@@ -84,25 +97,8 @@ def rolling_sums(
 
     changed = {f"_n{i}": change("_one", i) for i in numbers} | {f"_s{i}": change("_cents", i) for i in numbers}
 
-    # A slice of a hot key opens with the totals of all earlier slices, one row (kind -i) per
-    # window. There is one total per (hot key, slice): it follows the time span, not the rows.
-    earlier = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    opening = [
-        F.struct(
-            F.lit(-i).alias("_kind"), F.sum(f"_n{i}").over(earlier).alias("_one"), F.sum(f"_s{i}").over(earlier).alias("_cents")
-        )
-        for i in numbers
-    ]
-    carried = (
-        events.filter(F.col(SLICE) != WHOLE)
-        .groupBy(key, SLICE)
-        .agg(
-            *[F.sum(added).alias(name) for name, added in changed.items()],
-            F.max("_seen").alias("_seen"),
-        )
-        .select(key, SLICE, F.max("_seen").over(earlier).alias("_seen"), F.array(*opening).alias("_opening"))
-        .select(key, SLICE, F.col(SLICE).alias("_at"), "_seen", F.inline("_opening"))
-    )
+    sliced = add_slice(moments, key, F.col("_at"), F.col(row_id), cuts, only_cut=True, opens_as="_opens")
+    carried = _context(sliced.select(*carried_by, SLICE, "_opens"), key, changed, numbers)
 
     # Timeless rows are a group of their own, outside every running sum.
     # Sorting here settles the order of ties for the row frame; the window's own requirement is a
@@ -114,7 +110,7 @@ def rolling_sums(
         events.unionByName(carried, allowMissingColumns=True)
         .withColumn("_timeless", F.col("_at").isNull())
         .repartition(F.col(key), F.col(SLICE))
-        .sortWithinPartitions(*group, "_at", "_id")
+        .sortWithinPartitions(*group, "_at", "_id", "_kind")
         .select(
             key,
             SLICE,
@@ -139,6 +135,64 @@ def rolling_sums(
     return running.select(*result)
 
 
+def _context(events: DataFrame, key: str, changed: Mapping[str, Column], numbers: Sequence[int]) -> DataFrame:
+    """The rows that make each slice's running sums those of the whole key, from one total for each slice.
+
+    A slice opens with all earlier slices. Peers see each other across borders: where the next slice opens within an
+    instant, what lies at that instant behind the border is added to this slice at that instant. Timeless rows see
+    those of the other slices. Kind -i stands for window i.
+    """
+    timed, timeless, at_border = F.col("_at").isNotNull(), F.col("_at").isNull(), F.col("_at") == F.col("_opens")
+    kinds = {"_all": timed, "_head": at_border, "_idle": timeless}
+    totals = events.groupBy(key, SLICE).agg(
+        F.first("_opens").alias("_opens"),
+        F.max("_seen").alias("_seen"),
+        *[F.sum(F.when(those, added)).alias(kind + name) for kind, those in kinds.items() for name, added in changed.items()],
+    )
+    in_order = Window.partitionBy(key).orderBy(SLICE)
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    onward = Window.partitionBy(key, "_opens").orderBy(F.desc(SLICE)).rowsBetween(Window.unboundedPreceding, 0)
+    everywhere = Window.partitionBy(key)
+    zero = F.lit(0).cast("bigint")
+    summed = totals.select(
+        key,
+        SLICE,
+        "_opens",
+        F.max("_seen").over(earlier).alias("_seen"),
+        *[F.sum(f"_all{name}").over(earlier).alias(f"_all{name}") for name in changed],
+        *[F.sum(f"_head{name}").over(onward).alias(f"_head{name}") for name in changed],
+        *[
+            (F.sum(f"_idle{name}").over(everywhere) - F.coalesce(f"_idle{name}", zero)).alias(f"_idle{name}")
+            for name in changed
+        ],
+    )
+    behind = summed.select(
+        "*",
+        F.lead("_opens").over(in_order).alias("_border"),
+        *[F.lead(f"_head{name}").over(in_order).alias(f"_next{name}") for name in changed],
+    )
+
+    def rows(kind: str, at: Column, seen: Column) -> list[Column]:
+        return [
+            F.struct(
+                at.alias("_at"),
+                seen.cast("bigint").alias("_seen"),
+                F.lit(-i).alias("_kind"),
+                F.col(f"{kind}_n{i}").alias("_one"),
+                F.col(f"{kind}_s{i}").alias("_cents"),
+            )
+            for i in numbers
+        ]
+
+    nothing = F.lit(None).cast("bigint")
+    openings = F.when(F.col("_opens").isNotNull(), F.array(*rows("_all", F.col("_opens"), F.col("_seen"))))
+    closings = F.when(F.col("_border").isNotNull(), F.array(*rows("_next", F.col("_border"), nothing)))
+    others = F.array(*rows("_idle", nothing, nothing))
+    none = F.filter(others, lambda row: F.lit(False))
+    together = F.concat(F.coalesce(openings, none), F.coalesce(closings, none), others)
+    return behind.select(key, SLICE, F.inline(together))
+
+
 def look_back(
     df: DataFrame,
     previous: Sequence[str] = (),
@@ -149,7 +203,7 @@ def look_back(
     time: str = "timestamp",
     keep_slice: bool = False,
     policy: SkewPolicy = DEFAULT_POLICY,
-    hot: DataFrame | None = None,
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
     """Append what each row sees of the rows before it, in (time, row id) order.
 
@@ -157,42 +211,33 @@ def look_back(
     flag to ``(n, seconds)``: true if the n-th row before lies less than ``seconds`` back. A row without
     time precedes and follows nothing: it has no previous row and is nobody's.
 
-    A slice of a hot key opens with context rows: copies of the last rows of the slice before, as far
-    back as a burst can reach, or else the last row of all earlier slices.
+    A slice of a hot key opens with context rows: copies of the last rows before it, as many as a burst counts.
     """
     kept = df.columns
     bursts = bursts or {}
-    reach = max((seconds for _, seconds in bursts.values()), default=0)
-    if reach > policy.slice_seconds:
-        raise ValueError("a burst must not be longer than a slice")
-    hot = hot_keys(df, key, policy) if hot is None else hot
     at = epoch_micros(F.col(time))
-    length, reach = policy.slice_seconds * 1_000_000, reach * 1_000_000
-    sliced = add_slice(df, key, at, length, hot, spread=row_id)
-
-    context = sorted({key, row_id, time, *previous})
-    in_slice = (F.col(SLICE) != WHOLE) & F.col(time).isNotNull()
-    in_tail = in_slice & (at - F.col(SLICE) >= length - reach)
-    copies = F.when(in_tail, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
-    rows = sliced.withColumn("_context", F.explode(copies)).select(
-        *[F.col(c) if c in context else F.when(~F.col("_context"), F.col(c)).alias(c) for c in kept],
-        F.when(F.col("_context"), F.col(SLICE) + length).otherwise(F.col(SLICE)).alias(SLICE),
-        "_context",
+    cuts = row_cuts(df, key, F.array(at), row_id, policy) if cuts is None else cuts
+    depth = max([n for n, _ in bursts.values()] + [1])
+    timed = F.col(time).isNotNull()
+
+    # Each slice hands on at most ``depth`` rows; as none of them is empty, so many slices before are enough.
+    context = [time, row_id, *sorted({*previous} - {key, row_id, time})]
+    mine = add_slice(df.filter(timed).select(key, *context), key, at, F.col(row_id), cuts, only_cut=True)
+    backward = Window.partitionBy(key, SLICE).orderBy(F.desc(time), F.desc(row_id))
+    reached = Window.partitionBy(key).orderBy(SLICE).rowsBetween(-depth, -1)
+    before = F.reverse(F.flatten(F.collect_list("_tail").over(reached)))
+    carried = (
+        mine.withColumn("_back", F.row_number().over(backward))
+        .filter(F.col("_back") <= depth)
+        .groupBy(key, SLICE)
+        .agg(F.array_sort(F.collect_list(F.struct(*context))).alias("_tail"))
+        .select(key, SLICE, before.alias("_before"))
+        .select(key, SLICE, F.inline(F.slice("_before", 1, depth)))
+        .withColumn("_context", F.lit(True))
     )
-    if previous:
-        last = F.max(F.struct(time, row_id, *[c for c in previous if c not in (time, row_id)]))
-        earlier = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-        carried = (
-            sliced.filter(in_slice)
-            .groupBy(key, SLICE)
-            .agg(last.alias("_last"))
-            .select(key, SLICE, F.max("_last").over(earlier).alias("_last"))
-            .filter(epoch_micros(F.col(f"_last.{time}")) < F.col(SLICE) - reach)
-            .select(key, SLICE, "_last.*", F.lit(True).alias("_context"))
-        )
-        rows = rows.unionByName(carried, allowMissingColumns=True)
+    rows = add_slice(df, key, at, F.col(row_id), cuts).withColumn("_context", F.lit(False))
+    rows = rows.unionByName(carried, allowMissingColumns=True)
 
-    timed = F.col(time).isNotNull()
     order = Window.partitionBy(key, SLICE, timed).orderBy(F.col(time), F.col(row_id))
     seen = [F.when(timed, F.lag(c).over(order)).alias(f"prev_{c}") for c in previous]
     for name, (n, seconds) in bursts.items():

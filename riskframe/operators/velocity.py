@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.columns import epoch_micros
 from riskframe.operators.skew import DEFAULT_POLICY, SkewPolicy
-from riskframe.operators.timeline import RollingWindow, rolling_sums
+from riskframe.operators.timeline import RollingWindow, rolling_cuts, rolling_sums
 from riskframe.sources.schemas import require
 
 # Window suffix and length in seconds.
@@ -18,6 +18,14 @@ WINDOWS = (HOUR, DAY, WEEK)
 NO_PREVIOUS_SECONDS = 999_999
 
 
+def velocity_cuts(
+    txns: DataFrame, key: str, windows: Sequence[tuple[str, int]] = WINDOWS, policy: SkewPolicy = DEFAULT_POLICY
+) -> DataFrame:
+    """Borders between the slices of large keys, as ``velocity_features`` uses them; the raw scan will do."""
+    second = F.col("timestamp").cast("bigint")
+    return rolling_cuts(txns, [seconds for _, seconds in windows], tick=second, key=key, policy=policy)
+
+
 def velocity_features(
     txns: DataFrame,
     windows: Sequence[tuple[str, int]] = WINDOWS,
@@ -26,7 +34,7 @@ def velocity_features(
     key: str = "customer_id",
     keep_slice: bool = False,
     policy: SkewPolicy = DEFAULT_POLICY,
-    hot: DataFrame | None = None,
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
     """Append ``txns_last_*`` (others in the window), ``spend_last_*`` (own row included) and the
     seconds since the previous transaction, on epoch seconds."""
@@ -37,13 +45,12 @@ def velocity_features(
         txns,
         [RollingWindow(seconds, f"txns_last_{s}", f"spend_last_{s}") for s, seconds in windows],
         tick=F.col("timestamp_sec"),
-        ticks_per_second=1,
         counted=F.col("transaction_id").isNotNull(),
         key=key,
         previous_tick_as="_previous" if gap else None,
         keep_slice=keep_slice,
         policy=policy,
-        hot=hot,
+        cuts=cuts,
     )
     if not gap:
         return rolled
@@ -52,7 +59,7 @@ def velocity_features(
 
 
 def transaction_velocity_view(
-    txns: DataFrame, *, policy: SkewPolicy = DEFAULT_POLICY, hot: DataFrame | None = None
+    txns: DataFrame, *, policy: SkewPolicy = DEFAULT_POLICY, cuts: DataFrame | None = None
 ) -> DataFrame:
     """1-hour and 24-hour windows on exact (microsecond) timestamps."""
     require(txns, "transaction_id", "customer_id", "amount", "timestamp")
@@ -63,8 +70,7 @@ def transaction_velocity_view(
             RollingWindow(86_400 * 1_000_000, "txns_last_24_hours", "spend_last_24_hours"),
         ],
         tick=epoch_micros(F.col("timestamp")),
-        ticks_per_second=1_000_000,
         counted=F.lit(True),
         policy=policy,
-        hot=hot,
+        cuts=cuts,
     )

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import as_of, behavior, clean, entity, evaluate, graph, incremental, loans, models, quality, rules, volume
 from riskframe.operators.decision import SINGLE_SIGNAL, decide, risk_inputs
-from riskframe.operators.skew import hot_keys
-from riskframe.operators.velocity import DAY, HOUR, WEEK, WINDOWS, velocity_features
+from riskframe.operators.percentiles import amount_percentiles
+from riskframe.operators.skew import OWNER, with_owner
+from riskframe.operators.velocity import DAY, HOUR, WEEK, WINDOWS, velocity_cuts, velocity_features
 from riskframe.plans import features, views
 from riskframe.session import configure, work_path
 from riskframe.sources.schemas import TABLES
@@ -53,12 +54,6 @@ class Bank(TestBank):
     def cleaned(self) -> DataFrame:
         return clean.clean_transactions(self.transactions_raw)
 
-    @cached_property
-    def hot_customers(self) -> DataFrame:
-        """From the event scan alone: the layout may be chosen on uncleaned rows."""
-        events = self.raw("events").select(F.expr("concat('CUST', lpad(cast(user_id as string), 7, '0'))").alias("c"))
-        return hot_keys(events, "c")
-
     @cached_property
     def fraud_features(self) -> DataFrame:
         return features.fraud_features(
@@ -70,7 +65,8 @@ class Bank(TestBank):
             clean.clean_customers(self.customers),
             self.merchants,
             raw=self.transactions_raw,
-            hot=self.hot_customers,
+            # The layout may be chosen on uncleaned rows, whose times are typed here.
+            cuts=velocity_cuts(with_owner(self.transactions), OWNER),
         )
 
     @cached_property
@@ -86,7 +82,7 @@ class Bank(TestBank):
 
     @cached_property
     def flagged(self) -> DataFrame:
-        return rules.fraud_rule_flags(self.transactions, self.rule_inputs, hot=self.hot_customers)
+        return rules.fraud_rule_flags(self.transactions, self.rule_inputs)
 
     @cached_property
     def default_scores(self) -> DataFrame:
@@ -101,7 +97,7 @@ def _velocity(*pairs: tuple[str, int]) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         bank = Bank(spark, folder)
         slim = bank.transactions.select("transaction_id", "customer_id", "amount", "timestamp")
-        rolled = velocity_features(slim, pairs, gap=False, hot=bank.hot_customers)
+        rolled = velocity_features(slim, pairs, gap=False)
         measures = [f"{m}_last_{suffix}" for suffix, _ in pairs for m in ("txns", "spend")]
         return rolled.select("transaction_id", "customer_id", *measures)
 
@@ -111,14 +107,14 @@ def _velocity(*pairs: tuple[str, int]) -> Query:
 def _txn_gap(spark, folder):
     bank = Bank(spark, folder)
     slim = bank.transactions.select("transaction_id", "customer_id", "amount", "timestamp")
-    rolled = velocity_features(slim, WINDOWS[:1], hot=bank.hot_customers)
+    rolled = velocity_features(slim, WINDOWS[:1])
     return rolled.select("transaction_id", "customer_id", "seconds_since_last_txn")
 
 
 def _velocity_features(spark, folder):
     bank = Bank(spark, folder)
     slim = bank.transactions.select("transaction_id", "customer_id", "amount", "timestamp")
-    return velocity_features(slim, hot=bank.hot_customers).drop("timestamp")
+    return velocity_features(slim).drop("timestamp")
 
 
 def _loans_as_delivered(spark, folder):
@@ -280,7 +276,7 @@ def _pit(spark, folder):
 def _rule(name: str) -> Query:
     def query(spark, folder):
         bank = Bank(spark, folder)
-        flagged = rules.rule_flags(bank.transactions, bank.rule_inputs, [name], hot=bank.hot_customers)
+        flagged = rules.rule_flags(bank.transactions, bank.rule_inputs, [name])
         return flagged.select("transaction_id", "customer_id", F.col(name).alias("hit"))
 
     return query
@@ -327,7 +323,7 @@ def _decision_inputs(spark, folder) -> DataFrame:
         worst,
         bank.components,
     )
-    return rules.rule_flags(bank.transactions, bank.rule_inputs, also=lookups, hot=bank.hot_customers)
+    return rules.rule_flags(bank.transactions, bank.rule_inputs, also=lookups)
 
 
 def _decision(spark, folder):
@@ -412,6 +408,9 @@ QUERIES: dict[str, Query] = {
     "customer_ip_map": lambda s, d: entity.usage_map(Bank(s, d).transactions, entity.IP),
     "check_new_device": _check_new_device,
     # behaviour and feature datasets
+    "customer_amount_percentiles": lambda s, d: rounded(
+        amount_percentiles(Bank(s, d).transactions), "p25", "p50", "p75", "p90", "p99"
+    ),
     "customer_amount_stats": lambda s, d: rounded(
         behavior.customer_amount_stats(Bank(s, d).transactions), "cust_avg_amount", "cust_std_amount"
     ),

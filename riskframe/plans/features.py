@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from riskframe.operators.behavior import behavioral_features, customer_txn_summary
 from riskframe.operators.clean import enforce_types
 from riskframe.operators.entity import DEVICE, IP, entity_features
-from riskframe.operators.skew import DEFAULT_POLICY, OWNER, SkewPolicy, hot_keys, sliced_keys, splittable, with_owner
-from riskframe.operators.velocity import velocity_features
+from riskframe.operators.skew import DEFAULT_POLICY, OWNER, SkewPolicy, sliced_keys, splittable, with_owner
+from riskframe.operators.velocity import velocity_cuts, velocity_features
 from riskframe.sources.schemas import TABLES
 
 # Names and order of the output columns.
@@ -77,7 +77,7 @@ def fraud_features(
     *,
     raw: DataFrame | None = None,
     policy: SkewPolicy = DEFAULT_POLICY,
-    hot: DataFrame | None = None,
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
     """56 columns per cleaned transaction: velocity, device, IP and behaviour.
 
@@ -88,13 +88,13 @@ def fraud_features(
     uncleaned transactions: the keys in use are then read without de-duplication first.
     """
     source = txns if raw is None else enforce_types(raw, {"timestamp": "timestamp"})
-    hot = hot_keys(with_owner(source), OWNER, policy) if hot is None else hot
+    cuts = velocity_cuts(with_owner(source), OWNER, policy=policy) if cuts is None else cuts
 
     def keys(*columns: str) -> DataFrame:
         second = F.col("timestamp").cast("bigint")
-        return sliced_keys(source, second, policy.slice_seconds, hot, *columns)
+        return sliced_keys(source, second, "transaction_id", cuts, *columns)
 
-    enriched = velocity_features(with_owner(txns), key=OWNER, keep_slice=True, policy=policy, hot=hot)
+    enriched = velocity_features(with_owner(txns), key=OWNER, keep_slice=True, policy=policy, cuts=cuts)
     enriched = entity_features(enriched, devices, customer_devices, DEVICE, keys("device_id"))
     enriched = entity_features(enriched, ip_addresses, customer_ips, IP, keys("ip_address"))
     enriched = behavioral_features(enriched, customers, merchants, history=txns, keys=keys())

@@ -2,16 +2,16 @@
 
 from datetime import datetime, timedelta
 
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from riskframe.operators.skew import SkewPolicy, hot_keys
-from riskframe.operators.timeline import look_back
+from riskframe.operators.skew import SLICE, SkewPolicy
+from riskframe.operators.timeline import look_back, rolling_cuts
 from riskframe.operators.velocity import NO_PREVIOUS_SECONDS, transaction_velocity_view, velocity_features
 
 START = datetime(2024, 1, 1)
-SLICED = SkewPolicy(hot_rows=5, slice_seconds=3600)
+SLICED = SkewPolicy(hot_rows=5)
 SCHEMA = "transaction_id string, customer_id string, amount double, timestamp timestamp, latitude double"
 
 
@@ -42,7 +42,7 @@ def expected(rows):
 def compare(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
     want = expected(rows)
-    for policy in (SkewPolicy(hot_rows=1, slice_seconds=3600), SLICED, SkewPolicy(hot_rows=10**9)):
+    for policy in (SkewPolicy(hot_rows=1), SLICED, SkewPolicy(hot_rows=10**9)):
         rolled = {r["transaction_id"]: r for r in velocity_features(df, policy=policy).collect()}
         both = look_back(df, ["latitude", "timestamp"], {"burst": (3, 60)}, policy=policy)
         lagged = {r["transaction_id"]: r for r in both.collect()}
@@ -116,13 +116,54 @@ def test_one_customer_holding_a_third_of_the_rows_is_spread(spark):
         "cast(id % 100 as double) amount",
         "timestamp_seconds(1704067200 + id * 60) timestamp",
     )
-    policy = SkewPolicy(hot_rows=5_000, slice_seconds=3600)
-    assert [r[0] for r in hot_keys(df, "customer_id", policy).collect()] == ["hot"]
+    policy = SkewPolicy(hot_rows=5_000)
+    cuts = rolling_cuts(df, [3600], tick=F.unix_seconds("timestamp"), key="customer_id", policy=policy)
+    assert [r["_hot_key"] for r in cuts.collect()] == ["hot"]
     plain = velocity_features(df, policy=SkewPolicy(hot_rows=10**9)).drop("timestamp")
     sliced = velocity_features(df, policy=policy).drop("timestamp")
     assert sliced.exceptAll(plain).count() == 0 and sliced.count() == 30_000
 
 
-def test_burst_must_fit_into_a_slice(spark):
-    with pytest.raises(ValueError):
-        look_back(spark.createDataFrame([], SCHEMA), bursts={"b": (2, 7200)}, policy=SLICED)
+def test_long_bursts_need_no_long_slices(spark):
+    rows = [(f"T{i:02d}", "hot", 1.0, START + timedelta(minutes=50 * i), float(i)) for i in range(20)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    one = look_back(df, bursts={"b": (2, 7200)}, policy=SkewPolicy(hot_rows=1))
+    assert sorted(r["transaction_id"] for r in one.filter("b").collect()) == [f"T{i:02d}" for i in range(2, 20)]
+
+
+def bursts(spark, n):
+    """A customer with ``n`` rows within one second and ``n`` within ten minutes, among others and rows without time."""
+    return spark.range(2 * n + 900).selectExpr(
+        "concat('T', lpad(id, 9, '0')) transaction_id",
+        f"case when id < {2 * n} or id % 3 = 0 then 'hot' else concat('C', id % 100) end customer_id",
+        "cast(id % 100 as double) amount",
+        f"case when id < {n} then timestamp_seconds(1704067200) when id < {2 * n} then timestamp_millis(1704067300000 + (id * 7919) % 600000)"
+        f" when id % 9 = 0 then null else timestamp_seconds(1704067000 + (id - {2 * n}) * 60) end timestamp",
+        "cast(id as double) latitude",
+    )
+
+
+def test_dense_seconds_are_cut_like_any_other_stretch(spark):
+    """No task's slice grows with a burst, be it of one second, of ten minutes or of rows without time."""
+    n, policy = 30_000, SkewPolicy(hot_rows=2_000)
+    df = bursts(spark, n)
+    plain, sliced = (velocity_features(df, keep_slice=True, policy=p) for p in (SkewPolicy(hot_rows=10**9), policy))
+    assert sliced.drop(SLICE).exceptAll(plain.drop(SLICE)).count() == 0 and sliced.count() == df.count()
+    sizes = [r["count"] for r in sliced.filter("customer_id = 'hot'").groupBy(SLICE).count().collect()]
+    assert len(sizes) >= 25 and max(sizes) <= 2 * policy.hot_rows
+
+    flags = {"burst": (5, 300)}
+    plain, sliced = (look_back(df, ["latitude"], flags, keep_slice=True, policy=p) for p in (SkewPolicy(hot_rows=10**9), policy))
+    assert sliced.drop(SLICE).exceptAll(plain.drop(SLICE)).count() == 0 and sliced.count() == df.count()
+    sizes = [r["count"] for r in sliced.filter("customer_id = 'hot'").groupBy(SLICE).count().collect()]
+    assert len(sizes) >= 25 and max(sizes) <= 2 * policy.hot_rows
+
+
+def test_expiries_of_a_burst_are_cut_too(spark):
+    df = bursts(spark, 8_000)
+    cuts = rolling_cuts(df, [3600], tick=F.unix_seconds("timestamp"), key="customer_id", policy=SkewPolicy(hot_rows=1_000))
+    (hot,) = cuts.collect()
+    borders = [b for chunk in hot["_cuts"] for b in chunk]
+    order = [(b["at"] is not None, b["at"] or 0, b["id"]) for b in borders]
+    assert order == sorted(order) and sum(b["at"] == 1704067200 + 3601 for b in borders) >= 5
+    assert all(len(chunk) <= hot["_width"] for chunk in hot["_cuts"]) and len(hot["_cuts"]) <= hot["_width"] + 1
