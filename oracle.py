@@ -490,6 +490,19 @@ ORACLE: dict[str, str] = {
         score_input=_SCORE_INPUT,
         risk=_RISK,
     ),
+    "shared_entity_pairs": _sql(
+        """SELECT a.customer_id AS a, b.customer_id AS b, count(*) FILTER (a.kind = 'device') AS shared_devices,
+          count(*) FILTER (a.kind = 'ip') AS shared_ips
+        FROM sized a JOIN sized b ON a.kind = b.kind AND a.entity = b.entity AND a.customer_id < b.customer_id AND a.n <= 50 GROUP BY ALL""",
+        usage=_USAGE,
+        sized="SELECT *, count(*) over (PARTITION BY kind, entity) AS n FROM usage",
+    ),
+    # No entity of the test tables has more customers than are counted exactly.
+    "customer_neighbours": _sql(
+        """SELECT a.customer_id, count(DISTINCT b.customer_id) - 1 AS neighbours, true AS is_exact
+        FROM usage a JOIN usage b ON a.kind = b.kind AND a.entity = b.entity GROUP BY a.customer_id""",
+        usage=_USAGE,
+    ),
     "customer_degrees": _sql(
         """SELECT customer_id, count(*) FILTER (n > 1) AS shared_entities, cast(sum(n - 1) as bigint) AS co_users
         FROM (SELECT *, count(*) over (PARTITION BY kind, entity) AS n FROM usage) GROUP BY customer_id""",

@@ -48,6 +48,78 @@ def customer_degrees(customer_devices: DataFrame, customer_ips: DataFrame) -> Da
     )
 
 
+#: Customers of an entity up to which its pairs are written out, and the size of a sketch (error about 1.6 %).
+MOST_PAIRED, SKETCH_BITS = 50, 12
+
+
+def _sized(usage: DataFrame) -> DataFrame:
+    """Usage with ``n``, the customers of the entity."""
+    sizes = usage.groupBy("kind", "entity").agg(F.count(F.lit(1)).alias("n"))
+    return usage.join(splittable(sizes), ["kind", "entity"])
+
+
+def _pairs(sized: DataFrame) -> DataFrame:
+    """(kind, a, b) with a < b for each pair of customers on an entity; ``n`` must be bounded."""
+    members = sized.filter("n > 1").groupBy("kind", "entity").agg(F.array_sort(F.collect_list("customer_id")).alias("_members"))
+    later = lambda a: F.filter("_members", lambda b: b > a)
+    paired = F.transform("_members", lambda a: F.transform(later(a), lambda b: F.struct(a.alias("a"), b.alias("b"))))
+    return members.select("kind", F.flatten(paired).alias("_pairs")).select("kind", F.inline("_pairs"))
+
+
+def shared_entity_pairs(customer_devices: DataFrame, customer_ips: DataFrame, most: int = MOST_PAIRED) -> DataFrame:
+    """(a, b, shared_devices, shared_ips) for customers a < b that share an entity of at most ``most`` customers.
+
+    An entity adds at most most * (most - 1) / 2 rows. The pairs of larger ones are not written out; ``shared_entity_edges``
+    connects their customers and ``customer_neighbours`` counts them. Null customers and entities link nothing.
+    """
+    bounded = _sized(_usage(customer_devices, customer_ips)).filter(F.col("n") <= most)
+    return (
+        _pairs(bounded)
+        .groupBy("a", "b")
+        .agg(
+            F.count_if(F.col("kind") == "device").alias("shared_devices"),
+            F.count_if(F.col("kind") == "ip").alias("shared_ips"),
+        )
+    )
+
+
+def customer_neighbours(
+    customer_devices: DataFrame, customer_ips: DataFrame, most: int = MOST_PAIRED, sketch_bits: int = SKETCH_BITS
+) -> DataFrame:
+    """(customer_id, neighbours, is_exact): different other customers on any of the customer's entities.
+
+    A customer counts once, however many entities are shared. The number is exact for customers with one entity,
+    of any size, and for those whose entities all have at most ``most`` customers. Others take the union of one sketch
+    for each of their entities, of fixed size, so a popular address costs one row per customer and never its pairs.
+    """
+    sized = _sized(_usage(customer_devices, customer_ips))
+    reach = sized.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_entities"), F.max("n").alias("_most"))
+    by_pairs, by_sketch = F.col("_most") <= most, (F.col("_most") > most) & (F.col("_entities") > 1)
+
+    pairs = _pairs(sized.filter(F.col("n") <= most)).select("a", "b").distinct()
+    either = F.array(F.col("a"), F.col("b"))
+    counted = pairs.select(F.explode(either).alias("customer_id")).groupBy("customer_id").agg(F.count(F.lit(1)).alias("_pairs"))
+
+    wide = sized.join(splittable(reach.filter(by_sketch).select("customer_id")), "customer_id", "left_semi")
+    asked = wide.select("kind", "entity").distinct()
+    sketches = (
+        sized.join(splittable(asked), ["kind", "entity"], "left_semi")
+        .groupBy("kind", "entity")
+        .agg(F.hll_sketch_agg("customer_id", F.lit(sketch_bits)).alias("_sketch"))
+    )
+    united = F.hll_sketch_estimate(F.hll_union_agg("_sketch"))
+    estimated = wide.join(splittable(sketches), ["kind", "entity"]).groupBy("customer_id").agg(united.alias("_united"))
+
+    joined = reach.join(splittable(counted), "customer_id", "left").join(splittable(estimated), "customer_id", "left")
+    others = F.col("_most") - 1  # of the largest entity alone
+    neighbours = (
+        F.when(by_pairs, F.coalesce("_pairs", F.lit(0)))
+        .when(by_sketch, F.greatest(F.col("_united") - 1, others))
+        .otherwise(others)
+    )
+    return joined.select("customer_id", neighbours.cast("bigint").alias("neighbours"), (~by_sketch).alias("is_exact"))
+
+
 def _least_neighbour(edges: DataFrame) -> DataFrame:
     """(a, b, least): each edge with the least node of a's neighbourhood, a itself included.
 

@@ -481,6 +481,8 @@ QUERIES: dict[str, Query] = {
     "decision_engine": _decision,
     "decision_single_signal": _decision_single_signal,
     "shared_entity_edges": lambda s, d: graph.shared_entity_edges(Bank(s, d).customer_devices, Bank(s, d).customer_ips),
+    "shared_entity_pairs": lambda s, d: graph.shared_entity_pairs(Bank(s, d).customer_devices, Bank(s, d).customer_ips),
+    "customer_neighbours": lambda s, d: graph.customer_neighbours(Bank(s, d).customer_devices, Bank(s, d).customer_ips),
     "customer_degrees": lambda s, d: graph.customer_degrees(Bank(s, d).customer_devices, Bank(s, d).customer_ips),
     "customer_components": lambda s, d: Bank(s, d).components,
     "daily_volume": lambda s, d: dates_as_text(volume.daily_volume(Bank(s, d).transactions)),

@@ -34,6 +34,8 @@ PART = (
     "decision_single_signal",
     "fraud_rule_flags_legacy",
     "customer_degrees",
+    "shared_entity_pairs",
+    "customer_neighbours",
     "customer_amount_percentiles",
     "stream_new_ip",
     "fraud_rule_flags",
@@ -64,7 +66,7 @@ def canonical(frame: pd.DataFrame) -> list[tuple]:
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLE) <= set(QUERIES) and len(QUERIES) == 95
+    assert set(ORACLE) <= set(QUERIES) and len(QUERIES) == 97
 
 
 @pytest.mark.parametrize("name", NAMES)
