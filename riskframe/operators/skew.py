@@ -27,7 +27,7 @@ WHOLE = -1  # the slice number of an undivided key
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """``hot_rows``: rows of a slice, give or take a third; smaller keys stay whole."""
+    """``hot_rows``: rows of a slice on average, with a standard deviation of a quarter; smaller keys stay whole."""
 
     hot_rows: int = 2_000_000
 
