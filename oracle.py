@@ -309,6 +309,29 @@ def _constraints() -> str:
     return " UNION ALL ".join(rows)
 
 
+def _rejects() -> str:
+    """Each table's rows with their reasons, referring to the sound rows of the tables before it."""
+    ctes, parts = {}, []
+    for name, t in TABLES.items():
+        reasons = []
+        if name == "transactions":
+            reasons.append("case when amount is not null and not coalesce(isfinite(try_cast(amount as double)), false) then 'type amount' end")
+            reasons.append("case when timestamp is not null and try_cast(timestamp as timestamp) is null then 'type timestamp' end")
+        reasons += [f"case when {c} is null then 'null {c}' end" for c in dict.fromkeys((*t.key, *t.required))]
+        for c, parent in t.references:
+            reasons.append(f"case when {c} is not null and {c} not in (select {TABLES[parent].key[0]} from {parent}_judged where reasons = '') then 'foreign key {c}' end")
+        key = f"concat_ws('|', {', '.join(t.key)})"
+        source = f"{name}_dirty" if name in _DIRTY_NAMES else name
+        ctes[f"{name}_judged"] = (
+            f"SELECT {', '.join(t.key)}, {key} AS row_key,"
+            f" array_to_string(list_sort([r for r in [{', '.join(reasons)}] if r is not null]), ',') AS reasons FROM {source}"
+        )
+        ctes[f"{name}_counted"] = f"SELECT '{name}' AS table_name, row_key, reasons, count(*) AS n FROM {name}_judged GROUP BY ALL"
+        parts.append(f"SELECT table_name, row_key, reasons, case when reasons = '' then 1 else n end AS row_count FROM {name}_counted")
+        parts.append(f"SELECT table_name, row_key, 'duplicate key', n - 1 FROM {name}_counted WHERE reasons = '' AND n > 1")
+    return _sql(" UNION ALL ".join(parts), **ctes)
+
+
 _NAMES = (
     "customers", "accounts", "merchants", "devices", "ip_addresses",
     "transactions", "customer_devices", "customer_ips", "loans",
@@ -469,6 +492,7 @@ ORACLE: dict[str, str] = {
     ),
     "dq_report_dirty": _sql(_dirty_report()),
     "dq_constraints": _sql(_constraints()),
+    "load_with_rejects": _rejects(),
     "fraud_rule_flags_legacy": _sql(
         "SELECT transaction_id, customer_id, case when new_device_fraud then 'new_device_fraud' when velocity_attack then"
         " 'velocity_attack' when coordinated_network then 'coordinated_network' end AS first_match FROM flags",

@@ -19,6 +19,7 @@ from riskframe.operators.skew import OWNER, with_owner
 from riskframe.operators.velocity import DAY, HOUR, WEEK, WINDOWS, velocity_cuts, velocity_features
 from riskframe.plans import features, views
 from riskframe.session import configure, work_path
+from riskframe.sources.quarantine import REJECTS, load_with_rejects
 from riskframe.sources.schemas import TABLES
 from riskframe.sources.snapshots import Snapshots
 from riskframe.sources.tables import files_sink, read_all, write_datasets
@@ -176,6 +177,17 @@ def _dq_report_dirty(spark, folder):
     return quality.quality_report(tables, {**quality.CHECK_GROUPS, "amount_checks": amounts})
 
 
+def _load_with_rejects(spark, folder):
+    """Every row of the dirty tables by key and reasons; those of sound rows are empty."""
+    bank = Bank(spark, folder)
+    store = Snapshots(spark, work_path(spark, "sound"))
+    load_with_rejects(spark, {n: bank.dirty(f"{n}_dirty") if f"{n}_dirty" in DIRTY else bank.table(n) for n in TABLES}, store, "first")
+    rows = store.read(REJECTS).select("table_name", "row_key", F.array_join("reasons", ",").alias("reasons"))
+    for name, table in TABLES.items():
+        rows = rows.unionByName(store.read(name).select(F.lit(name).alias("table_name"), F.concat_ws("|", *table.key).alias("row_key"), F.lit("").alias("reasons")))
+    return rows.groupBy("table_name", "row_key", "reasons").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def _entity_stats(spark, folder):
     txns = Bank(spark, folder).transactions
     parts = [
@@ -449,6 +461,7 @@ QUERIES: dict[str, Query] = {
     "dq_duplicates": _quality(quality.duplicate_checks, raw=True),
     "dq_report": _quality(quality.quality_report, raw=True),
     "dq_report_dirty": _dq_report_dirty,
+    "load_with_rejects": _load_with_rejects,
     "dq_constraints": lambda s, d: quality.constraint_checks(_dirty_tables(Bank(s, d))),
     # rules and loan scoring
     "pit_new_device": _pit,

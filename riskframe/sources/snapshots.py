@@ -62,6 +62,10 @@ class Snapshots:
         """A fresh folder for data files; nothing refers to it until a version does."""
         return f"{self.root}/data/{uuid.uuid4().hex}"
 
+    def holds(self, folder: str) -> bool:
+        """Has a writer made ``folder``?"""
+        return self._fs.exists(self._path(folder))
+
     def commit(self, after: Version, tables: Mapping[str, Parts], schemas: Mapping[str, str], batch: str | None = None) -> Version:
         """Make a version visible that follows ``after``."""
         batches = after.batches + ((batch,) if batch else ())
