@@ -474,6 +474,16 @@ def _usage_stats(key: str, kind: str) -> str:
       FROM transactions GROUP BY {key}"""
 
 
+_NUMBER = "cast(substr(transaction_id, 4) as bigint)"
+_DELIVERED = f"""SELECT transaction_id, customer_id, amount, case when {_NUMBER} % 31 <> 0 then timestamp end AS timestamp,
+  least((epoch_us(timestamp) - low) * 4 // (high - low + 1) + case when {_NUMBER} % 29 = 0 then 2 when {_NUMBER} % 17 = 0 then 1 else 0 end, 3) AS batch
+  FROM transactions, (SELECT min(epoch_us(timestamp)) AS low, max(epoch_us(timestamp)) AS high FROM transactions)"""
+_JUDGED = """SELECT d.*, case when d.timestamp is null then 'no time' when d.timestamp < (SELECT max(e.timestamp) FROM
+  (SELECT batch, max(timestamp) AS timestamp FROM delivered GROUP BY batch) e WHERE e.batch < d.batch) - interval 1 hour then 'late' else 'in time' end AS reason
+  FROM delivered d"""
+_ADMITTED = "SELECT * FROM judged WHERE reason = 'in time'"
+_GATE_CTES = {"delivered": _DELIVERED, "judged": _JUDGED, "admitted": _ADMITTED}
+
 ORACLE: dict[str, str] = {
     "velocity_1h": _velocity(_W[0]),
     "velocity_24h": _velocity(_W[1]),
@@ -712,6 +722,13 @@ ORACLE: dict[str, str] = {
         f"""SELECT * FROM (SELECT customer_id, transaction_id, device_id, {_stream_new('device_id')} AS is_new_device
         FROM transactions WHERE {_PASSED})"""
     ),
+    "stream_late_rows": _sql("SELECT transaction_id, cast(batch as bigint) AS batch, reason FROM judged", **_GATE_CTES),
+    "stream_late_velocity": _sql(
+        f"""SELECT customer_id, transaction_id, txns_last_1h, spend_last_1h, txns_last_24h, spend_last_24h, txns_last_7d, spend_last_7d,
+        seconds_since_last_txn FROM velocity WHERE ({_SEC} + 1) * 1000 <= (SELECT epoch_us(max(timestamp)) // 1000 - 3600000 FROM admitted)""",
+        **_GATE_CTES,
+        velocity=_VELOCITY.replace("FROM transactions", "FROM admitted"),
+    ),
     "stream_enrich": _sql(
         "SELECT transaction_id, customer_id, device_id, ip_address, amount, device_risk_score, ip_risk_score FROM detection",
         **_DETECTION_CTES,

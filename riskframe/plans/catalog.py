@@ -25,7 +25,8 @@ from riskframe.sources.snapshots import Snapshots
 from riskframe.sources.tables import files_sink, read_all, write_datasets
 from riskframe.sources.testdata import DIRTY, TestBank
 from riskframe.streaming import windows
-from riskframe.streaming.io import run_available
+from riskframe.streaming.gate import Gate
+from riskframe.streaming.io import file_stream, run_available
 from riskframe.streaming.stateful import stream_new_entity, stream_velocity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -389,6 +390,44 @@ def _stream_enrich(live: Bank, static: Bank) -> DataFrame:
     return windows.enriched(slim, known["v_device_intelligence"], known["v_ip_intelligence"])
 
 
+_DELIVERIES = 4
+
+
+def _deliveries(bank: Bank) -> DataFrame:
+    """Transactions with the ``delivery`` that brings them: quarters of the time they span, every 17th row one delivery
+    later than its time, every 29th two, and every 31st without its time."""
+    txns = bank.transactions.select("transaction_id", "customer_id", "device_id", "amount", "timestamp")
+    micros, number = F.unix_micros("timestamp"), F.substr("transaction_id", F.lit(4)).cast("bigint")
+    low, high = (txns.agg(f(micros)).scalar() for f in (F.min, F.max))
+    quarter = F.call_function("div", (micros - low) * _DELIVERIES, high - low + 1)
+    behind = F.when(number % 29 == 0, 2).when(number % 17 == 0, 1).otherwise(0)
+    return txns.withColumn("delivery", F.least(quarter + behind, F.lit(_DELIVERIES - 1)).cast("int")).withColumn(
+        "timestamp", F.when(number % 31 != 0, F.col("timestamp"))
+    )
+
+
+def _gated(spark: SparkSession, folder: str) -> Gate:
+    """One micro-batch for each delivery, through a gate."""
+    rows, arrivals = _deliveries(Bank(spark, folder)), work_path(spark, "arrivals")
+    schema = rows.drop("delivery").schema
+    gate = Gate(spark, work_path(spark, "gate"), schema)
+    for delivery in range(_DELIVERIES):
+        rows.filter(F.col("delivery") == delivery).drop("delivery").write.mode("append").parquet(arrivals)
+        gate.run_available(file_stream(spark, arrivals, schema))
+    return gate
+
+
+def _stream_late_rows(spark, folder):
+    """Every row of four deliveries with its micro-batch and the side it went to."""
+    gate = _gated(spark, folder)
+    return gate.passed().unionByName(gate.aside()).select("transaction_id", "batch", "reason")
+
+
+def _stream_late_velocity(spark, folder):
+    """Rolling velocity over what the gate lets through."""
+    return run_available(stream_velocity(_gated(spark, folder).live()), "gated-velocity")
+
+
 QUERIES: dict[str, Query] = {
     # velocity
     "velocity_1h": _velocity(HOUR),
@@ -486,6 +525,8 @@ QUERIES: dict[str, Query] = {
     "stream_velocity": _stream(lambda live, _: stream_velocity(live.transactions), "velocity"),
     "stream_new_device": _stream(lambda live, _: stream_new_entity(live.transactions), "entities"),
     "stream_new_ip": _stream(lambda live, _: stream_new_entity(live.transactions, entity.IP), "addresses"),
+    "stream_late_rows": _stream_late_rows,
+    "stream_late_velocity": _stream_late_velocity,
     "stream_enrich": _stream(_stream_enrich, "enrich"),
     "stream_dedup": _stream(_stream_dedup, "dedup"),
     # scores, decisions, graph, volume, models
