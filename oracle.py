@@ -484,6 +484,15 @@ _JUDGED = """SELECT d.*, case when d.timestamp is null then 'no time' when d.tim
 _ADMITTED = "SELECT * FROM judged WHERE reason = 'in time'"
 _GATE_CTES = {"delivered": _DELIVERED, "judged": _JUDGED, "admitted": _ADMITTED}
 
+def _risk_as_of(key: str, risk: str) -> str:
+    """The latest published version before the row decides; an entity that it lacks keeps the one before."""
+    counted = f"SELECT {key}, since, count(distinct customer_id) AS customers FROM transactions, since WHERE timestamp < since GROUP BY {key}, since"
+    return (
+        f"SELECT transaction_id, {risk.replace('{}', 'customers')} AS risk FROM transactions t JOIN ({counted}) v"
+        f" ON v.{key} = t.{key} AND v.since <= t.timestamp QUALIFY row_number() over (PARTITION BY transaction_id ORDER BY since DESC) = 1"
+    )
+
+
 ORACLE: dict[str, str] = {
     "velocity_1h": _velocity(_W[0]),
     "velocity_24h": _velocity(_W[1]),
@@ -722,6 +731,14 @@ ORACLE: dict[str, str] = {
         f"""SELECT * FROM (SELECT customer_id, transaction_id, device_id, {_stream_new('device_id')} AS is_new_device
         FROM transactions WHERE {_PASSED})"""
     ),
+    "stream_enrich_versions": _sql(
+        """SELECT transaction_id, customer_id, device_id, ip_address, coalesce(d.risk, 0.05e0) AS device_risk_score, coalesce(i.risk, 0.05e0) AS ip_risk_score
+        FROM transactions LEFT JOIN device_then d USING (transaction_id) LEFT JOIN ip_then i USING (transaction_id)""",
+        since="""SELECT make_timestamp(low + (high - low) * k // 3) AS since FROM
+        (SELECT min(epoch_us(timestamp)) AS low, max(epoch_us(timestamp)) AS high FROM transactions), (SELECT unnest([1, 2]) AS k)""",
+        device_then=_risk_as_of("device_id", _DEV_RISK),
+        ip_then=_risk_as_of("ip_address", _IP_RISK),
+    ),
     "stream_late_rows": _sql("SELECT transaction_id, cast(batch as bigint) AS batch, reason FROM judged", **_GATE_CTES),
     "stream_late_velocity": _sql(
         f"""SELECT customer_id, transaction_id, txns_last_1h, spend_last_1h, txns_last_24h, spend_last_24h, txns_last_7d, spend_last_7d,

@@ -15,16 +15,17 @@ from pyspark.sql import functions as F
 from riskframe.operators import as_of, behavior, clean, entity, evaluate, graph, incremental, loans, models, quality, rules, volume
 from riskframe.operators.decision import SINGLE_SIGNAL, decide, risk_inputs
 from riskframe.operators.percentiles import amount_percentiles
-from riskframe.operators.skew import OWNER, with_owner
+from riskframe.operators.skew import DEFAULT_POLICY, OWNER, with_owner
 from riskframe.operators.velocity import DAY, HOUR, WEEK, WINDOWS, velocity_cuts, velocity_features
 from riskframe.plans import features, views
-from riskframe.session import configure, work_path
+from riskframe.session import configure, staged, work_path
 from riskframe.sources.quarantine import REJECTS, load_with_rejects
 from riskframe.sources.schemas import TABLES
 from riskframe.sources.snapshots import Snapshots
 from riskframe.sources.tables import files_sink, read_all, write_datasets
 from riskframe.sources.testdata import DIRTY, TestBank
 from riskframe.streaming import windows
+from riskframe.streaming.enrichment import Lookup, enriched_as_of, histories, popular_keys
 from riskframe.streaming.gate import Gate
 from riskframe.streaming.io import file_stream, run_available
 from riskframe.streaming.stateful import stream_new_entity, stream_velocity
@@ -390,6 +391,34 @@ def _stream_enrich(live: Bank, static: Bank) -> DataFrame:
     return windows.enriched(slim, known["v_device_intelligence"], known["v_ip_intelligence"])
 
 
+_VERSIONS = 3
+
+
+def _risk_versions(txns: DataFrame, kind: entity.EntityKind) -> DataFrame:
+    """Risk of each entity from its customers so far, as published after each third of the time but the last."""
+    micros = F.unix_micros("timestamp")
+    low, high = (txns.agg(f(micros)).scalar() for f in (F.min, F.max))
+    versions = []
+    for number in range(1, _VERSIONS):
+        since = F.timestamp_micros(low + F.call_function("div", (high - low) * number, F.lit(_VERSIONS)))
+        counts = entity.customer_count(txns.filter(F.col("timestamp") < since), kind)
+        risk = kind.risk(F.col(f"{kind.prefix}_customer_count"))
+        versions.append(counts.select(kind.key, risk.alias("score"), since.alias("valid_from")))
+    return versions[0].unionByName(versions[1])
+
+
+def _stream_enrich_versions(spark, folder):
+    """Device and IP risk of each transaction by the version that held at its time."""
+    live, txns = Bank(spark, folder, streaming=True).transactions, Bank(spark, folder).transactions
+    lookups = []
+    for kind in (entity.DEVICE, entity.IP):
+        held = staged(histories(_risk_versions(txns, kind), kind.key, "score"), work_path(spark, "histories"))
+        popular = staged(popular_keys(txns, kind.key, DEFAULT_POLICY.hot_rows), work_path(spark, "popular"))
+        lookups.append(Lookup(held, kind.key, f"{kind.prefix}_risk_score", popular))
+    slim = live.select("transaction_id", "customer_id", "device_id", "ip_address", "timestamp")
+    return run_available(enriched_as_of(slim, lookups).drop("timestamp"), "versions")
+
+
 _DELIVERIES = 4
 
 
@@ -525,6 +554,7 @@ QUERIES: dict[str, Query] = {
     "stream_velocity": _stream(lambda live, _: stream_velocity(live.transactions), "velocity"),
     "stream_new_device": _stream(lambda live, _: stream_new_entity(live.transactions), "entities"),
     "stream_new_ip": _stream(lambda live, _: stream_new_entity(live.transactions, entity.IP), "addresses"),
+    "stream_enrich_versions": _stream_enrich_versions,
     "stream_late_rows": _stream_late_rows,
     "stream_late_velocity": _stream_late_velocity,
     "stream_enrich": _stream(_stream_enrich, "enrich"),
