@@ -731,6 +731,17 @@ ORACLE: dict[str, str] = {
         f"""SELECT * FROM (SELECT customer_id, transaction_id, device_id, {_stream_new('device_id')} AS is_new_device
         FROM transactions WHERE {_PASSED})"""
     ),
+    "entity_customers_sketched": _sql(
+        " UNION ALL ".join(
+            f"SELECT '{kind}' AS entity_type, {key} AS entity_id, count(distinct customer_id) AS customers, true AS within_bound FROM transactions"
+            f" WHERE cast(timestamp as date) >= (SELECT cast(max(timestamp) as date) - 29 FROM transactions) GROUP BY {key}"
+            for kind, key in (("device", "device_id"), ("ip", "ip_address"))
+        )
+    ),
+    "customer_distincts_sketched": _sql(
+        "SELECT customer_id, count(distinct device_id) AS devices, count(distinct ip_address) AS ips, count(distinct merchant_id) AS merchants,"
+        " true AS within_bound FROM transactions GROUP BY customer_id"
+    ),
     "stream_enrich_versions": _sql(
         """SELECT transaction_id, customer_id, device_id, ip_address, coalesce(d.risk, 0.05e0) AS device_risk_score, coalesce(i.risk, 0.05e0) AS ip_risk_score
         FROM transactions LEFT JOIN device_then d USING (transaction_id) LEFT JOIN ip_then i USING (transaction_id)""",

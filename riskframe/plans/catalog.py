@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.operators import as_of, behavior, clean, entity, evaluate, graph, incremental, loans, models, quality, rules, volume
+from riskframe.operators import as_of, behavior, clean, entity, evaluate, graph, incremental, loans, models, quality, rules, sketches, volume
 from riskframe.operators.decision import SINGLE_SIGNAL, decide, risk_inputs
 from riskframe.operators.percentiles import amount_percentiles
 from riskframe.operators.skew import DEFAULT_POLICY, OWNER, with_owner
@@ -190,6 +190,45 @@ def _load_with_rejects(spark, folder):
     return rows.groupBy("table_name", "row_key", "reasons").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+# Output name -> counted column.
+_COUNTED = {"devices": "device_id", "ips": "ip_address", "merchants": "merchant_id"}
+_SPAN_DAYS = 30
+
+
+def _against_exact(estimates: DataFrame, exact: DataFrame, key: str, *names: str) -> DataFrame:
+    """Exact counts, and whether all estimates keep to the error bound."""
+    joined = exact.join(estimates.select(key, *[F.col(n).alias(f"_{n}") for n in names]), key, "left")
+    close = F.lit(True)
+    for n in names:
+        close &= F.coalesce(F.abs(F.col(f"_{n}") - F.col(n)) <= sketches.error_bound(F.col(n)), F.lit(False))
+    return joined.select(key, *names, close.alias("within_bound"))
+
+
+def _entity_customers_sketched(spark, folder):
+    """Customers per device and IP over the last days, from daily sketches of two loads, against exact counts."""
+    txns = Bank(spark, folder).transactions
+    last = txns.agg(F.to_date(F.max("timestamp"))).scalar()
+    first = F.date_sub(last, _SPAN_DAYS - 1)
+    parts = []
+    for kind in (entity.DEVICE, entity.IP):
+        loads = [txns.filter(F.pmod(F.xxhash64("transaction_id"), F.lit(2)) == load) for load in (0, 1)]
+        kept = [sketches.daily_sketches(load, kind.key, {"customers": "customer_id"}) for load in loads]
+        daily = sketches.merged(kept[0].unionByName(kept[1]), kind.key)
+        recent = txns.filter(F.to_date("timestamp").between(first, last))
+        exact = recent.groupBy(kind.key).agg(F.countDistinct("customer_id").alias("customers"))
+        both = _against_exact(sketches.distinct_between(daily, kind.key, first, last), exact, kind.key, "customers")
+        parts.append(both.select(F.lit(kind.prefix).alias("entity_type"), F.col(kind.key).alias("entity_id"), "customers", "within_bound"))
+    return parts[0].unionByName(parts[1])
+
+
+def _customer_distincts_sketched(spark, folder):
+    """Devices, IPs and merchants of each customer over all days, three sketches in one pass, against exact counts."""
+    txns = Bank(spark, folder).transactions
+    daily = sketches.daily_sketches(txns, "customer_id", _COUNTED)
+    exact = txns.groupBy("customer_id").agg(*[F.countDistinct(c).alias(n) for n, c in _COUNTED.items()])
+    return _against_exact(sketches.distinct_between(daily, "customer_id"), exact, "customer_id", *_COUNTED)
+
+
 def _entity_stats(spark, folder):
     txns = Bank(spark, folder).transactions
     parts = [
@@ -486,6 +525,8 @@ QUERIES: dict[str, Query] = {
     "entity_stats_incremental": _entity_stats_incremental,
     "customer_device_map": lambda s, d: entity.usage_map(Bank(s, d).transactions, entity.DEVICE),
     "customer_ip_map": lambda s, d: entity.usage_map(Bank(s, d).transactions, entity.IP),
+    "entity_customers_sketched": _entity_customers_sketched,
+    "customer_distincts_sketched": _customer_distincts_sketched,
     "check_new_device": _check_new_device,
     # behaviour and feature datasets
     "customer_amount_percentiles": lambda s, d: rounded(
