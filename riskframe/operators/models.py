@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.session import shared_dir, staged, work_path
@@ -101,6 +105,16 @@ def _numeric(df: DataFrame, inputs: Sequence[str], *keep: str) -> DataFrame:
     return df.select(*keep, *[F.col(c).cast("double").alias(c) for c in inputs])
 
 
+#: Independent fits that run side by side, as ``CrossValidator`` does it; their jobs are many and short.
+FITS_AT_ONCE = 12
+
+
+def _side_by_side(spark: SparkSession, calls: Sequence[Callable[[], Any]]) -> list[Any]:
+    """Results of ``calls`` in their order; the Spark jobs of ``FITS_AT_ONCE`` of them run at a time."""
+    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+        return list(pool.map(lambda call: call(), map(inheritable_thread_target(spark), calls)))
+
+
 def segment_customers(
     features: DataFrame, clusters: Sequence[int] = (3, 4, 5, 6, 7, 8), *, seed: int = 42, max_iter: int = 300, starts: int = 10
 ) -> DataFrame:
@@ -110,18 +124,15 @@ def segment_customers(
     assembled = VectorAssembler(inputCols=list(SEGMENT_INPUTS), outputCol="raw").transform(filled)
     scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True).fit(assembled)
     scaled = scaler.transform(assembled).select("customer_id", "features")
-    points = staged(scaled, work_path(features.sparkSession, "segments")).persist()  # sixty fits read it
-    best = None
-    for k in clusters:
-        runs = (
-            KMeans(k=k, seed=seed + start, maxIter=max_iter, featuresCol="features", predictionCol="segment").fit(points)
-            for start in range(starts)
-        )
-        model = min(runs, key=lambda m: m.summary.trainingCost)
-        quality = ClusteringEvaluator(predictionCol="segment").evaluate(model.transform(points))
-        if best is None or quality > best[0]:
-            best = (quality, k, model)
-    quality, k, model = best
+    spark = features.sparkSession
+    points = staged(scaled, work_path(spark, "segments")).persist()  # sixty fits read it
+    settings = {"maxIter": max_iter, "featuresCol": "features", "predictionCol": "segment"}
+    starters = [KMeans(k=k, seed=seed + start, **settings) for k in clusters for start in range(starts)]
+    fitted = _side_by_side(spark, [partial(starter.fit, points) for starter in starters])
+    models = [min(fitted[at : at + starts], key=lambda m: m.summary.trainingCost) for at in range(0, len(fitted), starts)]
+    judge = ClusteringEvaluator(predictionCol="segment")
+    qualities = _side_by_side(spark, [partial(judge.evaluate, model.transform(points)) for model in models])
+    quality, k, model = max(zip(qualities, clusters, models, strict=True), key=lambda found: found[0])
     points.unpersist()
     return model.transform(points).select(
         "customer_id", "segment", F.lit(k).alias("cluster_count"), F.lit(float(quality)).alias("silhouette")
