@@ -3,7 +3,8 @@
 Both follow one pattern. Rows are first aggregated per key and second, with map-side combine; Spark
 emits a second once, when the watermark has passed it. A small state per key turns those totals into
 answers per second, and a stream-stream join on (key, second) brings the answers back to the rows. No
-task ever gathers the rows of a customer: what reaches a state is at most one row per second.
+task ever gathers the rows of a customer: what reaches a state is at most one row per second. Most keys bring few
+seconds, so the states take plain rows: a data frame for each key would cost more than the work on it.
 """
 
 from __future__ import annotations
@@ -11,8 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -23,66 +23,62 @@ from riskframe.operators.velocity import NO_PREVIOUS_SECONDS, WINDOWS
 from riskframe.streaming.windows import WATERMARK
 
 ENTITY = "_entity"
-_DAY = 86_400
+MEASURES = [f"{m}_last_{s}" for s, _ in WINDOWS for m in ("txns", "spend")]
 
 
 class VelocityProcessor(StatefulProcessor):
     """Turns closed seconds of a customer (count, cents, first id) into window totals.
 
     Seconds arrive in rounds of increasing time, since the aggregation before emits a second once,
-    when the watermark passes it. So each round can be handled at once. A timer drops the seconds of a
-    customer who has been silent for the longest window; the time of the last transaction stays, for the gap.
+    when the watermark passes it. So each round can be handled at once. What a later second can still look back to is
+    one value, read and written once a round, since each call to the state costs more than the few seconds of a usual
+    customer. A timer drops the seconds of a customer who has been silent for the longest window; the time of the last
+    transaction stays, for the gap.
     """
 
     reach = max(seconds for _, seconds in WINDOWS)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        columns = "seconds array<bigint>, counts array<bigint>, cents array<bigint>"
-        self.days = handle.getMapState("days", "day bigint", columns)
-        self.last = handle.getValueState("last", "second bigint")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        fresh = pd.concat(list(rows), ignore_index=True).sort_values("second", ignore_index=True)
-        now = fresh["second"].to_numpy(dtype=np.int64)
-        reach = self.reach
-
-        stored = {}
-        for (day,), values in list(self.days.iterator()):
-            if (day + 1) * _DAY <= now[0] - reach:
-                self.days.removeKey((day,))
-            else:
-                stored[day] = tuple(np.asarray(v, dtype=np.int64) for v in values)
-        fresh_values = [fresh[c].to_numpy(dtype=np.int64) for c in ("second", "counts", "cents")]
-        parts = [stored[day] for day in sorted(stored)] + [tuple(fresh_values)]
-        at, counts, cents_ = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        running_n = np.concatenate([[0], np.cumsum(counts)])
-        running_c = np.concatenate([[0], np.cumsum(cents_)])
+        # 64-bit integers side by side: at most one of each for every second of the longest window.
+        self.recent = handle.getValueState("recent", "seconds binary, counts binary, cents binary, last bigint")
+
+    def _timer(self, last: int) -> int:
+        return (last + self.reach + 1) * 1000
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        fresh = sorted(rows, key=lambda r: r["second"])
+        stored = self.recent.get() or (b"", b"", b"", None)
+        held, last = [np.frombuffer(x, np.int64) for x in stored[:3]], stored[3]
+        now, counts, cents_ = (np.array([r[c] for r in fresh], np.int64) for c in ("second", "counts", "cents"))
+        parts = [np.concatenate(pair) for pair in zip(held, (now, counts, cents_), strict=True)]
+        at = parts[0]
+        running_n = np.concatenate([[0], np.cumsum(parts[1])])
+        running_c = np.concatenate([[0], np.cumsum(parts[2])])
 
         upto = np.searchsorted(at, now, side="right")
-        out = {OWNER: key[0], "event_time": fresh["event_time"], "first_id": fresh["first_id"]}
-        for suffix, length in WINDOWS:
+        measures = []
+        for _, length in WINDOWS:
             since = np.searchsorted(at, now - length, side="left")
-            out[f"txns_last_{suffix}"] = running_n[upto] - running_n[since] - 1
-            out[f"spend_last_{suffix}"] = (running_c[upto] - running_c[since]) / 100.0
+            measures.append((running_n[upto] - running_n[since] - 1).tolist())
+            measures.append(((running_c[upto] - running_c[since]) / 100.0).tolist())
         gap = np.diff(now, prepend=now[0])
-        gap[0] = now[0] - self.last.get()[0] if self.last.exists() else NO_PREVIOUS_SECONDS
-        out["seconds_since_last_txn"] = gap
-
-        for day in np.unique(now // _DAY):
-            chosen = now // _DAY == day
-            before = stored.get(int(day), ([], [], []))
-            joined = tuple([*map(int, old), *map(int, new[chosen])] for old, new in zip(before, fresh_values))
-            self.days.updateValue((int(day),), joined)
-        self.last.update((int(now[-1]),))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer((int(now[-1]) + reach + 1) * 1000)
-        yield pd.DataFrame(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        """Only the latest timer is kept, so nothing stored can matter any more."""
-        self.days.clear()
+        gap[0] = NO_PREVIOUS_SECONDS if last is None else now[0] - last
+        measures.append(gap.tolist())
+
+        if len(held[0]):
+            self.handle.deleteTimer(self._timer(last))
+        last = int(now[-1])
+        kept = np.searchsorted(at, last + 1 - self.reach, side="left")
+        self.recent.update((*(x[kept:].tobytes() for x in parts), last))
+        self.handle.registerTimer(self._timer(last))
+        answer = Row(OWNER, "event_time", "first_id", *MEASURES, "seconds_since_last_txn")
+        for r, *values in zip(fresh, *measures, strict=True):
+            yield answer(key[0], r["event_time"], r["first_id"], *values)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        """Only the latest timer is kept, so no stored second can matter any more."""
+        self.recent.update((b"", b"", b"", self.recent.get()[3]))
         yield from ()
 
 
@@ -92,15 +88,17 @@ class FirstUseProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", "seen boolean")
 
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
         self.seen.update((True,))
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        seconds = pd.concat(list(rows), ignore_index=True).sort_values("event_time", ignore_index=True)
-        first = seconds["first_id"].astype(object)
-        first.iloc[(0 if self.seen.exists() else 1) :] = None
-        self.seen.update((True,))
-        yield pd.DataFrame({OWNER: key[0], ENTITY: key[1], "event_time": seconds["event_time"], "first_id": first})
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        seconds = sorted(rows, key=lambda r: r["event_time"])
+        new = not self.seen.exists()
+        if new:
+            self.seen.update((True,))
+        answer = Row(OWNER, ENTITY, "event_time", "first_id")
+        for n, r in enumerate(seconds):
+            yield answer(key[0], key[1], r["event_time"], r["first_id"] if new and not n else None)
 
 
 def _timed(stream: DataFrame) -> DataFrame:
@@ -114,10 +112,9 @@ def _timed(stream: DataFrame) -> DataFrame:
 def stream_velocity(stream: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     """The seven velocity columns per transaction, emitted once the watermark has passed its second.
 
-    State per customer: one (count, cents) per second of the last seven days, grouped by day.
+    State per customer: one (count, cents) per second of the last seven days.
     """
     windows = ", ".join(f"txns_last_{s} bigint, spend_last_{s} double" for s, _ in WINDOWS)
-    measures = [f"{m}_last_{s}" for s, _ in WINDOWS for m in ("txns", "spend")]
     timed = _timed(stream)
     totals = (
         timed.withWatermark("timestamp", watermark)
@@ -136,7 +133,7 @@ def stream_velocity(stream: DataFrame, watermark: str = WATERMARK) -> DataFrame:
             "first_id",
         )
         .groupBy(OWNER)
-        .transformWithStateInPandas(
+        .transformWithState(
             statefulProcessor=VelocityProcessor(),
             outputStructType=f"{OWNER} string, event_time timestamp, first_id string, {windows}, seconds_since_last_txn bigint",
             outputMode="Append",
@@ -148,7 +145,7 @@ def stream_velocity(stream: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     # In a second with several rows, only the first looks back to an earlier second.
     gap = F.when(F.col("transaction_id") == F.col("first_id"), F.col("seconds_since_last_txn")).otherwise(F.lit(0))
     return rows.join(totals, [OWNER, "event_time"]).select(
-        "customer_id", "transaction_id", *measures, gap.cast("bigint").alias("seconds_since_last_txn")
+        "customer_id", "transaction_id", *MEASURES, gap.cast("bigint").alias("seconds_since_last_txn")
     )
 
 
@@ -173,7 +170,7 @@ def stream_new_entity(
         .agg(earliest.alias("earliest"))
         .select(OWNER, ENTITY, F.window_time("window").alias("event_time"), F.col("earliest.transaction_id").alias("first_id"))
         .groupBy(OWNER, ENTITY)
-        .transformWithStateInPandas(
+        .transformWithState(
             statefulProcessor=FirstUseProcessor(),
             outputStructType=f"{OWNER} string, {ENTITY} string, event_time timestamp, first_id string",
             outputMode="Append",
