@@ -1,8 +1,10 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of at least a threshold.
 
-MinHash signatures that agree in one of ``BANDS`` bands meet, and are candidates if their estimate is at most
-``SLACK`` below the threshold; at 0.8 a pair misses all 32 bands of four values, or falls so far below, with a
-chance below 1e-7. Candidates only say where to look: the shingles of each connected group of candidates are
+Candidates come from two searches over the same shingles. SimHash fingerprints within a few bits link, by the
+pigeonring search of ``simhash``: near copies with small edits. At a similarity of 0.8 fingerprints differ in about 15 %
+of their bits, which no such search reaches, so MinHash signatures add the rest: those that agree in one of
+``BANDS`` bands meet, and are candidates if their estimate is at most ``SLACK`` below the threshold; at 0.8 a pair
+misses all 32 bands of four values, or falls so far below, with a chance below 1e-7. Candidates only say where to look: the shingles of each connected group of candidates are
 brought together, and only pairs whose exact similarity reaches the threshold become links.
 
 A group of more than ``TILE`` sets is first compared within tiles, each of which also holds the group's least
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from riskframe.llm.common import Batches, arrow_type, batch, fresh, runs, sorted_groups, stage
 from riskframe.llm.fingerprints import SIZE, shingles, signature
 from riskframe.llm.membership import bloom, may_hold, split
+from riskframe.llm.simhash import fingerprint, links
 from riskframe.llm.substrings import WordHashes
 from riskframe.operators.graph import connected_components
 from riskframe.operators.skew import splittable
@@ -33,7 +36,7 @@ SLACK = 0.2
 #: Sets and shingles of a tile of the exact comparison; signatures of a tile of candidates.
 TILE, LOAD, BUCKET = 512, 2**20, 4096
 
-_ROWS = "doc_id long, body long, content binary, n long, fingerprint binary"
+_ROWS = "doc_id long, body long, content binary, n long, fingerprint binary, simhash string"
 _LINKS = "a binary, b binary"
 
 
@@ -43,7 +46,10 @@ def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, body, content, n, fingerprint) of rows (doc_id, body, text) with words; ``content`` names the set of n shingles."""
+    """(doc_id, body, content, n, fingerprint, simhash) of rows (doc_id, body, text) with words.
+
+    ``content`` names the set of n shingles, ``fingerprint`` is its MinHash signature, ``simhash`` its SimHash as hex.
+    """
 
     def run(batches: Batches) -> Batches:
         hashes, schema = WordHashes(), arrow_type(_ROWS)
@@ -53,7 +59,8 @@ def signatures(docs: DataFrame) -> DataFrame:
                 for key, body, text in zip(*(b.column(i)[at : at + 256].to_pylist() for i in range(3)), strict=True):
                     found = np.unique(shingles(text, hashes))
                     if len(found):
-                        rows.append((key, body, xxhash.xxh3_128_digest(found.tobytes()), len(found), signature(found).tobytes()))
+                        name = xxhash.xxh3_128_digest(found.tobytes())
+                        rows.append((key, body, name, len(found), signature(found).tobytes(), fingerprint(found).hex()))
                 if rows:
                     yield batch(schema, zip(*rows, strict=True))
 
@@ -75,7 +82,24 @@ def forest(label: np.ndarray, alike: Callable[[int, np.ndarray], np.ndarray]) ->
                 yield i, j
 
 
+def linked(sets: DataFrame) -> DataFrame:
+    """(a, b): contents of rows (content, simhash) that connect all whose fingerprints the pigeonring search links."""
+    prints = sets.select("content", "simhash")
+    # One set stands for all with its fingerprint.
+    least = stage(prints.groupBy("simhash").agg(F.min("content").alias("least")), "prints")
+    equal = prints.join(splittable(least), "simhash").filter("content <> least").select(F.col("least").alias("a"), F.col("content").alias("b"))
+    found = links(least.select(F.col("simhash").alias("fingerprint"))).withColumnsRenamed({"a": "x", "b": "y"})
+    for end, print_ in (("a", "x"), ("b", "y")):
+        found = found.join(least.select(F.col("simhash").alias(print_), F.col("least").alias(end)), print_)
+    return equal.unionByName(found.select("a", "b"))
+
+
 def candidates(sets: DataFrame, threshold: float, bands: int = BANDS, tile: int = BUCKET) -> DataFrame:
+    """(a, b): contents of rows (content, fingerprint, simhash) that may be near copies: by SimHash, then by MinHash bands."""
+    return linked(sets).unionByName(banded(sets, threshold, bands, tile)).distinct()
+
+
+def banded(sets: DataFrame, threshold: float, bands: int = BANDS, tile: int = BUCKET) -> DataFrame:
     """(a, b): contents of rows (content, fingerprint) whose signatures share a band and are about alike; a forest of each bucket."""
     width = 2 * (SIZE // bands)
     parts = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring("fingerprint", i * width + 1, F.lit(width))))
@@ -208,7 +232,7 @@ def row_decisions(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     narrow = _narrow(docs, id_col, text_col)
     rows = stage(signatures(narrow), "signatures")
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body")
-    sets = rows.groupBy("content").agg(F.min(row).alias("least"), F.first("n").alias("n"), F.first("fingerprint").alias("fingerprint"))
+    sets = rows.groupBy("content").agg(F.min(row).alias("least"), F.first("n").alias("n"), F.first("fingerprint").alias("fingerprint"), F.first("simhash").alias("simhash"))
     sets = stage(sets, "sets")
     found = stage(candidates(sets, threshold, bands), "candidates")
     edges = verified(narrow, sets.select("content", "n", "least.doc_id", "least.body"), found, threshold, **tiles)

@@ -21,7 +21,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm import near
 from riskframe.llm.common import Batches, arrow_type, batch, mix64, runs, sorted_groups, stage, text_bytes
 from riskframe.operators.graph import connected_components
 from riskframe.operators.skew import splittable
@@ -221,4 +220,6 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with one row of each group of near copies, by exact similarity: see ``near.keep_one``."""
+    from riskframe.llm import near  # which searches with ``fingerprint`` and ``links``
+
     return near.keep_one(docs, **settings)

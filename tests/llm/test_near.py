@@ -101,3 +101,16 @@ def test_one_row_of_each_group_stays(spark):
     assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == want
     assert Counter((r["doc_id"], r["text"]) for r in substrings.deduplicate(kept).collect()) == want
     assert simhash.keep_one(docs.limit(0)).count() == 0
+
+
+def test_simhash_links_are_candidates(spark):
+    """Without MinHash bands, the pigeonring search of SimHash fingerprints alone finds long texts with a small edit."""
+    rng = random.Random(6)
+    texts = [" ".join(f"s{rng.randrange(10**6)}" for _ in range(3000)) for _ in range(8)]
+    rows = [(2 * i + side, i, text + " end" * side) for i, text in enumerate(texts) for side in (0, 1)]
+    sets = near.signatures(spark.createDataFrame(rows, "doc_id long, body long, text string")).cache()
+    of = {r["content"]: r["doc_id"] for r in sets.collect()}
+    found = {frozenset((of[r["a"]], of[r["b"]])) for r in near.linked(sets).collect()}
+    assert found == {frozenset((2 * i, 2 * i + 1)) for i in range(8)}
+    both = {frozenset((of[r["a"]], of[r["b"]])) for r in near.candidates(sets, near.THRESHOLD).collect()}
+    assert found <= both
