@@ -8,12 +8,16 @@ from pyspark.sql.window import Window
 
 
 def score_histogram(df: DataFrame, score: Column, label: Column, digits: int = 4) -> DataFrame:
-    """Positives and negatives per rounded score: at most 10^digits + 1 rows for scores in [0, 1]."""
+    """Positives and negatives per rounded score: at most 10^digits + 1 rows for scores in [0, 1].
+
+    Rows without score or label are counted out, not filtered: a filter would work out the score a second time.
+    """
+    scored = F.col("score").isNotNull()
     return (
         df.select(F.round(score, digits).alias("score"), label.alias("label"))
-        .filter(F.col("score").isNotNull() & F.col("label").isNotNull())
         .groupBy("score")
-        .agg(F.count_if(F.col("label")).alias("pos"), F.count_if(~F.col("label")).alias("neg"))
+        .agg(F.count_if(F.col("label") & scored).alias("pos"), F.count_if(~F.col("label") & scored).alias("neg"))
+        .filter(F.col("pos") + F.col("neg") > 0)
     )
 
 

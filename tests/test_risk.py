@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import graph, loans, volume
 from riskframe.operators.decision import DecisionPolicy, decide, risk_inputs
-from riskframe.operators.evaluate import score_metrics
+from riskframe.operators.evaluate import score_histogram, score_metrics
 from riskframe.operators.models import split
 from riskframe.operators.rules import RULES, RuleConfig, RuleInputs, first_match, fraud_rule_flags, rule_flags, rule_score, scenario_counts
 from riskframe.functions.columns import clip, fingerprint, haversine_km, padded_id, rate4
+from riskframe.plans.catalog import Bank
 from riskframe.sources.schemas import TABLES
+from riskframe.sources.testdata import RAW_SCHEMAS
 
 NOON = datetime(2026, 8, 12, 12)
 
@@ -257,3 +259,26 @@ class TestVolumeAndScores:
         train, test = split(df, "k", 0.2, 42)
         again = split(df.repartition(7), "k", 0.2, 42)[1]
         assert train.count() + test.count() == 1000 and test.exceptAll(again).count() == 0 and 150 < test.count() < 250
+
+
+def test_a_score_is_worked_out_once(spark):
+    """A filter on the score below the histogram would hold a second copy of its expression."""
+    rows = [(0.0, True), (0.0, False), (None, True), (0.5, None), (0.7, True)]
+    found = score_histogram(spark.createDataFrame(rows, "s double, y boolean"), F.exp("s"), F.col("y"))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("EXP(") == 1
+    assert {tuple(r) for r in found.collect()} == {(1.0, 1, 1), (2.0138, 1, 0)}
+
+
+def test_stored_table_is_read_in_place_of_its_sources(spark, tmp_path):
+    given = {
+        "events": [(1, datetime(2024, 1, 1), 5, "click", 1.0, '{"n": 7}')],
+        "customer": [(5, "c", 1, 0.0, "m")],
+        "nation": [(1, "n", 1)],
+        "region": [(1, "r")],
+    }
+    for name, rows in given.items():
+        spark.createDataFrame(rows, RAW_SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    plain, stored = Bank(spark, str(tmp_path)), Bank(spark, str(tmp_path)).stored("transactions")
+    assert plain.transactions.collect() == stored.transactions.collect() and stored.transactions.count() == 1
+    assert "events.parquet" not in "".join(stored.customer_devices.inputFiles())
+    assert plain.customer_devices.collect() == stored.customer_devices.collect()
