@@ -3,7 +3,9 @@
 A table is read once. That pass types the columns, notes what is wrong within a row, and asks a Bloom filter of each
 referenced table whether it can hold the row's value: what the filter denies is rejected there. Values that pass
 are counted per key and checked exactly, so a popular value is one row in that join, and only the few that
-the filter let through by mistake come back to the rows. Copies of a key are told apart by one aggregate per key.
+the filter let through by mistake come back to the rows. These few are stored first: Spark then knows their size, and
+broadcasts them instead of moving the rows. Keys that occur more than once are found by counting narrow keys; a Bloom filter
+of them lets all other rows pass, so only likely copies are moved and told apart by one aggregate per key.
 
 Reasons: ``type <column>`` (no value of the declared type, or a number that is not finite), ``null <column>`` (key and
 required columns), ``foreign key <column>`` (no sound row of the referenced table has the value; null is allowed), and
@@ -12,7 +14,7 @@ required columns), ``foreign key <column>`` (no sound row of the referenced tabl
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,11 +38,11 @@ _LATEST = {"transactions": "timestamp"}
 
 
 class KeyFilter:
-    """Bloom filter over one column, kept as an array of 64-bit words in a scalar subquery."""
+    """Bloom filter over a column, or a struct of several, kept as an array of 64-bit words in a scalar subquery."""
 
     def __init__(self, keys: DataFrame, bits: int = FILTER_BITS) -> None:
         self.bits = bits
-        column = F.col(keys.columns[0])
+        column = _whole(keys.columns)
         places = keys.select(F.explode(F.array(*self._places(column))).alias("place"))
         words = places.groupBy(F.floor(F.col("place") / _WORD).alias("at")).agg(
             F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("place") % _WORD).cast("int"))).alias("word")
@@ -61,6 +63,10 @@ class KeyFilter:
         return value.isNotNull() & ~held
 
 
+def _whole(columns: Sequence[str]) -> Column:
+    return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
+
+
 def _reasons_within(table: TableDef, df: DataFrame) -> list[Column]:
     stored, found = dict(df.dtypes), []
     for column, kind in table.types.items():
@@ -85,7 +91,8 @@ def sift(name: str, df: DataFrame, parents: Mapping[str, DataFrame], folder: str
 
     ``parents`` holds the sound rows of the tables that this one refers to; one that is absent counts as empty.
     ``_raw`` is the row as delivered, in JSON, where something within it is wrong. Columns that are not declared
-    are left out; a declared one that is missing is an error. ``folder`` takes the typed rows in between.
+    are left out; a declared one that is missing is an error. ``folder`` takes the typed rows and what is found out
+    about them in between.
     """
     table = TABLES[name]
     spark = df.sparkSession
@@ -106,30 +113,30 @@ def sift(name: str, df: DataFrame, parents: Mapping[str, DataFrame], folder: str
             F.when(F.size("_reasons") > 0, raw).alias("_raw"),
             F.monotonically_increasing_id().alias("_row"),
         ),
-        folder,
+        f"{folder}/typed",
     )
     found = rows
     for column, held in keys.items():
         reason = F.lit(f"foreign key {column}")
-        asked = rows.filter(F.col(column).isNotNull() & ~F.array_contains("_reasons", reason)).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-        absent = asked.join(held, column, "left_anti").select(column, F.array(reason).alias("_absent"))
+        asked = rows.filter(F.col(column).isNotNull() & ~F.array_contains("_reasons", reason)).select(column).distinct()
+        absent = staged(asked.join(held, column, "left_anti"), f"{folder}/absent-{column}").withColumn("_absent", F.array(reason))
         found = found.join(splittable(absent), column, "left").withColumn(
             "_reasons", F.concat("_reasons", F.coalesce("_absent", F.array().cast("array<string>")))
         ).drop("_absent")
 
     sound = F.size("_reasons") == 0
-    firsts = (
-        found.filter(sound)
-        .groupBy(*table.key)
-        .agg(F.min(_first(table)).alias("_first"), F.count(F.lit(1)).alias("_n"))
-        .filter("_n > 1")
-    )
-    copy = flag(sound & (_first(table) != F.col("_first")))
-    return (
-        found.join(splittable(firsts), list(table.key), "left")
-        .withColumn("_reasons", F.when(copy, F.array(F.lit(DUPLICATE))).otherwise(F.array_sort("_reasons")))
-        .select(*table.columns, "_reasons", "_raw")
+    counts = found.filter(sound).groupBy(*table.key).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = staged(counts.filter("_n > 1").select(*table.key), f"{folder}/repeated")
+    likely = flag(sound & ~KeyFilter(repeated, bits).denies(_whole(table.key)))
+    copies = found.filter(likely)
+    firsts = copies.join(splittable(repeated), list(table.key), "left_semi").groupBy(*table.key).agg(F.min(_first(table)).alias("_first"))
+    copy = flag(_first(table) != F.col("_first"))
+    told_apart = copies.join(splittable(firsts), list(table.key), "left").withColumn(
+        "_reasons", F.when(copy, F.array(F.lit(DUPLICATE))).otherwise(F.col("_reasons"))
     )
+    alone = found.filter(~likely).withColumn("_reasons", F.array_sort("_reasons"))
+    columns = [*table.columns, "_reasons", "_raw"]
+    return alone.select(columns).unionByName(told_apart.select(columns))
 
 
 def load_with_rejects(spark: SparkSession, tables: Mapping[str, DataFrame], store: Snapshots, batch: str, bits: int = FILTER_BITS) -> Version:

@@ -102,3 +102,16 @@ def test_filter_denies_most_strangers_and_no_member(spark):
     asked = spark.range(3000).select(F.col("id"), held.denies(F.col("id").cast("string")).alias("denied"))
     counts = {r["member"]: r["n"] for r in asked.groupBy((F.col("id") < 1000).alias("member")).agg(F.count_if("denied").alias("n")).collect()}
     assert counts[True] == 0 and counts[False] > 1900
+
+
+def test_sound_rows_are_not_moved(spark, tmp_path):
+    """Rows are looked up in small stored tables; only likely copies go through a shuffle, as the keys do."""
+    people = spark.range(200).select(F.concat(F.lit("C"), "id").alias("customer_id"))
+    rows = people.select("customer_id", F.concat(F.lit("A"), "customer_id").alias("account_id"))
+    rows = rows.unionByName(rows.filter("customer_id = 'C7'")).unionByName(rows.limit(0))
+    rows = rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in TABLES["accounts"].columns])
+    sifted = sift("accounts", rows, {"customers": people.filter("customer_id <> 'C9'")}, str(tmp_path / "between"))
+    found = {(r["account_id"], *r["_reasons"]): r["count"] for r in sifted.groupBy("account_id", "_reasons").count().collect()}
+    assert len(found) == 201 and found["AC7",] == found["AC7", "duplicate key"] == found["AC9", "foreign key customer_id"] == 1
+    assert (tmp_path / "between" / "repeated").is_dir() and (tmp_path / "between" / "absent-customer_id").is_dir()
+    assert spark.read.parquet(str(tmp_path / "between" / "repeated")).count() == 1
