@@ -23,6 +23,8 @@ SQL_OPTIONS = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Keyed state of the stream processors.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Counting the keys held costs a read before every write and removal of one.
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 
 _SPARK_DEFAULTS = {
@@ -33,6 +35,7 @@ _SPARK_DEFAULTS = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "false",
     "spark.sql.requireAllClusterKeysForCoPartition": "true",
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "true",
 }
 
 

@@ -94,3 +94,8 @@ def test_windows_and_dedup(spark, feed):
     assert sessions.filter("customer_id <> 'sentinel'").agg(F.sum("txn_count")).first()[0] == 180
     unique = run_available(windows.deduplicated(live(spark, folder)), "test-dedup")
     assert unique.filter("transaction_id like 'T%'").count() == 180
+
+
+def test_state_stores_do_not_count_their_keys(spark):
+    """Counting costs a read before every write; the tests' session has the library's options."""
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", None) == "false"
