@@ -22,12 +22,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import Batches, arrow_type, batch, fresh, runs, sorted_groups, stage
+from riskframe.llm.common import Batches, arrow_type, batch, components, fresh, runs, sorted_groups, stage
 from riskframe.llm.fingerprints import SIZE, shingles, signature
 from riskframe.llm.membership import bloom, may_hold, split
 from riskframe.llm.simhash import fingerprint, links
 from riskframe.llm.substrings import WordHashes
-from riskframe.operators.graph import connected_components
 from riskframe.operators.skew import splittable
 
 THRESHOLD = 0.8
@@ -185,7 +184,7 @@ def verified(narrow: DataFrame, sets: DataFrame, found: DataFrame, threshold: fl
 
     ``narrow`` has rows (doc_id, body, text), ``sets`` one row (content, n, doc_id, body) for each set.
     """
-    groups = connected_components(found).withColumnsRenamed({"node": "content", "component": "group"})
+    groups = components(found).withColumnsRenamed({"node": "content", "component": "group"})
     groups = stage(sets.join(groups, "content").select("content", "group", "n", "doc_id", "body"), "groups")
     sizes = groups.groupBy("group").agg(
         F.min("content").alias("pivot"),
@@ -207,7 +206,7 @@ def verified(narrow: DataFrame, sets: DataFrame, found: DataFrame, threshold: fl
     large = placed.filter("tiles > 1")
     if large.isEmpty():
         return first
-    joined = connected_components(first).withColumnsRenamed({"node": "content", "component": "label"})
+    joined = components(first).withColumnsRenamed({"node": "content", "component": "label"})
     large = stage(large.join(joined, "content", "left").withColumn("label", F.coalesce("label", "content")), "large")
     parts = large.groupBy("group", "label").agg(F.count(F.lit(1)).alias("n"))
     parts = parts.groupBy("group").agg(F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("n"))
@@ -236,7 +235,7 @@ def row_decisions(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     sets = stage(sets, "sets")
     found = stage(candidates(sets, threshold, bands), "candidates")
     edges = verified(narrow, sets.select("content", "n", "least.doc_id", "least.body"), found, threshold, **tiles)
-    labels = connected_components(edges).withColumnsRenamed({"node": "content", "component": "root"})
+    labels = components(edges).withColumnsRenamed({"node": "content", "component": "root"})
     own = stage(sets.select("content", "least").join(labels, "content", "left").withColumn("root", F.coalesce("root", "content")), "roots")
     named = own.select("content", "root").join(splittable(own.groupBy("root").agg(F.min("least").alias("winner"))), "root")
     times = rows.groupBy("doc_id", "body", "content").agg(F.count(F.lit(1)).alias("times"))

@@ -129,16 +129,32 @@ def _least_neighbour(edges: DataFrame) -> DataFrame:
     return edges.join(splittable(least), "a")
 
 
+def _labels(stars: DataFrame) -> DataFrame:
+    roots = stars.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node is the center of its neighbours or has one edge, to a center, in ``edges`` with b < a."""
+    ends = F.array(*[F.struct(F.col(c).alias("node"), F.lit(c == "a").alias("leaves")) for c in "ab"])
+    counts = edges.select(F.inline(ends)).groupBy("node").agg(F.count_if("leaves").alias("out"), F.count_if(~F.col("leaves")).alias("into"))
+    return counts.filter("out > 1 or out > 0 and into > 0").isEmpty()
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for undirected ``edges`` (a, b); the component is its least node.
 
     Alternates large-star and small-star steps (Kiveris et al., "Connected Components in MapReduce
     and Beyond", 2014), which needs a logarithmic number of rounds in practice. Each round is written
     to the shared folder: that cuts the lineage, survives lost executors, and delivers the
-    convergence counters without another pass. It ends with a round that changes nothing.
+    convergence counters without another pass. It ends with a round that changes nothing; edges that are stars
+    already need no round.
     """
     signature, folder = None, work_path(edges.sparkSession, "components")
     current = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
+    current = staged(current, f"{folder}/edges")
+    if _are_stars(current):
+        return _labels(current)
     for number in count():
         both = current.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
         # Large star: a node's larger neighbours move to the least node around it.
@@ -153,8 +169,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         current = staged(measured, f"{folder}/{number % 2}")  # the table before last is free again
         latest = (seen.get["edges"], seen.get["hash"])
         if latest == signature:
-            roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-            return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+            return _labels(current)
         signature = latest
 
 

@@ -4,6 +4,9 @@ import random
 from collections import Counter
 
 from riskframe.llm import near, simhash, substrings
+from riskframe.llm.common import components, contracted
+from riskframe.operators import graph
+from riskframe.session import staged
 
 SCHEMA = "doc_id long, text string, source string"
 
@@ -114,3 +117,22 @@ def test_simhash_links_are_candidates(spark):
     assert found == {frozenset((2 * i, 2 * i + 1)) for i in range(8)}
     both = {frozenset((of[r["a"]], of[r["b"]])) for r in near.candidates(sets, near.THRESHOLD).collect()}
     assert found <= both
+
+
+def test_links_are_contracted_before_the_rounds(spark):
+    chain = spark.range(400, numPartitions=3).selectExpr("lpad(id + 1, 4, '0') a", "lpad(id, 4, '0') b")
+    few = contracted(chain)
+    assert few.filter("a <= b").isEmpty() and few.select("a").distinct().count() == few.count() == 400
+    # A task holds at most so many links; what is left is joined by the rounds.
+    for most in (2**18, 1):
+        cut = components(contracted(chain, most)).collect()
+        assert len(cut) == 401 and {r["component"] for r in cut} == {"0000"}
+    assert components(chain.filter("a is null")).isEmpty()
+
+
+def test_stars_take_no_round(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(graph, "staged", lambda df, path: written.append(path) or staged(df, path))
+    pairs = spark.range(1, 300).selectExpr("lpad(id, 4, '0') a", "lpad(id - 1, 4, '0') b").coalesce(1)
+    assert components(pairs).filter("component = '0000'").count() == 300
+    assert [path.rsplit("/", 1)[1] for path in written] == ["edges"]
