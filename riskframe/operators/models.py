@@ -146,6 +146,21 @@ def split(df: DataFrame, row_id: str, test_share: float, seed: int) -> tuple[Dat
     return df.filter(bucket >= limit), df.filter(bucket < limit)
 
 
+#: From so many training rows on they are dealt evenly, which takes one shuffle of them.
+EVEN_FROM = 200_000
+
+
+def evenly_staged(rows: DataFrame) -> DataFrame:
+    """``rows`` in files of equal length, as many as tasks run at a time.
+
+    Each level of each tree is a stage over all training rows, which lasts as long as its largest part, or twice as long
+    if there is one part more than task slots. The scan packs such files into one part each.
+    """
+    spark = rows.sparkSession
+    dealt = rows.repartition(spark.sparkContext.defaultParallelism)
+    return staged(dealt, work_path(spark, "even"))
+
+
 def train_classifier(
     features: DataFrame, inputs: Sequence[str], label: str, row_id: str, training: Training = FRAUD_TRAINING
 ) -> tuple[PipelineModel, DataFrame]:
@@ -157,6 +172,8 @@ def train_classifier(
     total = train.count()
     if total > training.max_labels:
         train, _ = split(train, row_id, 1 - training.max_labels / total, training.seed + 1)
+    if total >= EVEN_FROM:  # medians, bins and rounds then read these rows only, at most ``max_labels``
+        train = evenly_staged(train)
     context = features.sparkSession.sparkContext
     if not context.getCheckpointDir():  # boosting cuts its lineage there every ten rounds
         context.setCheckpointDir(shared_dir(features.sparkSession))
