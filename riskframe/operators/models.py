@@ -81,8 +81,7 @@ class Training:
     """Share held out, seed, boosting rounds and tree shape.
 
     With ``early_stop`` a share of the training part judges each round, and boosting ends when a round no longer
-    lowers its loss by ``tolerance``. ``max_labels`` bounds the labelled rows that are trained on (by a hash of
-    the id); all held-out rows are scored.
+    lowers its loss by ``tolerance``. All labelled rows that are not held out are trained on, all held-out rows scored.
     """
 
     test_share: float = 0.20
@@ -94,7 +93,6 @@ class Training:
     early_stop: bool = False
     validation_share: float = 0.10
     tolerance: float = 0.001
-    max_labels: int = 5_000_000
 
 
 FRAUD_TRAINING = Training(early_stop=True)
@@ -169,10 +167,7 @@ def train_classifier(
     # Imputation, training and scoring all read these rows; the features are computed once.
     rows = staged(rows, work_path(features.sparkSession, "training"))
     train, test = split(rows, row_id, training.test_share, training.seed)
-    total = train.count()
-    if total > training.max_labels:
-        train, _ = split(train, row_id, 1 - training.max_labels / total, training.seed + 1)
-    if total >= EVEN_FROM:  # medians, bins and rounds then read these rows only, at most ``max_labels``
+    if train.count() >= EVEN_FROM:  # medians, bins and rounds then read these rows only
         train = evenly_staged(train)
     context = features.sparkSession.sparkContext
     if not context.getCheckpointDir():  # boosting cuts its lineage there every ten rounds

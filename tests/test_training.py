@@ -1,6 +1,7 @@
-"""Classifier training: rows are dealt evenly over the task slots before boosting."""
+"""Classifier training: all training rows, dealt evenly over the task slots before boosting."""
 
 from pyspark.ml import Pipeline
+from pyspark.sql.classic.dataframe import DataFrame
 
 from riskframe.operators import models
 
@@ -35,3 +36,18 @@ def test_few_rows_stay_where_they_are(spark, monkeypatch):
     monkeypatch.setattr(models, "evenly_staged", None)
     _, scored = models.train_classifier(_rows(spark, 100), INPUTS, "bad", "row_id", TRAINING)
     assert 0 < scored.count() < 100
+
+
+def test_every_training_row_is_trained_on(spark, monkeypatch):
+    seen, fit = [], Pipeline.fit
+
+    def watched(self, rows):
+        seen.extend(r["row_id"] for r in rows.collect())
+        return fit(self, rows)
+
+    monkeypatch.setattr(Pipeline, "fit", watched)
+    monkeypatch.setattr(DataFrame, "count", lambda self: 50_000_000)  # the size that a bound would look at
+    features = _rows(spark, 400)
+    models.train_classifier(features, INPUTS, "bad", "row_id", TRAINING)
+    train, _ = models.split(features, "row_id", TRAINING.test_share, TRAINING.seed)
+    assert sorted(seen) == sorted(r["row_id"] for r in train.collect())
