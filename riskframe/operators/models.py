@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from functools import partial
 from typing import Any
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -18,6 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskframe.operators import lloyd
 from riskframe.session import shared_dir, staged, work_path
 
 SEGMENT_INPUTS = (
@@ -117,24 +119,33 @@ def segment_customers(
     features: DataFrame, clusters: Sequence[int] = (3, 4, 5, 6, 7, 8), *, seed: int = 42, max_iter: int = 300, starts: int = 10
 ) -> DataFrame:
     """(customer_id, segment, cluster_count, silhouette) for the k with the best silhouette; each k is the
-    best of ``starts`` starts by the sum of squared distances."""
+    best of ``starts`` starts by the sum of squared distances. The rounds of all fits share their passes."""
     filled = _numeric(features, SEGMENT_INPUTS, "customer_id").fillna(0.0)
     assembled = VectorAssembler(inputCols=list(SEGMENT_INPUTS), outputCol="raw").transform(filled)
     scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True).fit(assembled)
     scaled = scaler.transform(assembled).select("customer_id", "features")
     spark = features.sparkSession
-    points = staged(scaled, work_path(spark, "segments")).persist()  # sixty fits read it
-    settings = {"maxIter": max_iter, "featuresCol": "features", "predictionCol": "segment"}
+    scaled = scaled.withColumn("at", vector_to_array("features"))
+    points = staged(scaled, work_path(spark, "segments")).persist()  # the starts of sixty fits read it
+    settings = {"maxIter": 0, "featuresCol": "features", "predictionCol": "segment"}  # the first centers only
     starters = [KMeans(k=k, seed=seed + start, **settings) for k in clusters for start in range(starts)]
-    fitted = _side_by_side(spark, [partial(starter.fit, points) for starter in starters])
-    models = [min(fitted[at : at + starts], key=lambda m: m.summary.trainingCost) for at in range(0, len(fitted), starts)]
+    begun = [np.array(m.clusterCenters()) for m in _side_by_side(spark, [partial(s.fit, points) for s in starters])]
+    packed = lloyd.blocks(points, "features").persist()
+    settled = lloyd.settle(packed, begun, max_iter, starters[0].getTol())
+    packed.unpersist()
+    models = [_best_start(settled[at : at + starts]) for at in range(0, len(settled), starts)]
     judge = ClusteringEvaluator(predictionCol="segment")
-    qualities = _side_by_side(spark, [partial(judge.evaluate, model.transform(points)) for model in models])
-    quality, k, model = max(zip(qualities, clusters, models, strict=True), key=lambda found: found[0])
+    segmented = [points.withColumn("segment", lloyd.nearest("at", centers)) for centers in models]
+    qualities = _side_by_side(spark, [partial(judge.evaluate, rows) for rows in segmented])
+    quality, k, rows = max(zip(qualities, clusters, segmented, strict=True), key=lambda found: found[0])
     points.unpersist()
-    return model.transform(points).select(
-        "customer_id", "segment", F.lit(k).alias("cluster_count"), F.lit(float(quality)).alias("silhouette")
-    )
+    return rows.select("customer_id", "segment", F.lit(k).alias("cluster_count"), F.lit(float(quality)).alias("silhouette"))
+
+
+def _best_start(settled: Sequence[tuple[np.ndarray, float]]) -> np.ndarray:
+    """Centers with the least sum of squared distances; the first ones where others differ by rounding only."""
+    least = min(cost for _, cost in settled)
+    return next((centers for centers, cost in settled if cost <= least * (1 + 1e-9)), settled[0][0])
 
 
 def split(df: DataFrame, row_id: str, test_share: float, seed: int) -> tuple[DataFrame, DataFrame]:
